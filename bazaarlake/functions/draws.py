@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 DRAW_BITS = 32
 _SLOTS = 4
@@ -16,7 +16,9 @@ _SLOTS = 4
 
 def draw(seed: int, label: str, *ids: Column, slot: int = 0) -> Column:
     """A number in [0, 2^32)."""
-    text = F.concat_ws("|", F.lit(str(seed)), F.lit(label), *[i.cast("string") for i in ids])
+    text = F.lit(f"{seed}|{label}")
+    for i in ids:
+        text = F.concat(text, F.lit("|"), i.cast("string"))
     digits = F.substring(F.md5(text), 1 + 8 * slot, 8)
     return F.conv(digits, 16, 10).cast("bigint")
 
@@ -38,17 +40,15 @@ def choice(h: Column, values: Column) -> Column:
 
 
 def weighted(h: Column, value_weights: Sequence[tuple]) -> Column:
-    point = h % F.lit(sum(weight for _, weight in value_weights))
-    upper, case = 0, None
-    for value, weight in value_weights:
-        upper += weight
-        branch = point < F.lit(upper)
-        case = F.when(branch, F.lit(value)) if case is None else case.when(branch, F.lit(value))
-    return case
+    """A value as often as its weight says: a look-up in a constant list, one value per unit of weight."""
+    units = [F.lit(value) for value, weight in value_weights for _ in range(weight)]
+    return F.element_at(F.array(*units), (F.lit(1) + h % F.lit(len(units))).cast("int"))
 
 
-def distinct_picks(hs: Sequence[Column], count: Column, weights: Sequence[int]) -> Column:
-    """Up to ``count`` different positions of ``weights``, picked one after another.
+def with_distinct_picks(
+    df: DataFrame, name: str, hs: Sequence[Column], count: Column, weights: Sequence[int]
+) -> DataFrame:
+    """Add an array of ``count`` (one or more) different positions of ``weights``, picked one after another.
 
     Each position owns as many tickets as its weight says.  A draw names the n-th
     ticket among those not yet used up; it is found by stepping over the tickets of
@@ -70,4 +70,8 @@ def distinct_picks(hs: Sequence[Column], count: Column, weights: Sequence[int])
         free = F.aggregate(F.sort_array(picked), ticket, step_over)
         return F.concat(picked, F.array(nth(owner, free)))
 
-    return F.aggregate(F.slice(F.array(*hs), 1, count), F.array().cast("array<int>"), add_pick)
+    # The draws are a column of their own, used twice, so that they are computed in
+    # generated code and not inside the interpreted array functions.
+    first_pick = F.array(nth(owner, F.element_at("_draws", 1) % F.lit(len(tickets))))
+    picks = F.aggregate(F.slice("_draws", F.lit(2), count.cast("int") - 1), first_pick, add_pick)
+    return df.withColumn("_draws", F.array(*hs)).withColumn(name, picks).drop("_draws")

@@ -31,10 +31,8 @@ def order_month(day: Column) -> Column:
 
 def day_at(day: Column, hour: Column, minute: Column) -> Column:
     """The date at hour:minute, as a timestamp without time zone."""
-    return F.make_timestamp_ntz(
-        F.year(day), F.month(day), F.dayofmonth(day),
-        hour.cast("int"), minute.cast("int"), F.lit(0).cast("decimal(16,6)"),
-    )
+    passed = F.make_dt_interval(F.lit(0), hour.cast("int"), minute.cast("int"))
+    return day.cast("timestamp_ntz") + passed
 
 
 def stamp_text(stamp: Column) -> Column:

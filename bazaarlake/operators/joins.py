@@ -12,14 +12,16 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from bazaarlake.session import estimated_bytes
+from bazaarlake.session import checkpointed, estimated_bytes, input_bytes, shuffle_partitions
 
 # A key is hot above this share of the rows.  At most 1/HOT_SHARE keys can be, so
 # asking the sketch for that many misses none.
 HOT_SHARE = 0.002
 _SKETCH_ITEMS = 20_000
-# Below this size one task can hold any share of the rows.
+# Plans that read less than this are not worth the check: a third of it fits one task.
 SKEW_CHECK_BYTES = 4 * 1024**3
+# Most keys that are ever broadcast after counting them (some 64 MB in memory).
+MAX_BROADCAST_KEYS = 1_000_000
 _MAX_SALTS = 4096
 
 _SALT = "_salt"
@@ -83,13 +85,12 @@ def skew_join(
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"cannot spread a {how} join")
-    if estimated_bytes(left) < check_bytes or (check_bytes and fits_broadcast(right)):
+    if input_bytes(left) < check_bytes or (check_bytes and fits_broadcast(right)):
         return left.join(right, key, how)
     hot = hot_keys(left, key)
     if not hot:
         return left.join(right, key, how)
-    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pieces = F.broadcast(_salt_table(left, key, hot, partitions))
+    pieces = F.broadcast(_salt_table(left, key, hot, shuffle_partitions(left.sparkSession)))
     spread = (
         left.withColumn("_spread", _row_spread(left))
         .join(pieces, F.col(key) == F.col(_HOT), "left")
@@ -108,24 +109,22 @@ def skew_join(
 def with_known_key(df: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
     """Add ``flag``: is ``key`` found in ``keys``?  Null is never found.
 
-    Small key table: one broadcast left join.  Large one: the distinct keys of the
-    fact are reduced to the unknown ones first, so the wide rows are not shuffled by
-    this key unless there are many unknown keys.
+    Small key table: one broadcast left join.  Large one: the distinct keys of the fact
+    are reduced to the unknown ones first, in a narrow pass.  They are usually few, and
+    counted before they are broadcast; then the wide rows are not shuffled at all.
     """
     known = keys.select(key).distinct()
     if fits_broadcast(keys.select(key)):
         marked = known.withColumn(flag, F.lit(True))
         return df.join(marked, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-    unknown = (
-        df.select(key).where(F.col(key).isNotNull()).distinct()
-        .join(known, key, "left_anti")
-        .withColumn("_unknown", F.lit(True))
-    )
-    return (
-        df.join(unknown, key, "left")
-        .withColumn(flag, F.col(key).isNotNull() & F.col("_unknown").isNull())
-        .drop("_unknown")
-    )
+    unknown = checkpointed(
+        df.select(key).where(F.col(key).isNotNull()).distinct().join(known, key, "left_anti")
+    ).withColumn("_unknown", F.lit(True))
+    if unknown.count() <= MAX_BROADCAST_KEYS:
+        joined = df.join(F.broadcast(unknown), key, "left")
+    else:
+        joined = skew_join(df, unknown, key, "left")
+    return joined.withColumn(flag, F.col(key).isNotNull() & F.col("_unknown").isNull()).drop("_unknown")
 
 
 def combine_hot_keys(
@@ -142,7 +141,7 @@ def combine_hot_keys(
     """
     columns = [*group_by, *sums]
     plain = df.select(*group_by, *[F.col(c).cast(kind).alias(c) for c, kind in sums.items()])
-    if estimated_bytes(df) < check_bytes:
+    if input_bytes(df) < check_bytes:
         return plain
     hot = list(hot_keys(df, key))
     if not hot:

@@ -6,20 +6,22 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-MAX_BUCKETS = 10_000
+MAX_BUCKETS = 50_000
+MIN_WIDTH = 1_000
 
 
 def running_total_before(
-    df: DataFrame, value: str, order_id: str, lowest: int, highest: int, name: str
+    df: DataFrame, value: str, order_id: str, lowest: int, highest: int, name: str, partitions: int
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` over all rows with a smaller ``order_id``.
 
     ``order_id`` must be unique integers that fill [lowest, highest] densely.  The
     range is cut into at most MAX_BUCKETS equal buckets: their sums form a table of
-    bounded size, and a window inside each bucket does the rest in parallel.
+    bounded size, and a window inside each bucket does the rest in parallel.  The
+    result keeps the given number of partitions: its rows are narrow here, so merging
+    by size would leave too few tasks for what is computed from them.
     """
-    width = max(1, math.ceil((highest - lowest + 1) / MAX_BUCKETS))
-    # Few buckets would leave most tasks idle on a small table; many are cheap.
+    width = max(MIN_WIDTH, math.ceil((highest - lowest + 1) / MAX_BUCKETS))
     bucketed = df.withColumn("_bucket", F.expr(f"({order_id} - {lowest}) div {width}"))
     in_order = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -28,7 +30,7 @@ def running_total_before(
     )
     inside = Window.partitionBy("_bucket").orderBy(order_id).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        bucketed.join(F.broadcast(offsets), "_bucket")
+        bucketed.repartition(partitions, "_bucket").join(F.broadcast(offsets), "_bucket")
         .withColumn(name, F.col("_offset") + F.coalesce(F.sum(value).over(inside), F.lit(0)))
         .drop("_bucket", "_offset")
     )

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from bazaarlake.operators.joins import SKEW_CHECK_BYTES
+from bazaarlake.session import input_bytes
+
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(k)
@@ -18,14 +21,21 @@ def rank_within(df: DataFrame, group: str, measure: str, name: str) -> DataFrame
     return df.withColumn(name, F.rank().over(order))
 
 
-def full_rank_within(df: DataFrame, group: str, measure: str, name: str, cuts: int = 1000) -> DataFrame:
-    """The same ranks for every row, with no group held by one task.
+def full_rank_within(
+    df: DataFrame, group: str, measure: str, name: str,
+    cuts: int = 1000, check_bytes: int = SKEW_CHECK_BYTES,
+) -> DataFrame:
+    """The same ranks for every row, with no large group held by one task.
+
+    Small inputs take the plain window.
 
     A rank is one plus the number of rows with a larger measure.  Each group is cut
     at approximate quantiles of its measure; the counts per slice (at most cuts + 1
     per group) give the offset of a slice, and the rank inside a slice does the rest.
     Where the cuts lie only affects balance, never the result.
     """
+    if input_bytes(df) < check_bytes:
+        return rank_within(df, group, measure, name)
     counted = df.groupBy(group, measure).agg(F.count(F.lit(1)).alias("_n"))
     shares = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
     edges = counted.groupBy(group).agg(F.percentile_approx(measure, shares, 10 * cuts).alias("_edges"))

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from bazaarlake import fixed_values as fixed
-from bazaarlake.operators.joins import combine_hot_keys
+from bazaarlake.functions import scalars
+from bazaarlake.operators.joins import combine_hot_keys, skew_join
 from bazaarlake.operators.ranking import rank_within, top_k
 from bazaarlake.operators.totals import (
     REVENUE, REVENUE_TYPE, UNITS, UNITS_TYPE, line_money, share_of_all, totals_by,
@@ -38,9 +39,9 @@ def completed_order_totals(tables: RetailTables, *order_columns: str) -> DataFra
 
 def revenue_by_category(tables: RetailTables) -> DataFrame:
     """Orders, units and revenue per category, completed orders only, best first."""
-    named = tables.products.select("product_id", "category_id").join(tables.categories, "category_id")
     lines = line_money(tables.order_items, "order_id", "product_id")
-    sold = lines.join(named.select("product_id", "category_name"), "product_id")
+    placed = skew_join(lines, tables.products.select("product_id", "category_id"), "product_id")
+    sold = placed.join(tables.categories, "category_id")
     keys = ["category_name", "order_id"]
     combined = combine_hot_keys(sold, "order_id", keys, {UNITS: UNITS_TYPE, REVENUE: REVENUE_TYPE})
     per_order = (
@@ -76,7 +77,7 @@ def spend_by_customer(tables: RetailTables) -> DataFrame:
         .agg(F.max("orders").alias("total_orders"), _money(REVENUE, "total_spend_inr"))
         .select(
             "customer_id",
-            F.concat("first_name", F.lit(" "), "last_name").alias("customer_name"),
+            scalars.full_name(F.col("first_name"), F.col("last_name")).alias("customer_name"),
             "city", "total_orders", "total_spend_inr",
         )
     )
@@ -89,7 +90,7 @@ def top_customers(tables: RetailTables, k: int = 10) -> DataFrame:
 
 def monthly_trend(tables: RetailTables) -> DataFrame:
     """Orders, different customers and revenue per month, completed orders only."""
-    month = F.substring(F.col("order_date").cast("string"), 1, 7)
+    month = scalars.order_month(F.col("order_date"))
     per_order = completed_order_totals(tables, "order_date", "customer_id").select(
         month.alias("order_month"), "order_id", "customer_id", REVENUE
     )
@@ -126,9 +127,9 @@ def product_sales(tables: RetailTables) -> DataFrame:
     Lines are collapsed per product id before the product table is joined.
     """
     per_product = totals_by(tables.order_items, "product_id")
-    named = tables.products.select("product_id", "product_name", "category_id").join(tables.categories, "category_id")
     return (
-        per_product.join(named, "product_id")
+        per_product.join(tables.products.select("product_id", "product_name", "category_id"), "product_id")
+        .join(tables.categories, "category_id")
         .groupBy("product_name", "category_name", "category_id")
         .agg(F.sum(UNITS).alias("total_units_sold"), _money(REVENUE, "total_revenue_inr"))
     )

@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from bazaarlake import schemas
 from bazaarlake.functions.typing import MALFORMED
 from bazaarlake.operators import quality
-from bazaarlake.session import prepare, size_shuffles
+from bazaarlake.session import input_bytes, prepare, size_shuffles
 from bazaarlake.sinks.files import drop_stage, publish
 from bazaarlake.sources.catalog import clean_name
-from bazaarlake.sources.files import content_bytes, exists
+from bazaarlake.sources.files import exists
 from bazaarlake.sources.raw_csv import RUN_DATE, scan_run
 
 QUARANTINE = "quarantine"
@@ -61,8 +61,8 @@ def clean_run(spark: SparkSession, job: CleanJob) -> dict[str, dict[str, int]]:
     is replaced by renames at the end.
     """
     prepare(spark)
-    size_shuffles(spark, content_bytes(spark, job.raw_root))
     raw = scan_run(spark, job.raw_root, job.run_date)
+    size_shuffles(spark, max(input_bytes(df) for _, df in raw.items()))
     stage = f"{job.clean_root}/_stage/{uuid.uuid4().hex}"
     report: dict[str, dict[str, int]] = {}
     try:

@@ -10,11 +10,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from bazaarlake import schemas
 from bazaarlake.operators.quality import check_report, require_checks
 from bazaarlake.plans.clean_zone import run_folder_name
+from bazaarlake.session import prepare, size_shuffles
 from bazaarlake.sinks.files import drop_stage, land_csv, publish
 from bazaarlake.sources.raw_csv import scan_run
 from bazaarlake.synth.generate import Maker
 from bazaarlake.tables import RetailTables
 
+# A made item in a shuffle, roughly.
+ITEM_BYTES = 128
+
 
 def row_counts(tables: RetailTables) -> DataFrame:
     """table_name, row_count: one row per table."""
@@ -30,6 +34,8 @@ def row_counts(tables: RetailTables) -> DataFrame:
 
 def make_run(spark: SparkSession, maker: Maker, raw_root: str, run_date: dt.date) -> dict[str, int]:
     """Write the five tables to a stage, check what was written, publish; returns row counts."""
+    prepare(spark)
+    size_shuffles(spark, maker.sizes.target_items * ITEM_BYTES)
     stage = f"{raw_root}/_stage/{uuid.uuid4().hex}"
     try:
         for name, df in maker.tables().items():

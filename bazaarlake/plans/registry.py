@@ -364,9 +364,9 @@ def join_customers_orders(spark, sf_dir):
 
 def star_join(spark, sf_dir):
     tables = raw(spark, sf_dir)
-    named = tables.products.select("product_id", "category_id").join(tables.categories, "category_id")
     items = tables.order_items.select("order_id", "line_no", "product_id", "quantity", "final_price")
-    with_names = skew_join(items, named, "product_id")
+    placed = skew_join(items, tables.products.select("product_id", "category_id"), "product_id")
+    with_names = placed.join(tables.categories, "category_id")
     return portable(skew_join(with_names, tables.orders.select("order_id", "order_status"), "order_id").select(
         "order_id", "line_no", "product_id", "category_name", "order_status", "quantity", "final_price"))
 
@@ -449,9 +449,10 @@ def draw_weighted(spark, sf_dir):
 
 
 def _baskets(spark, sf_dir, popular: bool) -> DataFrame:
-    make, oid = _maker(spark, sf_dir, popular), F.col("order_id")
-    return _order_keys(spark, sf_dir).select(
-        oid, F.concat_ws(",", make.basket(oid, make.basket_size(oid)).cast("array<string>")).alias("basket"))
+    make = _maker(spark, sf_dir, popular)
+    sized = _order_keys(spark, sf_dir).withColumn("basket_size", make.basket_size(F.col("order_id")))
+    return make.with_basket(sized).select(
+        "order_id", F.concat_ws(",", F.col("basket").cast("array<string>")).alias("basket"))
 
 
 def draw_basket(spark, sf_dir):

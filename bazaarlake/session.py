@@ -65,16 +65,42 @@ def estimated_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of everything the plan reads.
+
+    Catalyst's estimate of a join is the product of its sides, which says little about
+    how much work a plan is; the sum over its leaves does.
+    """
+    try:
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    except AttributeError:
+        return 1 << 62
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    """Partitions a shuffle starts with, before adaptive execution merges small ones."""
+    return int(
+        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        or spark.conf.get("spark.sql.shuffle.partitions")
+    )
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Materialise a small result in the shared folder; what built it is not run again."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint(eager=True)
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
     """Raise (never lower) the first partition count of shuffles to fit the input.
 
     Adaptive execution can only merge shuffle partitions, so the first count must
     be large enough that one partition of the largest shuffle fits in memory.
     """
-    current = int(
-        spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-        or spark.conf.get("spark.sql.shuffle.partitions")
-    )
+    current = shuffle_partitions(spark)
     wanted = min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes / PARTITION_BYTES))
     if wanted > current:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))

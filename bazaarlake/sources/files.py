@@ -15,11 +15,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def content_bytes(spark: SparkSession, path: str) -> int:
-    fs, jpath = hadoop_path(spark, path)
-    return fs.getContentSummary(jpath).getLength()
-
-
 def has_file(spark: SparkSession, path: str, suffix: str = ".csv") -> bool:
     """Is there a file with this suffix anywhere below?  Stops at the first."""
     fs, jpath = hadoop_path(spark, path)

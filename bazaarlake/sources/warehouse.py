@@ -10,11 +10,11 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bazaarlake.functions import scalars
 from bazaarlake.operators import defects
-from bazaarlake.session import estimated_bytes, prepare, size_shuffles
+from bazaarlake.session import input_bytes, prepare, size_shuffles
 from bazaarlake.tables import RetailTables
 
 AS_OF = dt.date(2001, 12, 31)
@@ -25,29 +25,47 @@ ITEM_KEY = ("order_id", "line_no")
 BAD_PRODUCT, BAD_QUANTITY, BAD_DATE = 0, 1, 2
 
 
+# Declared, so that no job has to look into the files before a plan can be made.
+_COLUMNS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(_COLUMNS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem")
-    size_shuffles(prepare(spark), estimated_bytes(lines))
+    size_shuffles(prepare(spark), input_bytes(lines))
     picked = F.expr("(l_orderkey * 31 + l_linenumber * 17 + l_partkey * 7 + l_suppkey * 3) % 100")
     return lines.withColumn("defect", picked)
 
 
+def _type_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: the sorted distinct part types, of which there are few."""
+    return read(spark, sf_dir, "part").agg(F.sort_array(F.collect_set("p_type")).alias("names"))
+
+
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct part types, numbered in order: the window runs over the few distinct values."""
-    names = read(spark, sf_dir, "part").select(F.col("p_type").alias("category_name")).distinct()
-    number = F.row_number().over(Window.orderBy("category_name"))
-    return names.select(number.alias("category_id"), "category_name")
+    """Distinct part types, numbered in order."""
+    listed = _type_names(spark, sf_dir).select(F.posexplode("names").alias("position", "category_name"))
+    return listed.select((F.col("position") + 1).alias("category_id"), "category_name")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = read(spark, sf_dir, "part").withColumnRenamed("p_type", "category_name")
-    return part.join(categories(spark, sf_dir), "category_name").select(
+    """Parts with their category number, as a look-up in that one row: a scan to Catalyst, not a join."""
+    number = F.array_position(_type_names(spark, sf_dir).scalar(), F.col("p_type"))
+    return read(spark, sf_dir, "part").where(F.col("p_type").isNotNull()).select(
         F.col("p_partkey").alias("product_id"),
-        "category_id",
+        number.cast("int").alias("category_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_retailprice").cast(scalars.MONEY).alias("default_price"),
     )

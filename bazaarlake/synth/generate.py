@@ -75,24 +75,41 @@ class Maker:
         minute = draws.between(self._draw(label, *ids, slot=1), 0, 59)
         return scalars.day_at(day, hour, minute)
 
-    def signup_date(self, customer_id: Column) -> Column:
-        age = self._draw("signup", customer_id) % (fixed.SIGNUP_WINDOW_DAYS + 1)
-        return F.date_sub(scalars.as_day(self.as_of), age.cast("int"))
+    def signup_age(self, customer_id: Column) -> Column:
+        """Days from sign-up to the day of the run."""
+        return (self._draw("signup", customer_id) % (fixed.SIGNUP_WINDOW_DAYS + 1)).cast("int")
+
+    def _customer_of(self, order_id: Column) -> Column:
+        return F.lit(1) + self._draw("customer", order_id) % self.sizes.customers
+
+    def with_order_date(self, df: DataFrame) -> DataFrame:
+        """Add order_date from order_id and customer_id: a day since the customer's sign-up.
+
+        An expression of ids, so neither orders nor items are joined for it.
+        """
+        later = (self._draw("order_date", F.col("order_id")) % (F.col("_age") + 1)).cast("int")
+        return (
+            df.withColumn("_age", self.signup_age(F.col("customer_id")))
+            .withColumn("order_date", F.date_add(scalars.as_day(self.as_of), later - F.col("_age")))
+            .drop("_age")
+        )
 
     def basket_size(self, order_id: Column) -> Column:
         return draws.weighted(self._draw("basket_size", order_id), fixed.BASKET_SIZE_WEIGHTS)
 
-    def basket(self, order_id: Column, size: Column) -> Column:
-        """Different product ids of one order."""
+    def with_basket(self, df: DataFrame) -> DataFrame:
+        """Add ``basket``: basket_size different product ids for order_id."""
         weights = catalogue.POPULAR_WEIGHTS if self.popular else catalogue.UNIFORM_WEIGHTS
         largest = max(n for n, _ in fixed.BASKET_SIZE_WEIGHTS)
-        picks = draws.distinct_picks(draws.draws(self.seed, "basket", largest, order_id), size, weights)
-        return F.transform(picks, lambda position: position + 1)
+        hs = draws.draws(self.seed, "basket", largest, F.col("order_id"))
+        picked = draws.with_distinct_picks(df, "_picks", hs, F.col("basket_size"), weights)
+        return picked.withColumn("basket", F.transform("_picks", lambda position: position + 1)).drop("_picks")
+
+    def _partitions(self, rows: int) -> int:
+        return max(-(-rows // ROWS_PER_PARTITION), self.spark.sparkContext.defaultParallelism)
 
     def _ids(self, count: int) -> DataFrame:
-        partitions = max(1, -(-count // ROWS_PER_PARTITION))
-        at_least = self.spark.sparkContext.defaultParallelism
-        return self.spark.range(1, count + 1, numPartitions=max(partitions, at_least))
+        return self.spark.range(1, count + 1, numPartitions=self._partitions(count))
 
     # Tables -----------------------------------------------------------------
 
@@ -117,7 +134,7 @@ class Maker:
             F.concat(F.lit("+91"), F.lpad((self._draw("phone", cid) % 10**5).cast("string"), 5, "0"),
                      F.lpad((self._draw("phone", cid, slot=1) % 10**5).cast("string"), 5, "0")).alias("phone"),
             one_of("city", CITIES).alias("city"),
-            self.signup_date(cid).alias("signup_date"),
+            F.date_sub(scalars.as_day(self.as_of), self.signup_age(cid)).alias("signup_date"),
         )
         stamp = self._opening_time(F.col("signup_date"), "customer_time", F.col("customer_id"))
         email = F.concat(F.lower("first_name"), F.lower("last_name"), F.col("suffix").cast("string"),
@@ -130,14 +147,9 @@ class Maker:
     def orders(self) -> DataFrame:
         oid = F.col("order_id")
         picked = self._ids(self.sizes.orders).select(
-            F.col("id").alias("order_id"),
-            (F.lit(1) + self._draw("customer", F.col("id")) % self.sizes.customers).alias("customer_id"),
-        )
-        signup = self.signup_date(F.col("customer_id"))
-        since = F.datediff(scalars.as_day(self.as_of), signup)
-        dated = picked.withColumn(
-            "order_date", F.date_add(signup, (self._draw("order_date", oid) % (since + 1)).cast("int"))
+            F.col("id").alias("order_id"), self._customer_of(F.col("id")).alias("customer_id"),
         )
+        dated = self.with_order_date(picked)
         stamp = self._opening_time(F.col("order_date"), "order_time", oid)
         return dated.select(
             "order_id", "customer_id", "order_date",
@@ -156,33 +168,29 @@ class Maker:
         sized = self._ids(self.sizes.orders).select(
             F.col("id").alias("order_id"), self.basket_size(F.col("id")).alias("basket_size")
         )
-        numbered = running_total_before(sized, "basket_size", "order_id", 1, self.sizes.orders, "items_before")
+        numbered = running_total_before(
+            sized, "basket_size", "order_id", 1, self.sizes.orders, "items_before",
+            partitions=self._partitions(self.sizes.target_items))
         return numbered.where(F.col("items_before") < self.sizes.target_items)
 
     def order_items(self) -> DataFrame:
         """The last order may be cut short at the target, as the count demands."""
-        oid = F.col("order_id")
-        customer = F.lit(1) + self._draw("customer", oid) % self.sizes.customers
-        exploded = self.baskets().select(
-            oid, "items_before",
-            customer.alias("customer_id"),
-            F.posexplode(self.basket(oid, F.col("basket_size"))).alias("position", "product_id"),
+        oid, iid = F.col("order_id"), F.col("order_item_id")
+        exploded = self.with_basket(self.baskets()).select(
+            # Baskets are never empty; the outer form keeps Spark from adding a test for it,
+            # which would work out every basket twice.
+            oid, "items_before", F.posexplode_outer("basket").alias("position", "product_id"),
         )
-        item_id = F.col("items_before") + F.col("position") + 1
-        numbered = exploded.withColumn("order_item_id", item_id).where(
-            F.col("order_item_id") <= self.sizes.target_items
+        numbered = exploded.withColumn("order_item_id", F.col("items_before") + F.col("position") + 1).where(
+            iid <= self.sizes.target_items
         )
-        # The order's date again as an expression: cheaper than a join to orders.
-        signup = self.signup_date(F.col("customer_id"))
-        since = F.datediff(scalars.as_day(self.as_of), signup)
-        day = F.date_add(signup, (self._draw("order_date", oid) % (since + 1)).cast("int"))
-        iid = F.col("order_item_id")
-        drawn = numbered.join(F.broadcast(catalogue.product_facts(self.spark)), "product_id").select(
+        dated = self.with_order_date(numbered.withColumn("customer_id", self._customer_of(oid)))
+        drawn = dated.join(F.broadcast(catalogue.product_facts(self.spark)), "product_id").select(
             iid, oid, "product_id", "product_name",
             draws.weighted(self._draw("quantity", iid), fixed.QUANTITY_WEIGHTS).alias("quantity"),
             F.col("default_price").alias("unit_price"),
             draws.choice(self._draw("discount", iid), F.col("discounts")).alias("discount"),
-            day.alias("day"),
+            F.col("order_date").alias("day"),
         )
         stamp = self._opening_time(F.col("day"), "item_time", iid)
         return drawn.select(
