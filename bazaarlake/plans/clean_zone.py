@@ -18,6 +18,7 @@ from bazaarlake.sources.files import exists
 from bazaarlake.sources.raw_csv import RUN_DATE, scan_run
 
 QUARANTINE = "quarantine"
+VERDICTS = ["true", "false"]
 _DIMENSIONS = ["categories", "products", "customers"]
 _ORDER_REASONS = [MALFORMED, quality.FUTURE_DATE]
 _ITEM_REASONS = [MALFORMED, quality.INVALID_FK, quality.NEGATIVE_QTY, quality.REMOVED_ORDER]
@@ -39,14 +40,23 @@ def run_folder_name(run_date: dt.date) -> str:
 
 def _write_judged(judged: DataFrame, path: str, reasons: list[str]) -> dict[str, int]:
     """Write clean and bad rows in one pass, split by folder, counting on the way."""
-    seen = Observation()
+    seen, spark = Observation(), judged.sparkSession
     counts = [F.count(F.lit(1)).alias("rows"), F.count_if(quality.IS_CLEAN).alias("clean_rows")] + [
         F.count_if(F.array_contains(quality.REASONS, reason)).alias(reason) for reason in reasons
     ]
     judged.observe(seen, *counts).write.mode("overwrite").partitionBy(quality.IS_CLEAN).parquet(path)
+    for verdict in VERDICTS:
+        folder = f"{path}/{quality.IS_CLEAN}={verdict}"
+        if not exists(spark, folder):  # no such rows: an earlier result must not stay
+            spark.createDataFrame([], judged.drop(quality.IS_CLEAN).schema).write.parquet(folder)
     return {name: int(value) for name, value in seen.get.items()}
 
 
+def _read_judged(spark: SparkSession, path: str) -> DataFrame:
+    """The verdict comes back from the folder name as text."""
+    return spark.read.parquet(path).withColumn(quality.IS_CLEAN, F.col(quality.IS_CLEAN).cast("boolean"))
+
+
 def _judge_dimension(table: DataFrame) -> DataFrame:
     return table.withColumns({
         quality.REASONS: F.array_compact(F.array(F.when(F.col(MALFORMED), F.lit(MALFORMED)))),
@@ -73,8 +83,8 @@ def clean_run(spark: SparkSession, job: CleanJob) -> dict[str, dict[str, int]]:
         report["orders"] = _write_judged(judged_orders, f"{stage}/orders", _ORDER_REASONS)
         # Items are judged against the written verdicts, so a lost executor does not
         # send them back to the raw text.
-        verdicts = spark.read.parquet(f"{stage}/orders").select("order_id", quality.IS_CLEAN)
-        products = quality.kept(spark.read.parquet(f"{stage}/products"))
+        verdicts = _read_judged(spark, f"{stage}/orders").select("order_id", quality.IS_CLEAN)
+        products = quality.kept(_read_judged(spark, f"{stage}/products"))
         judged_items = quality.judge_items(raw.order_items.drop(RUN_DATE), products, verdicts)
         report["order_items"] = _write_judged(judged_items, f"{stage}/order_items", _ITEM_REASONS)
         for name in schemas.TABLES:
@@ -90,9 +100,5 @@ def _publish_table(spark: SparkSession, job: CleanJob, stage: str, name: str) ->
         "true": f"{job.clean_root}/{clean_name(name)}/{run}",
         "false": f"{job.clean_root}/{QUARANTINE}/{name}/{run}",
     }
-    for verdict, target in targets.items():
-        staged = f"{stage}/{name}/{quality.IS_CLEAN}={verdict}"
-        if not exists(spark, staged):  # no such rows in this run: an earlier result must not stay
-            empty = spark.read.parquet(f"{stage}/{name}").drop(quality.IS_CLEAN).where("false")
-            empty.write.parquet(staged)
-        publish(spark, staged, target)
+    for verdict in VERDICTS:
+        publish(spark, f"{stage}/{name}/{quality.IS_CLEAN}={verdict}", targets[verdict])
