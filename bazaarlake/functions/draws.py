@@ -31,6 +31,12 @@ def draws(seed: int, label: str, count: int, *ids: Column) -> list[Column]:
     ]
 
 
+def constants(values: Sequence[int | str]) -> Column:
+    """A constant array, parsed in one step."""
+    cells = [str(v) if isinstance(v, int) else "'" + v.replace("'", "\\'") + "'" for v in values]
+    return F.expr(f"array({', '.join(cells)})")
+
+
 def between(h: Column, low: int, high: int) -> Column:
     return F.lit(low) + h % F.lit(high - low + 1)
 
@@ -41,8 +47,8 @@ def choice(h: Column, values: Column) -> Column:
 
 def weighted(h: Column, value_weights: Sequence[tuple]) -> Column:
     """A value as often as its weight says: a look-up in a constant list, one value per unit of weight."""
-    units = [F.lit(value) for value, weight in value_weights for _ in range(weight)]
-    return F.element_at(F.array(*units), (F.lit(1) + h % F.lit(len(units))).cast("int"))
+    units = [value for value, weight in value_weights for _ in range(weight)]
+    return choice(h, constants(units))
 
 
 def with_distinct_picks(
@@ -56,7 +62,7 @@ def with_distinct_picks(
     """
     tickets = [position for position, weight in enumerate(weights) for _ in range(weight)]
     first = [tickets.index(position) for position in range(len(weights))]
-    owner, start, width = (F.array(*[F.lit(v) for v in vs]) for vs in (tickets, first, list(weights)))
+    owner, start, width = (constants(vs) for vs in (tickets, first, weights))
 
     def nth(values: Column, position: Column) -> Column:
         return F.element_at(values, (position + F.lit(1)).cast("int"))

@@ -17,7 +17,6 @@ from bazaarlake.functions import draws, scalars
 from bazaarlake.functions.typing import MALFORMED, apply_types
 from bazaarlake.operators import defects, quality, ranking, totals, versions
 from bazaarlake.operators.joins import skew_join
-from bazaarlake.operators.picks import cutoff_of
 from bazaarlake.plans import analytics
 from bazaarlake.plans.make_run import row_counts
 from bazaarlake.session import prepare, run_folder
@@ -429,12 +428,12 @@ def draw_uniform(spark, sf_dir):
 
 def draw_choice(spark, sf_dir):
     oid = F.col("order_id")
-    names = F.array(*[F.lit(name) for _, name in fixed.CATEGORIES])
+    names = draws.constants([name for _, name in fixed.CATEGORIES])
     category = draws.choice(draws.draw(MAKE_SEED, "category", oid), names)
     return _order_keys(spark, sf_dir).withColumn("category_name", category).select(
         oid, "category_name",
         draws.choice(draws.draw(MAKE_SEED, "payment", oid),
-                     F.array(*[F.lit(p) for p in fixed.PAYMENT_METHODS])).alias("payment_method"),
+                     draws.constants(fixed.PAYMENT_METHODS)).alias("payment_method"),
         draws.choice(draws.draw(MAKE_SEED, "discount", oid),
                      catalogue.discount_list(F.col("category_name"))).alias("discount"))
 
@@ -489,10 +488,7 @@ def gen_order_items(spark, sf_dir):
 
 def defect_pick(spark, sf_dir):
     make = _maker(spark, sf_dir)
-    ids = make.item_ids()
-    iid = F.col("order_item_id")
-    cutoff = cutoff_of(ids, make.defect_draw(iid), "order_item_id", make.defect_count(ids.count()))
-    return ids.where(cutoff.picks(make.defect_draw(iid), iid))
+    return make.item_ids(make.item_count()).where(make.is_defective())
 
 
 def _made(spark, sf_dir) -> RetailTables:

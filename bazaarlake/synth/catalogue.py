@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from bazaarlake import fixed_values as fixed
+from bazaarlake.functions.draws import constants
 from bazaarlake.functions.scalars import MONEY
 
 CATEGORY_COUNT = len(fixed.CATEGORIES)
@@ -26,7 +27,7 @@ def _per_category(lists: dict[str, list]) -> Column:
     """A map literal: category name -> list."""
     pairs = []
     for name, values in lists.items():
-        pairs += [F.lit(name), F.array(*[F.lit(v) for v in values])]
+        pairs += [F.lit(name), constants(values)]
     return F.create_map(*pairs)
 
 

@@ -124,7 +124,7 @@ class Maker:
         suffix = draws.between(self._draw("suffix", cid), 1000, 9999)
 
         def one_of(label: str, values: list[str]) -> Column:
-            return draws.choice(self._draw(label, cid), F.array(*[F.lit(v) for v in values]))
+            return draws.choice(self._draw(label, cid), draws.constants(values))
 
         drawn = self._ids(self.sizes.customers).select(
             cid.alias("customer_id"),
@@ -153,8 +153,7 @@ class Maker:
         stamp = self._opening_time(F.col("order_date"), "order_time", oid)
         return dated.select(
             "order_id", "customer_id", "order_date",
-            draws.choice(self._draw("payment", oid),
-                         F.array(*[F.lit(p) for p in fixed.PAYMENT_METHODS])).alias("payment_method"),
+            draws.choice(self._draw("payment", oid), draws.constants(fixed.PAYMENT_METHODS)).alias("payment_method"),
             draws.weighted(self._draw("status", oid), fixed.STATUS_WEIGHTS).alias("order_status"),
             stamp.alias("created_at"), stamp.alias("updated_at"),
         )
@@ -207,31 +206,29 @@ class Maker:
 
     # Defects ----------------------------------------------------------------
 
-    def item_ids(self) -> DataFrame:
-        """The ids of the items: 1 to the target, or to the last basket if that ends earlier.
-
-        A pick needs only ids, so it does not build the items.
-        """
+    def item_count(self) -> int:
+        """Items up to the target, or up to the last basket if that ends earlier."""
         sized = self._ids(self.sizes.orders).select(self.basket_size(F.col("id")).alias("n"))
-        total = sized.agg(F.sum("n").alias("n")).first()["n"]
-        return self._ids(min(total, self.sizes.target_items)).withColumnRenamed("id", "order_item_id")
+        return min(sized.agg(F.sum("n").alias("n")).first()["n"], self.sizes.target_items)
 
-    def defect_draw(self, item_id: Column) -> Column:
-        return self._draw("defect", item_id)
+    def item_ids(self, count: int) -> DataFrame:
+        """The ids of the items: a pick needs no more, so it does not build the items."""
+        return self._ids(count).withColumnRenamed("id", "order_item_id")
 
-    def defect_count(self, items: int) -> int:
-        return items * fixed.DEFECT_RATE_PERCENT // 100
+    def is_defective(self) -> Column:
+        """Picks the wanted share of items, rounded down, to the exact row."""
+        count, iid = self.item_count(), F.col("order_item_id")
+        draw = self._draw("defect", iid)
+        wanted = count * fixed.DEFECT_RATE_PERCENT // 100
+        return cutoff_of(self.item_ids(count), draw, "order_item_id", wanted).picks(draw, iid)
 
-    def defect_kind(self, items: DataFrame, ids: DataFrame | None = None) -> Column:
-        """Kind of defect of each item: null for most, exactly the wanted number not null."""
-        ids = self.item_ids() if ids is None else ids
-        iid = F.col("order_item_id")
-        cutoff = cutoff_of(ids, self.defect_draw(iid), "order_item_id", self.defect_count(ids.count()))
-        kind = draws.choice(self._draw("defect_kind", iid), F.array(*[F.lit(k) for k in fixed.DEFECT_KINDS]))
-        return F.when(cutoff.picks(self.defect_draw(iid), iid), kind)
+    def defect_kind(self) -> Column:
+        """Kind of defect of each item: null for most."""
+        draw = self._draw("defect_kind", F.col("order_item_id"))
+        return F.when(self.is_defective(), draws.choice(draw, draws.constants(fixed.DEFECT_KINDS)))
 
     def with_defects(self, tables: RetailTables) -> RetailTables:
-        marked = tables.order_items.withColumn("defect", self.defect_kind(tables.order_items))
+        marked = tables.order_items.withColumn("defect", self.defect_kind())
         is_kind = {kind: F.coalesce(F.col("defect") == kind, F.lit(False)) for kind in fixed.DEFECT_KINDS}
         size = draws.between(self._draw("defect_size", F.col("order_item_id")), 1, 5)
         items = defects.break_product(marked, is_kind["invalid_fk"])

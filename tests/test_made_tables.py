@@ -95,7 +95,7 @@ def test_made_tables_follow_the_rules(small):
 
 def test_defects_are_injected_in_exact_number(small):
     sound, dirty = small.sound_tables(), small.tables()
-    kinds = Counter(r["k"] for r in sound.order_items.select(small.defect_kind(sound.order_items).alias("k")).collect())
+    kinds = Counter(r["k"] for r in sound.order_items.select(small.defect_kind().alias("k")).collect())
     assert sum(n for k, n in kinds.items() if k) == 90
     assert dirty.order_items.where("product_id = 9999 AND product_name = 'INVALID_PRODUCT'").count() == kinds["invalid_fk"]
     assert dirty.order_items.where("quantity BETWEEN -5 AND -1 AND final_price = 0").count() == kinds["negative_qty"]
