@@ -15,7 +15,7 @@ from bazaarlake import fixed_values as fixed
 from bazaarlake import schemas
 from bazaarlake.functions import draws, scalars
 from bazaarlake.functions.typing import MALFORMED, apply_types
-from bazaarlake.operators import defects, quality, ranking, totals, versions
+from bazaarlake.operators import quality, ranking, totals, versions
 from bazaarlake.operators.joins import skew_join
 from bazaarlake.plans import analytics
 from bazaarlake.plans.make_run import row_counts
@@ -197,9 +197,8 @@ def publish_run(spark, sf_dir):
 
 
 def run_summary(spark, sf_dir):
-    rate = F.when(F.col("table_name") == "order_items", fixed.DEFECT_RATE_PERCENT).otherwise(0)
-    return row_counts(raw(spark, sf_dir)).withColumn("expected_dirty", F.expr("row_count")
-        * rate).withColumn("expected_dirty", F.expr("expected_dirty div 100"))
+    rate = f"CASE table_name WHEN 'order_items' THEN {fixed.DEFECT_RATE_PERCENT} ELSE 0 END"
+    return row_counts(raw(spark, sf_dir)).withColumn("expected_dirty", F.expr(f"row_count * {rate} div 100"))
 
 
 # Cleaning rules ---------------------------------------------------------------

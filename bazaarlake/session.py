@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 PARTITION_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 50_000
 
-# Skewed joins are split even when that costs the next aggregate one more
-# exchange; a partitioned write keeps its few files open instead of sorting.
+# Skewed joins are split even when that costs the next aggregate one more exchange;
+# a shuffled join whose build partitions turn out small hashes instead of sorting; a
+# partitioned write keeps its few files open instead of sorting.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
@@ -28,6 +30,7 @@ DEFAULTS = {
 # Spark's own values: a session that still shows one of these was not tuned.
 _BUILT_IN = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0b",
     "spark.sql.maxConcurrentOutputFileWriters": "0",
 }
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from bazaarlake.functions.scalars import stamp_text
 from bazaarlake.sources.files import hadoop_path
-from bazaarlake.sources.raw_csv import RUN_DATE
+from bazaarlake.sources.raw_csv import CSV_FORM, RUN_DATE
 
 
 def _as_csv_text(df: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def _as_csv_text(df: DataFrame) -> DataFrame:
 def write_dated_csv(df: DataFrame, root: str, table: str, run_date: dt.date) -> str:
     """``<root>/<table>/<table>_YYYYMMDD.csv``: a folder of part files, replaced as a whole."""
     path = f"{root}/{table}/{table}_{run_date:%Y%m%d}.csv"
-    _as_csv_text(df).write.mode("overwrite").option("header", True).csv(path)
+    _as_csv_text(df).write.mode("overwrite").options(**CSV_FORM).csv(path)
     return path
 
 
@@ -34,7 +34,7 @@ def land_csv(df: DataFrame, root: str, table: str, run_date: dt.date) -> str:
     (
         _as_csv_text(df).withColumn(RUN_DATE, F.lit(run_date).cast("date"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .option("header", True).partitionBy(RUN_DATE).csv(path)
+        .options(**CSV_FORM).partitionBy(RUN_DATE).csv(path)
     )
     return path
 
@@ -46,7 +46,7 @@ def write_parquet(df: DataFrame, path: str) -> str:
 
 def write_result(df: DataFrame, path: str) -> str:
     """A query result as CSV; part files are in the order of the result."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV_FORM).csv(path)
     return path
 
 

@@ -31,7 +31,7 @@ def register_raw(spark: SparkSession, database: str, root: str) -> None:
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")
         spark.sql(
             f"CREATE TABLE `{database}`.`{table}` ({_columns(text_columns)}) USING csv "
-            f"OPTIONS (header 'true', recursiveFileLookup 'true', pathGlobFilter '*.csv') "
+            f"OPTIONS (header 'true', escape '\"', recursiveFileLookup 'true', pathGlobFilter '*.csv') "
             f"LOCATION '{root}/{table}'"
         )
 

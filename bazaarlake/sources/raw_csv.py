@@ -31,13 +31,19 @@ def require_source(spark: SparkSession, root: str | None, tables: list[str] = sc
             raise SourceMissing(f"no CSV file for {table} below {root}")
 
 
+# Quotes inside quoted cells are doubled, as CSV writers other than Spark's do by default.
+CSV_FORM = {"header": "true", "quote": '"', "escape": '"'}
+
+
 def csv_options() -> dict[str, str]:
     return {
-        "header": "true",
+        **CSV_FORM,
         "recursiveFileLookup": "true",
         "pathGlobFilter": "*.csv",
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": schemas.CORRUPT_COLUMN,
+        # Whether a line counts as malformed must not depend on the columns a query asks for.
+        "columnPruning": "false",
     }
 
 

@@ -74,6 +74,15 @@ def test_line_with_missing_cells_is_marked(spark, root):
     write_text(root, "orders", "orders_20250406.csv", [ORDER_HEAD, order_line(1), "2,1"])
     orders = raw_csv.scan_table(spark, root, "orders")
     assert {r["order_id"]: r["malformed"] for r in orders.collect()} == {1: False, 2: True}
+    assert {r["order_id"]: r["malformed"] for r in orders.select("order_id", "malformed").collect()} == {1: False, 2: True}
+
+
+def test_quoted_cells_survive_both_ways(spark, root):
+    write_text(root, "categories", "categories_20250406.csv", ["category_id,category_name", '1,"Toys, ""Games"""'])
+    found = raw_csv.scan_table(spark, root, "categories").select("category_id", "category_name")
+    assert found.first()["category_name"] == 'Toys, "Games"'
+    sink.write_dated_csv(found, f"{root}/again", "categories", FIRST)
+    assert raw_csv.scan_table(spark, f"{root}/again", "categories").first()["category_name"] == 'Toys, "Games"'
 
 
 def test_one_run_is_read_alone(spark, root):
@@ -152,7 +161,8 @@ def test_weekly_runs_do_not_mix(spark, root):
     alone = run_scope(clean_tables(spark, names["clean_database"]), FIRST)
     answer = rows_of(analytics.revenue_by_category(alone))
     weekly_run(spark, root, SECOND, target_items=1000, seed=2, **names)
-    weekly_run(spark, root, SECOND, target_items=1000, seed=2, **names)  # a rerun replaces its run
+    clean_run(spark, CleanJob(f"{root}/raw", f"{root}/clean", SECOND, SECOND))  # a rerun replaces its run
+    register_clean(spark, names["clean_database"], f"{root}/clean")
     tables = clean_tables(spark, names["clean_database"])
     assert {r["run_date"] for r in tables.products.select("run_date").distinct().collect()} == {FIRST, SECOND}
     assert tables.products.count() == 98
