@@ -125,31 +125,3 @@ def with_known_key(df: DataFrame, keys: DataFrame, key: str, flag: str) -> DataF
     else:
         joined = skew_join(df, unknown, key, "left")
     return joined.withColumn(flag, F.col(key).isNotNull() & F.col("_unknown").isNull()).drop("_unknown")
-
-
-def combine_hot_keys(
-    df: DataFrame,
-    key: str,
-    group_by: list[str],
-    sums: dict[str, str],
-    check_bytes: int = SKEW_CHECK_BYTES,
-) -> DataFrame:
-    """Collapse the rows of hot keys to one per group before a join on ``key``.
-
-    ``sums`` maps column -> type.  Rows of other keys pass as they are, so the
-    caller's own sum over the result equals the sum over ``df``.
-    """
-    columns = [*group_by, *sums]
-    plain = df.select(*group_by, *[F.col(c).cast(kind).alias(c) for c, kind in sums.items()])
-    if input_bytes(df) < check_bytes:
-        return plain
-    hot = list(hot_keys(df, key))
-    if not hot:
-        return plain
-    is_hot = F.col(key).isin(hot)
-    combined = (
-        plain.where(is_hot)
-        .groupBy(*group_by)
-        .agg(*[F.sum(c).cast(kind).alias(c) for c, kind in sums.items()])
-    )
-    return plain.where(~is_hot | F.col(key).isNull()).select(*columns).unionByName(combined)

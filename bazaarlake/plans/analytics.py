@@ -1,8 +1,8 @@
 """The five business questions, on clean tables.
 
-Every query collapses the item lines before they meet anything large: a key that
-holds a third of all lines leaves each map task as a single row.  Distinct orders are
-counted on rows that are already one per order.
+Distinct orders are counted on rows that are already one per order and group, so no
+query needs Spark's distinct aggregation over item lines; where lines are not joined to
+orders, they are summed per product before anything else.
 """
 
 from __future__ import annotations
@@ -11,13 +11,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from bazaarlake import fixed_values as fixed
 from bazaarlake.functions import scalars
-from bazaarlake.operators.joins import combine_hot_keys, skew_join
+from bazaarlake.operators.joins import skew_join
 from bazaarlake.operators.ranking import rank_within, top_k
-from bazaarlake.operators.totals import (
-    REVENUE, REVENUE_TYPE, UNITS, UNITS_TYPE, line_money, share_of_all, totals_by,
-)
+from bazaarlake.operators.totals import REVENUE, UNITS, share_of_all, totals_by, totals_per_order
 from bazaarlake.tables import RetailTables
 
+_LINE = ["order_id", "quantity", "final_price"]
+
 
 def completed(orders: DataFrame, *columns: str) -> DataFrame:
     return orders.where(F.col("order_status") == fixed.COMPLETED).select(*columns)
@@ -28,25 +28,20 @@ def _money(total, name: str):
 
 
 def completed_order_totals(tables: RetailTables, *order_columns: str) -> DataFrame:
-    """Item totals per order, joined to the completed orders: one row per order row.
-
-    Both sides arrive hashed by order_id, so grouping the result by anything that
-    includes order_id needs no further shuffle.
-    """
-    totals = totals_by(tables.order_items, "order_id")
-    return totals.join(completed(tables.orders, "order_id", *order_columns), "order_id")
+    """Item totals of every completed order, with columns of the order."""
+    keys = ["order_id", *order_columns]
+    return totals_per_order(tables.order_items.select(*_LINE), completed(tables.orders, *keys), keys)
 
 
 def revenue_by_category(tables: RetailTables) -> DataFrame:
     """Orders, units and revenue per category, completed orders only, best first."""
-    lines = line_money(tables.order_items, "order_id", "product_id")
+    lines = tables.order_items.select("product_id", *_LINE)
     placed = skew_join(lines, tables.products.select("product_id", "category_id"), "product_id")
-    sold = placed.join(tables.categories, "category_id")
-    keys = ["category_name", "order_id"]
-    combined = combine_hot_keys(sold, "order_id", keys, {UNITS: UNITS_TYPE, REVENUE: REVENUE_TYPE})
-    per_order = (
-        combined.join(completed(tables.orders, "order_id"), "order_id")
-        .groupBy(*keys).agg(F.sum(UNITS).alias(UNITS), F.sum(REVENUE).alias(REVENUE))
+    per_order = totals_per_order(
+        placed.select("category_id", *_LINE),
+        completed(tables.orders, "order_id"),
+        ["category_name", "order_id"],
+        names=(tables.categories, "category_id"),
     )
     return (
         per_order.groupBy("category_name")
@@ -61,11 +56,7 @@ def revenue_by_category(tables: RetailTables) -> DataFrame:
 
 def spend_by_customer(tables: RetailTables) -> DataFrame:
     """Orders and spend of every customer with a completed order."""
-    per_order = (
-        completed_order_totals(tables, "customer_id")
-        .groupBy("customer_id", "order_id").agg(F.sum(REVENUE).alias(REVENUE))
-    )
-    spend = per_order.groupBy("customer_id").agg(
+    spend = completed_order_totals(tables, "customer_id").groupBy("customer_id").agg(
         F.count("order_id").alias("orders"), F.sum(REVENUE).alias(REVENUE)
     )
     person = ["customer_id", "first_name", "last_name", "city"]
@@ -107,11 +98,7 @@ def monthly_trend(tables: RetailTables) -> DataFrame:
 
 def payment_split(tables: RetailTables) -> DataFrame:
     """Orders, their share in percent, and revenue per payment method, completed orders only."""
-    per_order = (
-        completed_order_totals(tables, "payment_method")
-        .groupBy("payment_method", "order_id").agg(F.sum(REVENUE).alias(REVENUE))
-    )
-    per_method = per_order.groupBy("payment_method").agg(
+    per_method = completed_order_totals(tables, "payment_method").groupBy("payment_method").agg(
         F.count("order_id").alias("total_orders"), _money(REVENUE, "total_revenue_inr")
     )
     return (

@@ -1,11 +1,14 @@
 """Hot keys: found, spread or collapsed, and never a different result."""
 
 import pytest
+from conftest import hand_made, rows_of
 from pyspark.sql import functions as F
 
-from bazaarlake.operators.joins import combine_hot_keys, hot_keys, parse_bytes, skew_join
+from bazaarlake.operators import joins
+from bazaarlake.operators.joins import hot_keys, parse_bytes, skew_join
 from bazaarlake.operators.prefix import running_total_before
 from bazaarlake.operators.ranking import full_rank_within, rank_within
+from bazaarlake.plans import analytics
 
 
 @pytest.fixture(scope="module")
@@ -64,15 +67,19 @@ def test_other_join_kinds_are_refused(facts, dims):
         skew_join(facts, dims, "k", "full")
 
 
-def test_combined_hot_keys_keep_every_sum(facts):
-    combined = combine_hot_keys(facts, "k", ["k", "g"], {"v": "bigint"}, check_bytes=0)
-    assert combined.where("k = 7").count() == 4
-    assert combined.where("k is null").count() == facts.where("k is null").count()
-
-    def sums(df):
-        return {(r["k"], r["g"]): r["s"] for r in df.groupBy("k", "g").agg(F.sum("v").alias("s")).collect()}
-
-    assert sums(combined) == sums(facts)
+@pytest.mark.parametrize("question", list(analytics.QUESTIONS.values()))
+def test_questions_with_a_hot_order_product_and_customer(spark, monkeypatch, question):
+    """Order 1, product 3 and customer 1 hold a third of their tables; both ways agree."""
+    n = range(3000)
+    items = [(i, 1 if i % 3 == 0 else i % 400, 3 if i % 3 < 2 else 1 + i % 3, 1 + i % 5, f"{i % 97}.25") for i in n]
+    orders = [(i, 1 if i % 3 == 0 else i % 50, f"2025-0{1 + i % 3}-11", ["UPI", "Card"][i % 2],
+               "pending" if i % 7 == 0 else "completed") for i in range(400)]
+    customers = [(i, f"F{i}", "L", "C") for i in range(50)]
+    tables = hand_made(spark, items=items, orders=orders, customers=customers)
+    plain = rows_of(question(tables))
+    monkeypatch.setattr(joins, "SKEW_CHECK_BYTES", 0)
+    assert 1 in joins.hot_keys(tables.order_items, "order_id")
+    assert rows_of(question(tables)) == plain and plain
 
 
 def test_running_total_equals_plain_window(spark):
