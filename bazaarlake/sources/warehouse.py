@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from bazaarlake.functions import scalars
 from bazaarlake.operators import defects
-from bazaarlake.session import input_bytes, prepare, size_shuffles
+from bazaarlake.session import PARTITION_BYTES, input_bytes, prepare, size_shuffles
 from bazaarlake.tables import RetailTables
 
 AS_OF = dt.date(2001, 12, 31)
@@ -22,6 +22,9 @@ AS_OF = dt.date(2001, 12, 31)
 UNKNOWN_PRODUCT = 999_999_999
 ITEM_KEY = ("order_id", "line_no")
 
+# Scans of this size and more, but less than one split, are spread over all cores.
+WORTH_SPREADING = 4 * 1024 * 1024
+
 BAD_PRODUCT, BAD_QUANTITY, BAD_DATE = 0, 1, 2
 
 
@@ -44,7 +47,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = read(spark, sf_dir, "lineitem")
-    size_shuffles(prepare(spark), input_bytes(lines))
+    size = input_bytes(lines)
+    size_shuffles(prepare(spark), size)
+    if WORTH_SPREADING < size < PARTITION_BYTES:
+        # Less than one split is one task; hashed by order it is ready for the joins to come.
+        lines = lines.repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
     picked = F.expr("(l_orderkey * 31 + l_linenumber * 17 + l_partkey * 7 + l_suppkey * 3) % 100")
     return lines.withColumn("defect", picked)
 
