@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,18 @@ from pyspark.sql import functions as F
 from bazaarlake.session import run_folder
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Python workers of this machine find this package where the driver found it, as if it were installed."""
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(x for x in (ROOT, paths) if x)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import byte_bpe, packing, sharding
-from bazaarlake.llm.common import table
+from bazaarlake.llm import byte_bpe, language, packing, quality, sharding, toxicity
+from bazaarlake.llm.common import fold, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
 WORD_TOKENIZER = "word_bpe_49k.json"
@@ -21,6 +21,26 @@ def vocabulary(name: str) -> bytes:
     return Path(public_tokenizers.path(name)).read_bytes()
 
 
+def op2_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.concat_ws(",", "broken").alias("broken"))
+
+
+def op3_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(fold("doc_id", 5) != 0))
+    return toxicity.scored(docs.select("doc_id", "text"), model, "score").select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op4_byte_network_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = language.fit(docs.where(fold("doc_id", 4) != 2))
+    return language.identified(docs.select("doc_id", "text"), network).select(
+        "doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op5_contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_contiguous(table(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -42,6 +62,9 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_adaptive_quality": op2_adaptive_quality,
+    "op3_counterfactual_toxicity": op3_counterfactual_toxicity,
+    "op4_byte_network_language": op4_byte_network_language,
     "op5_contiguous_shards": op5_contiguous_shards,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
