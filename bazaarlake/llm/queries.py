@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import byte_bpe, language, packing, quality, sharding, toxicity
+from bazaarlake.llm import byte_bpe, language, neighbours, packing, quality, sharding, toxicity
 from bazaarlake.llm.common import fold, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -61,6 +61,10 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(WORD_TOKENIZER).decode())
 
 
+def op9_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 QUERIES = {
     "op2_adaptive_quality": op2_adaptive_quality,
     "op3_counterfactual_toxicity": op3_counterfactual_toxicity,
@@ -68,6 +72,7 @@ QUERIES = {
     "op5_contiguous_shards": op5_contiguous_shards,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
+    "op9_hash_prefix_forest": op9_hash_prefix_forest,
 }
 
 ORACLE_SQL: dict[str, str] = {}
