@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import byte_bpe, language, neighbours, packing, quality, sharding, toxicity
+from bazaarlake.llm import byte_bpe, language, neighbours, packing, quality, secrets, sharding, toxicity
 from bazaarlake.llm.common import fold, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -21,6 +21,16 @@ def vocabulary(name: str) -> bytes:
     return Path(public_tokenizers.path(name)).read_bytes()
 
 
+def op1_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scanned(docs, secrets.fit(docs))
+    of_kind = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"),
+        F.sha2(secrets.as_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secrets.as_text(F.col("spans")).alias("spans"))
+
+
 def op2_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -66,6 +76,7 @@ def op9_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_markov_secrets": op1_markov_secrets,
     "op2_adaptive_quality": op2_adaptive_quality,
     "op3_counterfactual_toxicity": op3_counterfactual_toxicity,
     "op4_byte_network_language": op4_byte_network_language,
