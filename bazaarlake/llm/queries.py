@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import byte_bpe, language, neighbours, packing, quality, secrets, sharding, toxicity
+from bazaarlake.llm import byte_bpe, language, line_dedup, neighbours, packing, quality, secrets, sharding, toxicity
 from bazaarlake.llm.common import fold, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -75,6 +75,17 @@ def op9_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op10_segment_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n")))
+    counted = docs.select("doc_id", line_dedup.text_key(F.col("text")).alias("text_key"), lines.alias("n_lines"))
+    gone = line_dedup.removed_lines(docs)
+    joined = counted.join(gone, counted["doc_id"].eqNullSafe(gone["id"]) & (counted["text_key"] == gone["key"]), "left")
+    return joined.select(
+        "doc_id", "n_lines", F.coalesce(F.size("removed"), F.lit(0)).alias("n_removed"),
+        F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"))
+
+
 QUERIES = {
     "op1_markov_secrets": op1_markov_secrets,
     "op2_adaptive_quality": op2_adaptive_quality,
@@ -84,6 +95,7 @@ QUERIES = {
     "op6_byte_bpe": op6_byte_bpe,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
     "op9_hash_prefix_forest": op9_hash_prefix_forest,
+    "op10_segment_line_dedup": op10_segment_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
