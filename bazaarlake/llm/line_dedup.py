@@ -170,9 +170,14 @@ def marked(docs: DataFrame, removed_col: str = "removed", id_col: str = "doc_id"
     return joined.drop(id_name, key_name).withColumn(removed_col, F.coalesce(removed_col, F.array().cast("array<int>")))
 
 
+def text_without(text: Column, removed: Column) -> Column:
+    """A text without the lines of those numbers."""
+    kept = F.filter(F.split(text, "\n"), lambda _, i: ~F.array_contains(removed, i))
+    return F.when(F.size(removed) > 0, F.array_join(kept, "\n")).otherwise(text)
+
+
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents, each text without the lines that occur earlier."""
     removed = free_name(docs, "__removed")
-    kept = F.filter(F.split(text_col, "\n"), lambda _, i: ~F.array_contains(removed, i))
-    return marked(docs, removed, id_col, text_col, edits, min_chars).withColumn(
-        text_col, F.when(F.size(removed) > 0, F.array_join(kept, "\n")).otherwise(F.col(text_col))).select(*docs.columns)
+    found = marked(docs, removed, id_col, text_col, edits, min_chars)
+    return found.withColumn(text_col, text_without(F.col(text_col), F.col(removed))).select(*docs.columns)

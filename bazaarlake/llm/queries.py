@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import byte_bpe, language, line_dedup, neighbours, packing, quality, secrets, sharding, toxicity
+from bazaarlake.llm import byte_bpe, language, line_dedup, neighbours, order_minhash, packing, quality, secrets, sharding, toxicity
 from bazaarlake.llm.common import fold, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -71,6 +71,10 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(WORD_TOKENIZER).decode())
 
 
+def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.classed(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links")
+
+
 def op9_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -94,6 +98,7 @@ QUERIES = {
     "op5_contiguous_shards": op5_contiguous_shards,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_sum_of_squares_packing": op7_sum_of_squares_packing,
+    "op8_order_minhash": op8_order_minhash,
     "op9_hash_prefix_forest": op9_hash_prefix_forest,
     "op10_segment_line_dedup": op10_segment_line_dedup,
 }
