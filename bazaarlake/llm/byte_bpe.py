@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from bazaarlake.llm.chunks import ChunkEncodings
 
-DOCS_AT_ONCE = 1024
+DOCS_AT_ONCE = 256
 #: Cells of one array of trees; wider batches are cut.
-CELLS_AT_ONCE = 1 << 20
+CELLS_AT_ONCE = 1 << 19
 _NONE = np.int64(1) << 62
 _SIDE_BY_SIDE = re.compile(r"\s\s")
 
@@ -55,7 +55,7 @@ class ByteBpe:
         order = np.argsort(np.array(keys, dtype=np.int64))
         self.keys = np.append(np.array(keys, dtype=np.int64)[order], np.iinfo(np.int64).max)
         self.formed = np.append(np.array(formed, dtype=np.int64)[order], -1)
-        self.chunks = ChunkEncodings(self._encode_spaced)
+        self.chunks = ChunkEncodings(self._encode_spaced, most=300_000)
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left << 32) + right
