@@ -1,127 +1,16 @@
-"""Equi-joins that hold at any size: broadcast by checked size, salt by found skew.
+"""Key look-ups that are the same plan at every size.
 
-Catalyst broadcasts a side under ``spark.sql.autoBroadcastJoinThreshold`` and
-adaptive execution splits skewed partitions it sees at run time.  What is added here
-are the two cases neither covers: a key so hot that its rows must be spread before
-they are shuffled, and a wide fact that only needs a yes/no from a large table.
+Nothing here measures its input.  Whether a side is broadcast is the optimizer's decision by its
+size threshold, and a hot key is split by adaptive execution (``session.DEFAULTS`` turns the skewed
+join handling on, also where it costs the next aggregate an exchange).
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, functions as F
-
-from bazaarlake.session import checkpointed, estimated_bytes, input_bytes, shuffle_partitions
-
-# A key is hot above this share of the rows.  At most 1/HOT_SHARE keys can be, so
-# asking the sketch for that many misses none.
-HOT_SHARE = 0.002
-_SKETCH_ITEMS = 20_000
-# Plans that read less than this are not worth the check: a third of it fits one task.
-SKEW_CHECK_BYTES = 4 * 1024**3
-# Most keys that are ever broadcast after counting them (some 64 MB in memory).
-MAX_BROADCAST_KEYS = 1_000_000
-_MAX_SALTS = 4096
-
-_SALT = "_salt"
-_HOT = "_hot_key"
-
-
-def parse_bytes(text: str) -> int:
-    text = text.strip().lower()
-    for suffix, shift in (("kb", 10), ("mb", 20), ("gb", 30), ("k", 10), ("m", 20), ("g", 30), ("b", 0)):
-        if text.endswith(suffix):
-            return int(text[: -len(suffix)]) << shift
-    return int(text)
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    limit = parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return estimated_bytes(df) <= limit
-
-
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE) -> dict:
-    """Keys holding more than ``share`` of the rows, with their share.
-
-    One narrow scan with a frequent-items sketch per task; the sketch's error
-    (rows / 5000) is below the share, so every key above it is reported.
-    """
-    wanted = math.ceil(1 / share)
-    row = df.agg(
-        F.expr(f"approx_top_k(`{key}`, {wanted}, {_SKETCH_ITEMS})").alias("top"),
-        F.count(F.lit(1)).alias("rows"),
-    ).first()
-    floor = row["rows"] * share
-    return {
-        entry["item"]: entry["count"] / row["rows"]
-        for entry in row["top"] or []
-        if entry["item"] is not None and entry["count"] > floor
-    }
-
-
-def _salt_table(df: DataFrame, key: str, hot: dict, partitions: int) -> DataFrame:
-    """One row per hot key with the number of pieces its rows are cut into (at most 1/HOT_SHARE rows)."""
-    kind = df.schema[key].dataType.simpleString()
-    rows = [(k, max(2, min(_MAX_SALTS, math.ceil(share * partitions)))) for k, share in hot.items()]
-    return df.sparkSession.createDataFrame(rows, f"{_HOT} {kind}, _pieces int")
-
-
-def _row_spread(df: DataFrame) -> Column:
-    """Differs between rows, and between copies of one row in different input splits; same on retry."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) + F.spark_partition_id()
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "inner",
-    check_bytes: int = SKEW_CHECK_BYTES,
-) -> DataFrame:
-    """``left.join(right, key, how)`` for inner, left and left_semi, with hot left keys spread.
-
-    The check is skipped when the left side is small or the right one is broadcast.
-    """
-    if how not in ("inner", "left", "left_semi"):
-        raise ValueError(f"cannot spread a {how} join")
-    if input_bytes(left) < check_bytes or (check_bytes and fits_broadcast(right)):
-        return left.join(right, key, how)
-    hot = hot_keys(left, key)
-    if not hot:
-        return left.join(right, key, how)
-    pieces = F.broadcast(_salt_table(left, key, hot, shuffle_partitions(left.sparkSession)))
-    spread = (
-        left.withColumn("_spread", _row_spread(left))
-        .join(pieces, F.col(key) == F.col(_HOT), "left")
-        .withColumn(_SALT, F.when(F.col("_pieces").isNull(), 0).otherwise(F.expr("pmod(_spread, _pieces)")).cast("int"))
-        .drop(_HOT, "_pieces", "_spread")
-    )
-    copied = (
-        right.join(pieces, F.col(key) == F.col(_HOT), "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces") - 1, F.lit(0)))))
-        .drop(_HOT, "_pieces")
-    )
-    joined = spread.join(copied, [key, _SALT], how)
-    return joined.drop(_SALT)
+from pyspark.sql import DataFrame, functions as F
 
 
 def with_known_key(df: DataFrame, keys: DataFrame, key: str, flag: str) -> DataFrame:
-    """Add ``flag``: is ``key`` found in ``keys``?  Null is never found.
-
-    Small key table: one broadcast left join.  Large one: the distinct keys of the fact
-    are reduced to the unknown ones first, in a narrow pass.  They are usually few, and
-    counted before they are broadcast; then the wide rows are not shuffled at all.
-    """
-    known = keys.select(key).distinct()
-    if fits_broadcast(keys.select(key)):
-        marked = known.withColumn(flag, F.lit(True))
-        return df.join(marked, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-    unknown = checkpointed(
-        df.select(key).where(F.col(key).isNotNull()).distinct().join(known, key, "left_anti")
-    ).withColumn("_unknown", F.lit(True))
-    if unknown.count() <= MAX_BROADCAST_KEYS:
-        joined = df.join(F.broadcast(unknown), key, "left")
-    else:
-        joined = skew_join(df, unknown, key, "left")
-    return joined.withColumn(flag, F.col(key).isNotNull() & F.col("_unknown").isNull()).drop("_unknown")
+    """Add ``flag``: is ``key`` found in ``keys``?  Null is never found.  One left join."""
+    known = keys.select(key).distinct().withColumn(flag, F.lit(True))
+    return df.join(known, key, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))

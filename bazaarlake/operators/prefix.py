@@ -6,7 +6,6 @@ import math
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-MAX_BUCKETS = 50_000
 MIN_WIDTH = 1_000
 
 
@@ -16,12 +15,13 @@ def running_total_before(
     """Add ``name``: the sum of ``value`` over all rows with a smaller ``order_id``.
 
     ``order_id`` must be unique integers that fill [lowest, highest] densely.  The
-    range is cut into at most MAX_BUCKETS equal buckets: their sums form a table of
-    bounded size, and a window inside each bucket does the rest in parallel.  The
+    range is cut into as many equal buckets as a bucket has ids (the square root of the
+    range), so that neither the table of their sums nor a bucket grows as the table does;
+    a window inside each bucket does the rest in parallel.  The
     result keeps the given number of partitions: its rows are narrow here, so merging
     by size would leave too few tasks for what is computed from them.
     """
-    width = max(MIN_WIDTH, math.ceil((highest - lowest + 1) / MAX_BUCKETS))
+    width = max(MIN_WIDTH, math.isqrt(highest - lowest + 1))
     bucketed = df.withColumn("_bucket", F.expr(f"({order_id} - {lowest}) div {width}"))
     in_order = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (

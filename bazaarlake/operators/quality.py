@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from bazaarlake.functions.scalars import as_day
 from bazaarlake.functions.typing import MALFORMED
-from bazaarlake.operators.joins import skew_join, with_known_key
+from bazaarlake.operators.joins import with_known_key
 
 REASONS = "reasons"
 IS_CLEAN = "is_clean"
@@ -40,7 +40,7 @@ def not_in_future(orders: DataFrame, as_of: dt.date) -> DataFrame:
 
 def with_kept_order(items: DataFrame, kept_orders: DataFrame) -> DataFrame:
     """Items whose order is kept: a removed order takes its items along."""
-    return skew_join(items, kept_orders.select("order_id"), "order_id", "left_semi").select(*items.columns)
+    return items.join(kept_orders.select("order_id"), "order_id", "left_semi").select(*items.columns)
 
 
 # The clean tables alone ---------------------------------------------------
@@ -89,7 +89,7 @@ def judge_items(items: DataFrame, products: DataFrame, judged_orders: DataFrame)
     """Every item with its reasons for removal; an item is clean iff ``clean_items`` keeps it."""
     verdicts = judged_orders.groupBy("order_id").agg(F.bool_or(IS_CLEAN).alias("_order_kept"))
     looked_up = with_known_key(items, products, "product_id", "_known")
-    joined = skew_join(looked_up, verdicts, "order_id", "left")
+    joined = looked_up.join(verdicts, "order_id", "left")
     tests = [
         (MALFORMED, _malformed(items, "quantity")),
         (INVALID_FK, ~F.col("_known")),
@@ -118,11 +118,11 @@ def reason_counts(judged: DataFrame) -> DataFrame:
 
 # Table checks ---------------------------------------------------------------
 
-def _check(df: DataFrame, tests: Sequence[tuple[str, Column]]) -> DataFrame:
+def _check(df: DataFrame, tests: Sequence[tuple[int, str, Column]]) -> DataFrame:
     """Count the bad rows of all checks on one table in one pass, one output row per check."""
-    counted = df.agg(*[bad.cast("bigint").alias(f"c{i}") for i, (_, bad) in enumerate(tests)])
-    cells = ", ".join(f"'{message}', c{i}" for i, (message, _) in enumerate(tests))
-    return counted.selectExpr(f"stack({len(tests)}, {cells}) AS (check_name, bad_rows)")
+    counted = df.agg(*[bad.cast("bigint").alias(f"c{number}") for number, _, bad in tests])
+    cells = ", ".join(f"{number}, '{message}', c{number}" for number, message, _ in tests)
+    return counted.selectExpr(f"stack({len(tests)}, {cells}) AS (number, check_name, bad_rows)")
 
 
 def _off_by(expected: int) -> Column:
@@ -145,30 +145,33 @@ def check_report(
     contact: str = "email",
     item_key: Sequence[str] = ("order_item_id",),
 ) -> DataFrame:
-    """Eleven checks on the five tables: check_name, passed, bad_rows."""
+    """Eleven checks on the five tables: check_name, passed, bad_rows.
+
+    All sizes come first, then unique keys, then missing and negative values.
+    """
     parts = [
-        _check(tables.categories, [(f"categories has exactly {categories} rows", _off_by(categories))]),
-        _check(tables.products, [(f"products has exactly {products} rows", _off_by(products))]),
+        _check(tables.categories, [(1, f"categories has exactly {categories} rows", _off_by(categories))]),
+        _check(tables.products, [(2, f"products has exactly {products} rows", _off_by(products))]),
         _check(tables.customers, [
-            ("customers is not empty", _is_empty()),
-            ("customer ids are unique", _repeats("customer_id")),
-            (f"customers have {contact}", F.count_if(F.col(contact).isNull())),
+            (3, "customers is not empty", _is_empty()),
+            (6, "customer ids are unique", _repeats("customer_id")),
+            (9, f"customers have {contact}", F.count_if(F.col(contact).isNull())),
         ]),
         _check(tables.orders, [
-            ("orders is not empty", _is_empty()),
-            ("order ids are unique", _repeats("order_id")),
-            ("orders have a customer", F.count_if(F.col("customer_id").isNull())),
+            (4, "orders is not empty", _is_empty()),
+            (7, "order ids are unique", _repeats("order_id")),
+            (10, "orders have a customer", F.count_if(F.col("customer_id").isNull())),
         ]),
         _check(tables.order_items, [
-            ("order items is not empty", _is_empty()),
-            ("order item ids are unique", _repeats(*item_key)),
-            ("unit prices are not negative", F.count_if(F.col("unit_price") < 0)),
+            (5, "order items is not empty", _is_empty()),
+            (8, "order item ids are unique", _repeats(*item_key)),
+            (11, "unit prices are not negative", F.count_if(F.col("unit_price") < 0)),
         ]),
     ]
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)
-    return report.select("check_name", (F.col("bad_rows") == 0).alias("passed"), "bad_rows")
+    return report.orderBy("number").select("check_name", (F.col("bad_rows") == 0).alias("passed"), "bad_rows")
 
 
 class CheckFailed(ValueError):

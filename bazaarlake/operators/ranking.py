@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from bazaarlake.operators.joins import SKEW_CHECK_BYTES
-from bazaarlake.session import input_bytes
-
 
 def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
     return df.orderBy(*order).limit(k)
@@ -21,38 +18,39 @@ def rank_within(df: DataFrame, group: str, measure: str, name: str) -> DataFrame
     return df.withColumn(name, F.rank().over(order))
 
 
-def full_rank_within(
-    df: DataFrame, group: str, measure: str, name: str,
-    cuts: int = 1000, check_bytes: int = SKEW_CHECK_BYTES,
-) -> DataFrame:
-    """The same ranks for every row, with no large group held by one task.
+# Slices of a measure per doubling of its value: a group's rows spread over thousands of tasks.
+SLICES_PER_DOUBLING = 64
+
+
+def _slice(measure: Column) -> Column:
+    """A number that grows with the measure and depends on nothing else; null for null."""
+    size = F.log2(F.abs(measure.cast("double")) + 1) * SLICES_PER_DOUBLING
+    return F.floor(F.signum(measure.cast("double")) * size)
 
-    Small inputs take the plain window.
 
-    A rank is one plus the number of rows with a larger measure.  Each group is cut
-    at approximate quantiles of its measure; the counts per slice (at most cuts + 1
-    per group) give the offset of a slice, and the rank inside a slice does the rest.
-    Where the cuts lie only affects balance, never the result.
+def full_rank_within(df: DataFrame, group: str, measure: str, name: str) -> DataFrame:
+    """The same ranks for every row, with no large group held by one task.
+
+    A rank is one plus the number of rows with a larger measure; null is the smallest.  Equal
+    measures of a group are counted first.  Each group is cut into slices of its measure on a
+    logarithmic scale; the counts per slice give the offset of a slice, and a window inside
+    each slice does the rest.
     """
-    if input_bytes(df) < check_bytes:
-        return rank_within(df, group, measure, name)
-    counted = df.groupBy(group, measure).agg(F.count(F.lit(1)).alias("_n"))
-    shares = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
-    edges = counted.groupBy(group).agg(F.percentile_approx(measure, shares, 10 * cuts).alias("_edges"))
-    sliced = counted.join(edges, group).withColumn(
-        "_slice", F.size(F.filter("_edges", lambda edge: edge < F.col(measure)))
-    ).drop("_edges")
-    above = Window.partitionBy(group).orderBy(F.col("_slice").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(group, "_slice").agg(F.sum("_n").alias("_total"))
-        .select(group, "_slice", F.coalesce(F.sum("_total").over(above), F.lit(0)).alias("_offset"))
-    )
+    counted = df.groupBy(group, measure).agg(F.count(F.lit(1)).alias("_n")).withColumn("_slice", _slice(F.col(measure)))
+    higher = F.col("_slice").desc_nulls_last()
+    above = Window.partitionBy(group).orderBy(higher).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counted.groupBy(group, "_slice").agg(F.sum("_n").alias("_total")).select(
+        F.col(group).alias("_group"), F.col("_slice").alias("_of"),
+        F.coalesce(F.sum("_total").over(above), F.lit(0)).alias("_offset"))
     inside = (
-        Window.partitionBy(group, "_slice").orderBy(F.col(measure).desc())
+        Window.partitionBy(group, "_slice").orderBy(F.col(measure).desc_nulls_last())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranks = sliced.join(offsets, [group, "_slice"]).select(
-        group, measure,
-        (F.col("_offset") + F.coalesce(F.sum("_n").over(inside), F.lit(0)) + 1).cast("int").alias(name),
+    ranks = counted.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(
+        offsets, F.col(group).eqNullSafe(F.col("_group")) & F.col("_slice").eqNullSafe(F.col("_of"))
+    ).select(
+        F.col(group).alias("_group"), F.col(measure).alias("_measure"),
+        (F.col("_offset") + F.col("_before") + 1).cast("int").alias(name),
     )
-    return df.join(ranks, [group, measure])
+    same = df[group].eqNullSafe(ranks["_group"]) & df[measure].eqNullSafe(ranks["_measure"])
+    return df.join(ranks, same).select(*[df[c] for c in df.columns], name)

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from bazaarlake.functions import scalars
-from bazaarlake.operators import joins
-from bazaarlake.session import input_bytes
 
 UNITS = "units"
 REVENUE = "revenue"
@@ -29,10 +27,6 @@ def _line_sums() -> list[Column]:
     return [F.sum("quantity").alias(UNITS), F.sum(line).alias(REVENUE)]
 
 
-def _sums_of_sums() -> list[Column]:
-    return [F.sum(UNITS).alias(UNITS), F.sum(REVENUE).alias(REVENUE)]
-
-
 def totals_by(items: DataFrame, *keys: str) -> DataFrame:
     """Units and revenue per key; summed in every map task before the shuffle."""
     return items.groupBy(*keys).agg(*_line_sums())
@@ -43,31 +37,18 @@ def totals_per_order(
     orders: DataFrame,
     keys: Sequence[str],
     names: tuple[DataFrame, str] | None = None,
-    check_bytes: int | None = None,
 ) -> DataFrame:
     """Units and revenue of the lines of ``orders``, grouped by ``keys``, which include order_id.
 
-    Lines and orders meet hashed by order_id, so the grouping needs no further shuffle.
-    An order that holds a large share of all lines would not spread; such orders are
-    looked for when the input is large, and their lines are summed where they are read.
-    ``names`` is a small look-up (table, key) to apply to the lines after they have met
-    the orders, so that its text is not shuffled.
+    Lines and orders meet hashed by order_id, so the grouping needs no further shuffle; adaptive
+    execution splits an order that holds a large share of all lines, and sums its parts before
+    they meet.  ``names`` is a small look-up (table, key) to apply to the lines after they have
+    met the orders, so that its text is not shuffled.
     """
-    def named(df: DataFrame) -> DataFrame:
-        return df if names is None else df.join(names[0], names[1])
-
-    def met(part: DataFrame, its_orders: DataFrame, sums: list[Column]) -> DataFrame:
-        return named(part.join(its_orders, "order_id")).groupBy(*keys).agg(*sums)
-
-    limit = joins.SKEW_CHECK_BYTES if check_bytes is None else check_bytes
-    hot = list(joins.hot_keys(lines, "order_id")) if input_bytes(lines) >= limit else []
-    if not hot:
-        return met(lines, orders, _line_sums())
-    is_hot = F.col("order_id").isin(hot)
-    line_keys = [c for c in lines.columns if c not in ("quantity", "final_price")]
-    summed = lines.where(is_hot).groupBy(*line_keys).agg(*_line_sums())
-    return met(lines.where(~is_hot), orders.where(~is_hot), _line_sums()).unionByName(
-        met(summed, orders.where(is_hot), _sums_of_sums()))
+    met = lines.join(orders, "order_id")
+    if names is not None:
+        met = met.join(names[0], names[1])
+    return met.groupBy(*keys).agg(*_line_sums())
 
 
 def share_of_all(df: DataFrame, measure: str, name: str) -> DataFrame:

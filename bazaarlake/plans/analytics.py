@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from bazaarlake import fixed_values as fixed
 from bazaarlake.functions import scalars
-from bazaarlake.operators.joins import skew_join
 from bazaarlake.operators.ranking import rank_within, top_k
 from bazaarlake.operators.totals import REVENUE, UNITS, share_of_all, totals_by, totals_per_order
 from bazaarlake.tables import RetailTables
@@ -36,7 +35,7 @@ def completed_order_totals(tables: RetailTables, *order_columns: str) -> DataFra
 def revenue_by_category(tables: RetailTables) -> DataFrame:
     """Orders, units and revenue per category, completed orders only, best first."""
     lines = tables.order_items.select("product_id", *_LINE)
-    placed = skew_join(lines, tables.products.select("product_id", "category_id"), "product_id")
+    placed = lines.join(tables.products.select("product_id", "category_id"), "product_id")
     per_order = totals_per_order(
         placed.select("category_id", *_LINE),
         completed(tables.orders, "order_id"),
@@ -85,11 +84,14 @@ def monthly_trend(tables: RetailTables) -> DataFrame:
     per_order = completed_order_totals(tables, "order_date", "customer_id").select(
         month.alias("order_month"), "order_id", "customer_id", REVENUE
     )
+    # One row per order, then one per customer and month: no distinct aggregation is left.
+    per_customer = per_order.groupBy("order_month", "customer_id").agg(
+        F.count("order_id").alias("orders"), F.sum(REVENUE).alias(REVENUE))
     return (
-        per_order.groupBy("order_month")
+        per_customer.groupBy("order_month")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("customer_id").alias("unique_customers"),
+            F.sum("orders").alias("total_orders"),
+            F.count("customer_id").alias("unique_customers"),
             _money(REVENUE, "monthly_revenue_inr"),
         )
         .orderBy("order_month")

@@ -12,7 +12,7 @@ from bazaarlake import schemas
 from bazaarlake.functions.typing import MALFORMED
 from bazaarlake.operators import quality
 from bazaarlake.session import input_bytes, prepare, size_shuffles
-from bazaarlake.sinks.files import drop_stage, publish
+from bazaarlake.sinks.files import drop_stage, publish_all
 from bazaarlake.sources.catalog import clean_name
 from bazaarlake.sources.files import exists
 from bazaarlake.sources.raw_csv import RUN_DATE, scan_run
@@ -68,7 +68,7 @@ def clean_run(spark: SparkSession, job: CleanJob) -> dict[str, dict[str, int]]:
     """Clean one run; returns row counts and counts per reason for each table.
 
     Everything is staged first.  A failure drops this run's stage only; a published run
-    is replaced by renames at the end.
+    is replaced at the end, all tables or none.
     """
     prepare(spark)
     raw = scan_run(spark, job.raw_root, job.run_date)
@@ -87,18 +87,16 @@ def clean_run(spark: SparkSession, job: CleanJob) -> dict[str, dict[str, int]]:
         products = quality.kept(_read_judged(spark, f"{stage}/products"))
         judged_items = quality.judge_items(raw.order_items.drop(RUN_DATE), products, verdicts)
         report["order_items"] = _write_judged(judged_items, f"{stage}/order_items", _ITEM_REASONS)
-        for name in schemas.TABLES:
-            _publish_table(spark, job, stage, name)
+        publish_all(spark, [move for name in schemas.TABLES for move in _places(job, stage, name)])
     finally:
         drop_stage(spark, stage)
     return report
 
 
-def _publish_table(spark: SparkSession, job: CleanJob, stage: str, name: str) -> None:
+def _places(job: CleanJob, stage: str, name: str) -> list[tuple[str, str]]:
     run = run_folder_name(job.run_date)
     targets = {
         "true": f"{job.clean_root}/{clean_name(name)}/{run}",
         "false": f"{job.clean_root}/{QUARANTINE}/{name}/{run}",
     }
-    for verdict in VERDICTS:
-        publish(spark, f"{stage}/{name}/{quality.IS_CLEAN}={verdict}", targets[verdict])
+    return [(f"{stage}/{name}/{quality.IS_CLEAN}={verdict}", targets[verdict]) for verdict in VERDICTS]

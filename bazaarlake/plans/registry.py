@@ -7,6 +7,7 @@ timestamps as text.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -16,16 +17,16 @@ from bazaarlake import schemas
 from bazaarlake.functions import draws, scalars
 from bazaarlake.functions.typing import MALFORMED, apply_types
 from bazaarlake.operators import quality, ranking, totals, versions
-from bazaarlake.operators.joins import skew_join
-from bazaarlake.plans import analytics
+from bazaarlake.plans import analytics, sql_questions
+from bazaarlake.plans.clean_zone import CleanJob, clean_run
 from bazaarlake.plans.make_run import row_counts
 from bazaarlake.session import prepare, run_folder
 from bazaarlake.sinks import files as sink
-from bazaarlake.sources import raw_csv, warehouse
+from bazaarlake.sources import catalog, raw_csv, warehouse
 from bazaarlake.sources.warehouse import AS_OF, ITEM_KEY
 from bazaarlake.streaming.increments import load_new_files
 from bazaarlake.synth import catalogue
-from bazaarlake.synth.generate import Maker, maker, size_columns
+from bazaarlake.synth.generate import Maker, Sizes, size_columns
 from bazaarlake.tables import RetailTables
 
 FIRST_RUN, SECOND_RUN = dt.date(2025, 4, 6), dt.date(2025, 4, 13)
@@ -96,17 +97,90 @@ def scan_raw_csv(spark, sf_dir):
     return portable(_typed_back(spark, folder, orders.schema).select(*orders.columns))
 
 
+def _land_all(spark, sf_dir, root: str) -> RetailTables:
+    tables = warehouse.landable_tables(prepare(spark), sf_dir)
+    for name, df in tables.items():
+        sink.land_csv(df, root, name, FIRST_RUN)
+    return tables
+
+
+def _schema_reports(spark, found: dict[str, T.StructType]) -> DataFrame:
+    whole = None
+    for name, schema in found.items():
+        report = raw_csv.schema_report(spark, schema, schemas.CLEAN[name]).select(F.lit(name).alias("table_name"), "*")
+        whole = report if whole is None else whole.unionByName(report)
+    return whole
+
+
 def discover_raw_schema(spark, sf_dir):
-    orders = _raw_orders(spark, sf_dir)
+    """What inference says of the five landed tables, against what is declared."""
     root = run_folder(spark, "discover")
-    sink.write_dated_csv(orders, root, "orders", FIRST_RUN)
-    return raw_csv.schema_report(spark, raw_csv.inferred_schema(spark, f"{root}/orders"), orders.schema)
+    _land_all(spark, sf_dir, root)
+    return _schema_reports(spark, {name: raw_csv.inferred_schema(spark, f"{root}/{name}") for name in schemas.TABLES})
+
+
+def _cleaned(spark, sf_dir) -> str:
+    """The clean job itself on the landed tables; the folder of its result."""
+    root = run_folder(spark, "clean-job")
+    _land_all(spark, sf_dir, f"{root}/raw")
+    clean_run(spark, CleanJob(f"{root}/raw", f"{root}/clean", FIRST_RUN, AS_OF))
+    return f"{root}/clean"
+
+
+def _lines_of(items: DataFrame) -> DataFrame:
+    return items.withColumn("line_no", (F.col("order_item_id") % warehouse.LINES_PER_ORDER).cast("int")).withColumn(
+        "product_id", F.col("product_id").cast("bigint"))
+
+
+def clean_job_items(spark, sf_dir):
+    return portable(_lines_of(spark.read.parquet(f"{_cleaned(spark, sf_dir)}/processed_order_items")).select(*ITEM_COLUMNS))
+
+
+def clean_job_orders(spark, sf_dir):
+    return portable(spark.read.parquet(f"{_cleaned(spark, sf_dir)}/processed_orders").select(*ORDER_COLUMNS))
+
+
+def clean_job_quarantine(spark, sf_dir):
+    bad = _lines_of(spark.read.parquet(f"{_cleaned(spark, sf_dir)}/quarantine/order_items"))
+    return bad.select("order_id", "line_no", "product_id", "quantity", F.concat_ws(",", quality.REASONS).alias("reasons"))
 
 
 def discover_clean_schema(spark, sf_dir):
-    orders = quality.clean_orders(warehouse.orders(prepare(spark), sf_dir), AS_OF)
-    path = sink.write_parquet(orders, f"{run_folder(spark, 'discover')}/orders")
-    return raw_csv.schema_report(spark, spark.read.parquet(path).schema, schemas.CLEAN["orders"])
+    """The types of the five published tables, against what is declared."""
+    root = _cleaned(spark, sf_dir)
+    return _schema_reports(spark, {
+        name: T.StructType([f for f in spark.read.parquet(f"{root}/{catalog.clean_name(name)}").schema if f.name != raw_csv.RUN_DATE])
+        for name in schemas.TABLES})
+
+
+def _asked_in_sql(spark, sf_dir, question: str) -> DataFrame:
+    """Publish, register by name, ask in SQL text."""
+    root = _cleaned(spark, sf_dir)
+    database = f"retail_{root.split('-')[-1].split('/')[0]}"
+    catalog.ensure_database(spark, database, f"{root}/_database")
+    catalog.register_clean(spark, database, root)
+    text = re.sub(r"\bprocessed_", f"{database}.processed_", sql_questions.QUESTIONS[question])
+    return portable(spark.sql(text))
+
+
+def sql_revenue_by_category(spark, sf_dir):
+    return _asked_in_sql(spark, sf_dir, "revenue_by_category")
+
+
+def sql_top_customers(spark, sf_dir):
+    return _asked_in_sql(spark, sf_dir, "top_customers")
+
+
+def sql_monthly_trend(spark, sf_dir):
+    return _asked_in_sql(spark, sf_dir, "monthly_trend")
+
+
+def sql_payment_split(spark, sf_dir):
+    return _asked_in_sql(spark, sf_dir, "payment_split")
+
+
+def sql_top_product(spark, sf_dir):
+    return _asked_in_sql(spark, sf_dir, "top_product_per_category")
 
 
 def dim_categories(spark, sf_dir):
@@ -139,6 +213,20 @@ def raw_run_date(spark, sf_dir):
     return portable(found.groupBy("run_date").agg(F.count(F.lit(1)).alias("rows"), F.sum("order_id").alias("id_sum")))
 
 
+def scan_one_run(spark, sf_dir):
+    """Two runs, the second partly in a dated file and partly in a dated folder; each read alone."""
+    first, second = _two_runs(spark, sf_dir)
+    root = run_folder(spark, "one-run")
+    sink.land_csv(first, root, "orders", FIRST_RUN)
+    sink.write_dated_csv(second.where("order_id % 2 = 0"), root, "orders", SECOND_RUN)
+    second_folder = sink.land_csv(second.where("order_id % 2 = 1"), root, "orders", SECOND_RUN)
+    schema = schemas.all_text(first.schema)
+    parts = [
+        apply_types(raw_csv.scan_text(spark, second_folder, schema, day), first.schema, keep=(raw_csv.RUN_DATE,))
+        for day in (FIRST_RUN, SECOND_RUN)]
+    return portable(parts[0].unionByName(parts[1]).select(*ORDER_COLUMNS, "run_date"))
+
+
 def source_guard(spark, sf_dir):
     root = run_folder(spark, "guard")
     tables = raw(spark, sf_dir)
@@ -327,11 +415,11 @@ def incremental_batch(spark, sf_dir):
 
 
 def incremental_stream(spark, sf_dir):
-    """Load the first run, land the second, load again: each row arrives once."""
+    """Load the first run, land and load the second, land the first again and load: each row arrives once."""
     first, second = _two_runs(spark, sf_dir)
     root = run_folder(spark, "stream")
     folder, target = f"{root}/raw/orders", f"{root}/loaded/orders"
-    for df, day in ((first, FIRST_RUN), (second, SECOND_RUN)):
+    for df, day in ((first, FIRST_RUN), (second, SECOND_RUN), (first, FIRST_RUN)):
         sink.write_dated_csv(df, f"{root}/raw", "orders", day)
         load_new_files(spark, folder, first.schema, target, f"{root}/loaded/_checkpoint")
     return portable(spark.read.parquet(target).select(*ORDER_COLUMNS, "run_date"))
@@ -342,12 +430,12 @@ def incremental_stream(spark, sf_dir):
 def join_items_orders(spark, sf_dir):
     items = warehouse.unpriced_items(spark, sf_dir).select("order_id", "line_no", "product_id", "quantity")
     orders = warehouse.sound_orders(spark, sf_dir).select(*ORDER_COLUMNS)
-    return portable(skew_join(items, orders, "order_id"))
+    return portable(items.join(orders, "order_id"))
 
 
 def join_items_products(spark, sf_dir):
     items = warehouse.unpriced_items(spark, sf_dir).select("order_id", "line_no", "product_id", "quantity")
-    return portable(skew_join(items, warehouse.products(spark, sf_dir), "product_id"))
+    return portable(items.join(warehouse.products(spark, sf_dir), "product_id"))
 
 
 def join_products_categories(spark, sf_dir):
@@ -357,15 +445,15 @@ def join_products_categories(spark, sf_dir):
 
 def join_customers_orders(spark, sf_dir):
     orders = warehouse.sound_orders(spark, sf_dir).select(*ORDER_COLUMNS)
-    return portable(skew_join(orders, warehouse.customers(spark, sf_dir), "customer_id"))
+    return portable(orders.join(warehouse.customers(spark, sf_dir), "customer_id"))
 
 
 def star_join(spark, sf_dir):
     tables = raw(spark, sf_dir)
     items = tables.order_items.select("order_id", "line_no", "product_id", "quantity", "final_price")
-    placed = skew_join(items, tables.products.select("product_id", "category_id"), "product_id")
+    placed = items.join(tables.products.select("product_id", "category_id"), "product_id")
     with_names = placed.join(tables.categories, "category_id")
-    return portable(skew_join(with_names, tables.orders.select("order_id", "order_status"), "order_id").select(
+    return portable(with_names.join(tables.orders.select("order_id", "order_status"), "order_id").select(
         "order_id", "line_no", "product_id", "category_name", "order_status", "quantity", "final_price"))
 
 
@@ -410,9 +498,11 @@ def order_month(spark, sf_dir):
 # Draws and made tables ---------------------------------------------------------------
 
 def _maker(spark, sf_dir, popular: bool = False) -> Maker:
-    """A run as large as the given fact table."""
+    """Made rows for the given customers and orders, with half as many items as there are lines at most."""
     lines = warehouse.read(prepare(spark), sf_dir, "lineitem").count()
-    return maker(spark, lines, MAKE_AS_OF, MAKE_SEED, popular)
+    customers = warehouse.read(spark, sf_dir, "customer").select((F.col("c_custkey") + 1).alias("id"))
+    orders = warehouse.read(spark, sf_dir, "orders").select((F.col("o_orderkey") + 1).alias("id"))
+    return Maker(spark, Sizes(lines // 2, customers.count(), orders.count()), MAKE_AS_OF, MAKE_SEED, popular, customers, orders)
 
 
 def _order_keys(spark, sf_dir) -> DataFrame:
@@ -519,8 +609,15 @@ def gen_run_summary(spark, sf_dir):
 
 # The questions -------------------------------------------------------------------------
 
+def clean_for_category_joins(spark: SparkSession, sf_dir: str) -> RetailTables:
+    """As ``clean_for_order_joins``, without the product rule: an inner join to the products does it."""
+    tables = raw(spark, sf_dir)
+    return tables.having(
+        orders=quality.clean_orders(tables.orders, AS_OF), order_items=quality.with_positive_quantity(tables.order_items))
+
+
 def q1_revenue_by_category(spark, sf_dir):
-    return portable(analytics.revenue_by_category(clean_for_order_joins(spark, sf_dir)))
+    return portable(analytics.revenue_by_category(clean_for_category_joins(spark, sf_dir)))
 
 
 def q2_top_customers(spark, sf_dir):
@@ -543,8 +640,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         q1_revenue_by_category, q2_top_customers, q3_monthly_trend, q4_payment_split, q5_top_product,
+        sql_revenue_by_category, sql_top_customers, sql_monthly_trend, sql_payment_split, sql_top_product,
+        clean_job_items, clean_job_orders, clean_job_quarantine,
         scan_raw_csv, discover_raw_schema, discover_clean_schema, dim_categories, dim_products,
-        raw_run_date, source_guard,
+        raw_run_date, scan_one_run, source_guard,
         write_raw_csv, land_run_overwrite, write_clean_parquet, write_result_csv, publish_run, run_summary,
         clean_negative_qty, clean_future_date, clean_invalid_fk, reject_invalid_fk, clean_orphans,
         processed_order_items, processed_orders, typed_items, quarantine, quality_report,

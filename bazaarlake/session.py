@@ -13,7 +13,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 # Skewed joins are split even when that costs the next aggregate one more exchange;
 # a shuffled join whose build partitions turn out small hashes instead of sorting; a
@@ -59,15 +58,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate of a plan; never under the size of its files."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(str(stats.sizeInBytes()))
-    except AttributeError:  # no JVM handle: treat the plan as too large to be special
-        return 1 << 62
-
-
 def input_bytes(df: DataFrame) -> int:
     """Size of everything the plan reads.
 
@@ -97,14 +87,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> int:
     """Raise (never lower) the first partition count of shuffles to fit the input.
 
     Adaptive execution can only merge shuffle partitions, so the first count must
-    be large enough that one partition of the largest shuffle fits in memory.
+    be large enough that one partition of the largest shuffle fits in memory.  For a job
+    to call once; readers of tables leave the session as it is.
     """
     current = shuffle_partitions(spark)
-    wanted = min(MAX_SHUFFLE_PARTITIONS, math.ceil(input_bytes / PARTITION_BYTES))
+    wanted = math.ceil(input_bytes / partition_bytes)
     if wanted > current:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(wanted))
         return wanted

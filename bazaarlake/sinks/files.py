@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -50,25 +51,48 @@ def write_result(df: DataFrame, path: str) -> str:
     return path
 
 
-def publish(spark: SparkSession, stage: str, target: str) -> None:
-    """Move a finished stage folder to its place, replacing what is there.
+def publish_all(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
+    """Move finished stage folders to their places, all or none.
 
-    The old folder is set aside first and put back if the move fails, so readers find
-    either the old run or the new one.
+    Each old folder is set aside next to its place, under a name that readers skip.  If any step
+    fails, whether it raises or says no, what was moved goes back and every old folder returns.
     """
-    fs, stage_path = hadoop_path(spark, stage)
-    _, target_path = hadoop_path(spark, target)
-    _, aside_path = hadoop_path(spark, f"{stage}.replaced")
-    fs.mkdirs(target_path.getParent())
-    had_old = fs.exists(target_path)
-    if had_old and not fs.rename(target_path, aside_path):
-        raise OSError(f"cannot set aside {target}")
-    if not fs.rename(stage_path, target_path):
-        if had_old:
-            fs.rename(aside_path, target_path)
-        raise OSError(f"cannot publish {stage} to {target}")
-    if had_old:
-        fs.delete(aside_path, True)
+    fs = hadoop_path(spark, moves[0][1])[0]
+    mark, undo = uuid.uuid4().hex, []
+
+    def move(source, target) -> None:
+        if not fs.rename(source, target):
+            raise OSError(f"cannot move {source} to {target}")
+
+    try:
+        for stage, target in moves:
+            stage_path, target_path = hadoop_path(spark, stage)[1], hadoop_path(spark, target)[1]
+            parent = target_path.getParent()
+            fs.mkdirs(parent)
+            aside = hadoop_path(spark, f"{parent}/.{target_path.getName()}.{mark}")[1]
+            if fs.exists(target_path):
+                move(target_path, aside)
+                undo.append((aside, target_path))
+            move(stage_path, target_path)
+            undo.append((target_path, stage_path))
+    except BaseException:
+        lost = []
+        for source, target in reversed(undo):
+            try:
+                move(source, target)
+            except Exception as error:  # go on: the other folders can still return
+                lost.append(f"{source} is not back at {target}: {error}")
+        if lost:
+            raise OSError("; ".join(lost))
+        raise
+    for source, target in undo:
+        if source.getName().startswith("."):
+            fs.delete(source, True)
+
+
+def publish(spark: SparkSession, stage: str, target: str) -> None:
+    """Move one finished stage folder to its place, replacing what is there."""
+    publish_all(spark, [(stage, target)])
 
 
 def drop_stage(spark: SparkSession, stage: str) -> None:

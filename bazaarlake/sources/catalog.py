@@ -19,8 +19,9 @@ def clean_name(table: str) -> str:
     return f"{fixed.CLEAN_TABLE_PREFIX}{table}"
 
 
-def ensure_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+def ensure_database(spark: SparkSession, database: str, folder: str | None = None) -> None:
+    place = f" LOCATION '{folder}'" if folder else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{place}")
 
 
 def register_raw(spark: SparkSession, database: str, root: str) -> None:

@@ -20,7 +20,7 @@ def has_file(spark: SparkSession, path: str, suffix: str = ".csv") -> bool:
     fs, jpath = hadoop_path(spark, path)
     if not fs.exists(jpath):
         return False
-    files = fs.listFiles(jpath, True)
+    files = fs.listFiles(jpath, True)  # a file is its own listing
     while files.hasNext():
         status = files.next()
         if status.getPath().getName().endswith(suffix) and status.getLen() > 0:

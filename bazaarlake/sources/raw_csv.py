@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from bazaarlake import schemas
 from bazaarlake.functions.scalars import run_date_of
 from bazaarlake.functions.typing import apply_types
-from bazaarlake.sources.files import exists, has_file
+from bazaarlake.sources.files import exists, hadoop_path, has_file
 from bazaarlake.tables import RetailTables
 
 RUN_DATE = "run_date"
@@ -20,15 +20,30 @@ class SourceMissing(RuntimeError):
     pass
 
 
-def require_source(spark: SparkSession, root: str | None, tables: list[str] = schemas.TABLES) -> None:
-    """Fail early on no path, no folder, or a table without a single CSV file."""
+def run_paths(spark: SparkSession, folder: str, run_date: dt.date) -> list[str]:
+    """What holds one run of a table: its ``run_date=`` folder and its dated files or folders, whichever exist."""
+    fs, root = hadoop_path(spark, folder)
+    found = []
+    for pattern in (f"{RUN_DATE}={run_date:%Y-%m-%d}", f"*_{run_date:%Y%m%d}*"):
+        matches = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, pattern))
+        found += [status.getPath().toString() for status in matches or []]
+    return sorted(path for path in found if has_file(spark, path))
+
+
+def require_source(
+    spark: SparkSession, root: str | None, tables: list[str] = schemas.TABLES, run_date: dt.date | None = None
+) -> None:
+    """Fail early on no path, no folder, or a table without a CSV file (of the run, if one is named)."""
     if not root:
         raise SourceMissing("no raw folder given")
     if not exists(spark, root):
         raise SourceMissing(f"raw folder not found: {root}")
     for table in tables:
-        if not has_file(spark, f"{root}/{table}"):
+        folder = f"{root}/{table}"
+        if run_date is None and not has_file(spark, folder):
             raise SourceMissing(f"no CSV file for {table} below {root}")
+        if run_date is not None and not (exists(spark, folder) and run_paths(spark, folder, run_date)):
+            raise SourceMissing(f"no CSV file for {table} of {run_date} below {root}")
 
 
 # Quotes inside quoted cells are doubled, as CSV writers other than Spark's do by default.
@@ -50,18 +65,17 @@ def csv_options() -> dict[str, str]:
 def scan_text(spark: SparkSession, folder: str, schema: T.StructType, run_date: dt.date | None = None) -> DataFrame:
     """All runs of one table as text, with the run date of each row's file.
 
-    With ``run_date`` the listing is narrowed to that run's files or folder, so
-    other runs are not opened.
+    With ``run_date`` only what holds that run is opened: a dated folder, dated files, or both.
+    A run that is not there is an error, not an empty table.
     """
     reader = spark.read.options(**csv_options()).schema(schema)
     if run_date is None:
         found = reader.load(folder, format="csv")
     else:
-        partition = f"{folder}/{RUN_DATE}={run_date:%Y-%m-%d}"
-        if exists(spark, partition):
-            found = reader.load(partition, format="csv")
-        else:
-            found = reader.option("pathGlobFilter", f"*_{run_date:%Y%m%d}*.csv").load(folder, format="csv")
+        paths = run_paths(spark, folder, run_date)
+        if not paths:
+            raise SourceMissing(f"no run of {run_date} in {folder}")
+        found = reader.load(paths, format="csv")
     return found.select("*", run_date_of(F.col("_metadata.file_path")).alias(RUN_DATE))
 
 
@@ -72,7 +86,7 @@ def scan_table(spark: SparkSession, root: str, table: str, run_date: dt.date | N
 
 
 def scan_run(spark: SparkSession, root: str, run_date: dt.date | None = None) -> RetailTables:
-    require_source(spark, root)
+    require_source(spark, root, run_date=run_date)
     return RetailTables(**{t: scan_table(spark, root, t, run_date) for t in schemas.TABLES})
 
 

@@ -10,20 +10,19 @@ from __future__ import annotations
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from bazaarlake import schemas
 from bazaarlake.functions import scalars
 from bazaarlake.operators import defects
-from bazaarlake.session import PARTITION_BYTES, input_bytes, prepare, size_shuffles
 from bazaarlake.tables import RetailTables
 
 AS_OF = dt.date(2001, 12, 31)
 # 9999 is a real part key on large inputs.
 UNKNOWN_PRODUCT = 999_999_999
 ITEM_KEY = ("order_id", "line_no")
-
-# Scans of this size and more, but less than one split, are spread over all cores.
-WORTH_SPREADING = 4 * 1024 * 1024
+# Line numbers are below this, so an item id made of order and line gives both back.
+LINES_PER_ORDER = 8
 
 BAD_PRODUCT, BAD_QUANTITY, BAD_DATE = 0, 1, 2
 
@@ -46,33 +45,22 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = read(spark, sf_dir, "lineitem")
-    size = input_bytes(lines)
-    size_shuffles(prepare(spark), size)
-    if WORTH_SPREADING < size < PARTITION_BYTES:
-        # Less than one split is one task; hashed by order it is ready for the joins to come.
-        lines = lines.repartition(spark.sparkContext.defaultParallelism, "l_orderkey")
     picked = F.expr("(l_orderkey * 31 + l_linenumber * 17 + l_partkey * 7 + l_suppkey * 3) % 100")
-    return lines.withColumn("defect", picked)
-
-
-def _type_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row: the sorted distinct part types, of which there are few."""
-    return read(spark, sf_dir, "part").agg(F.sort_array(F.collect_set("p_type")).alias("names"))
+    return read(spark, sf_dir, "lineitem").withColumn("defect", picked)
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct part types, numbered in order."""
-    listed = _type_names(spark, sf_dir).select(F.posexplode("names").alias("position", "category_name"))
-    return listed.select((F.col("position") + 1).alias("category_id"), "category_name")
+    """Distinct part types, numbered in order: only the distinct ones meet in the window."""
+    names = read(spark, sf_dir, "part").where(F.col("p_type").isNotNull()).select(F.col("p_type").alias("category_name")).distinct()
+    return names.select(F.row_number().over(Window.orderBy("category_name")).alias("category_id"), "category_name")
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts with their category number, as a look-up in that one row: a scan to Catalyst, not a join."""
-    number = F.array_position(_type_names(spark, sf_dir).scalar(), F.col("p_type"))
-    return read(spark, sf_dir, "part").where(F.col("p_type").isNotNull()).select(
+    """Parts with their category number."""
+    part = read(spark, sf_dir, "part")
+    return part.join(categories(spark, sf_dir), F.col("p_type") == F.col("category_name")).select(
         F.col("p_partkey").alias("product_id"),
-        number.cast("int").alias("category_id"),
+        "category_id",
         F.col("p_name").alias("product_name"),
         F.col("p_retailprice").cast(scalars.MONEY).alias("default_price"),
     )
@@ -164,6 +152,22 @@ def unpriced_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_item_defects(items).drop("product_name", "final_price")
 
 
+def landable_tables(spark: SparkSession, sf_dir: str) -> RetailTables:
+    """The raw tables with all columns of the retail schema; what the warehouse lacks follows from a key."""
+    tables = raw_tables(spark, sf_dir)
+    opened = F.lit(dt.date(1995, 1, 1))
+    stamped = lambda df: df.withColumn("updated_at", F.col("created_at"))
+    full = tables.having(
+        customers=stamped(tables.customers.select(
+            "*", F.concat(F.col("customer_id").cast("string"), F.lit("@example.com")).alias("email"),
+            F.lpad(F.col("customer_id").cast("string"), 10, "0").alias("phone"),
+            opened.alias("signup_date"), opened.cast("timestamp_ntz").alias("created_at"))),
+        orders=stamped(tables.orders),
+        order_items=stamped(tables.order_items.withColumn("order_item_id", F.col("order_id") * LINES_PER_ORDER + F.col("line_no"))),
+    )
+    return RetailTables(**{name: df.select(*schemas.CLEAN[name].names) for name, df in full.items()})
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> RetailTables:
     return RetailTables(
         categories=categories(spark, sf_dir),

@@ -1,4 +1,4 @@
-"""Incremental load of a raw folder: each file exactly once.
+"""Incremental load of a raw folder: each run exactly once, however often it is landed.
 
 The checkpoint remembers the files that were read, so a late file with old rows is
 still loaded, which a high-water mark on created_at cannot do.
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from bazaarlake import schemas
 from bazaarlake.functions.scalars import run_date_of
 from bazaarlake.functions.typing import apply_types
-from bazaarlake.sources.raw_csv import RUN_DATE, csv_options
+from bazaarlake.sources.raw_csv import RUN_DATE, csv_options, scan_text
 
 # Bounds one micro-batch; the trigger goes on until every file present is read.
 FILES_PER_BATCH = 10_000
@@ -31,13 +31,27 @@ def typed_stream(spark: SparkSession, folder: str, schema: T.StructType) -> Data
 def load_new_files(
     spark: SparkSession, folder: str, schema: T.StructType, target: str, checkpoint: str
 ) -> None:
-    """Append every file not loaded before to ``target``, then return."""
+    """Load every run that has files not seen before into ``target``, then return.
+
+    The stream says which runs changed; each of those is read whole and replaces its partition.  So a
+    run that was landed again, under new file names, is there once, and a batch that is repeated after a
+    failure writes the same.
+    """
+    def replace_runs(batch: DataFrame, _: int) -> None:
+        runs = [row[RUN_DATE] for row in batch.select(RUN_DATE).distinct().collect()]  # a row per run
+        for run in runs:
+            text = scan_text(spark, folder, schemas.all_text(schema), run)
+            (
+                apply_types(text, schema, keep=(RUN_DATE,))
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN_DATE).parquet(target)
+            )
+
     query = (
         typed_stream(spark, folder, schema)
-        .writeStream.format("parquet").partitionBy(RUN_DATE)
+        .writeStream.foreachBatch(replace_runs)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append").trigger(availableNow=True)
-        .start(target)
+        .trigger(availableNow=True)
+        .start()
     )
     query.awaitTermination()
 

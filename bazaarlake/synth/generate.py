@@ -64,6 +64,9 @@ class Maker:
     as_of: dt.date
     seed: int = 1
     popular: bool = False
+    # Given ids (column ``id``, 1 to the size without gaps); else they are counted up.
+    customer_ids: DataFrame | None = None
+    order_ids: DataFrame | None = None
 
     # Draws ------------------------------------------------------------------
 
@@ -111,6 +114,9 @@ class Maker:
     def _ids(self, count: int) -> DataFrame:
         return self.spark.range(1, count + 1, numPartitions=self._partitions(count))
 
+    def _orders(self) -> DataFrame:
+        return self._ids(self.sizes.orders) if self.order_ids is None else self.order_ids
+
     # Tables -----------------------------------------------------------------
 
     def categories(self) -> DataFrame:
@@ -126,7 +132,8 @@ class Maker:
         def one_of(label: str, values: list[str]) -> Column:
             return draws.choice(self._draw(label, cid), draws.constants(values))
 
-        drawn = self._ids(self.sizes.customers).select(
+        ids = self._ids(self.sizes.customers) if self.customer_ids is None else self.customer_ids
+        drawn = ids.select(
             cid.alias("customer_id"),
             one_of("first_name", FIRST_NAMES).alias("first_name"),
             one_of("last_name", LAST_NAMES).alias("last_name"),
@@ -146,7 +153,7 @@ class Maker:
 
     def orders(self) -> DataFrame:
         oid = F.col("order_id")
-        picked = self._ids(self.sizes.orders).select(
+        picked = self._orders().select(
             F.col("id").alias("order_id"), self._customer_of(F.col("id")).alias("customer_id"),
         )
         dated = self.with_order_date(picked)
@@ -164,7 +171,7 @@ class Maker:
         Items are numbered through the orders by id until the target is reached; orders
         past it get none.
         """
-        sized = self._ids(self.sizes.orders).select(
+        sized = self._orders().select(
             F.col("id").alias("order_id"), self.basket_size(F.col("id")).alias("basket_size")
         )
         numbered = running_total_before(
@@ -208,12 +215,15 @@ class Maker:
 
     def item_count(self) -> int:
         """Items up to the target, or up to the last basket if that ends earlier."""
-        sized = self._ids(self.sizes.orders).select(self.basket_size(F.col("id")).alias("n"))
+        sized = self._orders().select(self.basket_size(F.col("id")).alias("n"))
         return min(sized.agg(F.sum("n").alias("n")).first()["n"], self.sizes.target_items)
 
     def item_ids(self, count: int) -> DataFrame:
         """The ids of the items: a pick needs no more, so it does not build the items."""
-        return self._ids(count).withColumnRenamed("id", "order_item_id")
+        if self.order_ids is None:
+            return self._ids(count).withColumnRenamed("id", "order_item_id")
+        last = F.least(F.col("items_before") + F.col("basket_size"), F.lit(count))
+        return self.baskets().select(F.explode(F.sequence(F.col("items_before") + 1, last)).alias("order_item_id"))
 
     def is_defective(self) -> Column:
         """Picks the wanted share of items, rounded down, to the exact row."""

@@ -130,17 +130,18 @@ PARTS = {
                      CASE WHEN order_id NOT IN (SELECT order_id FROM ord_ok) THEN 'removed_order' END AS r3
               FROM it""",
     # Made tables
-    "size": """SELECT count(*) AS target_items, greatest(200, count(*) // 7) AS num_customers,
-                      greatest(300, count(*) // 2) AS num_orders FROM lineitem""",
+    "plan_size": """SELECT count(*) AS target_items, greatest(200, count(*) // 7) AS num_customers,
+                           greatest(300, count(*) // 2) AS num_orders FROM lineitem""",
+    "size": "SELECT count(*) // 2 AS target_items, (SELECT count(*) FROM customer) AS num_customers FROM lineitem",
     "mcust": f"""SELECT id AS customer_id, {_one_of('first_name', 'id', _list(FIRST_NAMES))} AS first_name,
                         {_one_of('last_name', 'id', _list(LAST_NAMES))} AS last_name,
                         1000 + {_draw('suffix', 'id')} % 9000 AS suffix,
                         '+91' || lpad(CAST({_draw('phone', 'id')} % 100000 AS VARCHAR), 5, '0')
                               || lpad(CAST({_draw('phone', 'id', 1)} % 100000 AS VARCHAR), 5, '0') AS phone,
                         {_one_of('city', 'id', _list(CITIES))} AS city, {_signup('id')} AS signup_date
-                 FROM (SELECT unnest(range(1, num_customers + 1)) AS id FROM size)""",
+                 FROM (SELECT c_custkey + 1 AS id FROM customer)""",
     "mord0": f"""SELECT id AS order_id, 1 + {_draw('customer', 'id')} % num_customers AS customer_id
-                 FROM (SELECT unnest(range(1, num_orders + 1)) AS id, num_customers FROM size)""",
+                 FROM (SELECT o_orderkey + 1 AS id, num_customers FROM orders, size)""",
     "mord": f"""SELECT order_id, customer_id,
                        CAST(signup_date + CAST({_draw('order_date', 'order_id')} %
                             (date_diff('day', signup_date, {MADE_ON}) + 1) AS INTEGER) AS DATE) AS order_date,
@@ -247,6 +248,7 @@ STATEMENTS = {
              USING (product_id)""",
     "raw_run_date": """
         SELECT run_date, count(*) AS rows, CAST(sum(order_id) AS BIGINT) AS id_sum FROM split GROUP BY run_date""",
+    "scan_one_run": f"SELECT {_ORDER}, run_date FROM split",
     "source_guard": f"SELECT table_name, row_count AS rows FROM ({_RAW_COUNTS})",
     "write_raw_csv": f"SELECT {_ITEM} FROM it",
     "land_run_overwrite": f"SELECT {_ORDER}, run_date FROM split",
@@ -349,7 +351,7 @@ STATEMENTS = {
                {_SIZE} AS basket_size, {_weighted('quantity', 'order_id', fixed.QUANTITY_WEIGHTS)} AS quantity FROM ok""",
     "draw_basket": "SELECT order_id, array_to_string(basket, ',') AS basket FROM u_out",
     "draw_basket_weighted": "SELECT order_id, array_to_string(basket, ',') AS basket FROM w_out",
-    "gen_sizes": "SELECT target_items, num_customers, num_orders FROM size",
+    "gen_sizes": "SELECT target_items, num_customers, num_orders FROM plan_size",
     "gen_customers": f"""
         SELECT customer_id, first_name, last_name,
                lower(first_name) || lower(last_name) || CAST(suffix AS VARCHAR) || '@example.com' AS email, phone, city,
@@ -387,6 +389,41 @@ STATEMENTS = {
         SELECT 'removed_order', count(*) FROM mwhy WHERE r3 UNION ALL
         SELECT 'bad_items', count(*) FROM mwhy WHERE r1 OR r2 OR r3""",
 }
+# What discovery must say: position, column, found type, declared type.
+_TEXT, _DAY, _STAMP = "string", "date", "timestamp_ntz"
+_DECLARED = {
+    "categories": [("category_id", "int"), ("category_name", _TEXT)],
+    "products": [("product_id", "int"), ("category_id", "int"), ("product_name", _TEXT), ("default_price", "decimal(18,2)")],
+    "customers": [("customer_id", "bigint"), ("first_name", _TEXT), ("last_name", _TEXT), ("email", _TEXT), ("phone", _TEXT),
+                  ("city", _TEXT), ("signup_date", _DAY), ("created_at", _STAMP), ("updated_at", _STAMP)],
+    "orders": [("order_id", "bigint"), ("customer_id", "bigint"), ("order_date", _DAY), ("payment_method", _TEXT),
+               ("order_status", _TEXT), ("created_at", _STAMP), ("updated_at", _STAMP)],
+    "order_items": [("order_item_id", "bigint"), ("order_id", "bigint"), ("product_id", "int"), ("product_name", _TEXT),
+                    ("quantity", "int"), ("unit_price", "decimal(18,2)"), ("discount", "int"), ("final_price", "decimal(18,2)"),
+                    ("created_at", _STAMP), ("updated_at", _STAMP)],
+}
+# Inference sees small whole numbers, fractions, zoned stamps, and a phone number without its zeros.
+_INFERRED = {"bigint": "int", "decimal(18,2)": "double", _STAMP: "timestamp"}
+
+
+def _report(rows) -> str:
+    values = ", ".join(f"('{t}', {i}, '{name}', '{found}', '{declared}')" for t, i, name, found, declared in rows)
+    return f"SELECT * FROM (VALUES {values}) AS v(table_name, position, column_name, found_type, declared_type)"
+
+
+STATEMENTS["discover_raw_schema"] = _report(
+    (t, i, name, "int" if name == "phone" else _INFERRED.get(kind, kind), kind)
+    for t, columns in _DECLARED.items() for i, (name, kind) in enumerate(columns))
+STATEMENTS["discover_clean_schema"] = _report(
+    (t, i, name, kind, "" if name == "reasons" else kind)
+    for t, columns in _DECLARED.items() for i, (name, kind) in enumerate([*columns, ("reasons", "array<string>")]))
+
+for _job, _same in (
+    ("clean_job_items", "processed_order_items"), ("clean_job_orders", "processed_orders"), ("clean_job_quarantine", "quarantine"),
+    ("sql_revenue_by_category", "q1_revenue_by_category"), ("sql_top_customers", "q2_top_customers"),
+    ("sql_monthly_trend", "q3_monthly_trend"), ("sql_payment_split", "q4_payment_split"), ("sql_top_product", "q5_top_product"),
+):
+    STATEMENTS[_job] = STATEMENTS[_same]
 STATEMENTS["write_result_csv"] = STATEMENTS["q1_revenue_by_category"]
 
 

@@ -243,3 +243,83 @@ def test_stream_loads_each_file_once(spark, root):
     assert loaded.where(F.col("run_date") == F.lit(SECOND)).count() == 2
     with pytest.raises(ValueError, match="no created_at"):
         load_new_rows(spark, raw_root, "products", target)
+
+
+@pytest.mark.parametrize("writer", [sink.write_dated_csv, sink.land_csv])
+def test_both_layouts_are_read_back_by_run(spark, root, writer):
+    for day, n in ((FIRST, 3), (SECOND, 5)):
+        writer(spark.range(n).select(F.col("id").cast("int").alias("category_id"), F.lit("x").alias("category_name")), root, "categories", day)
+    for day, n in ((FIRST, 3), (SECOND, 5)):
+        assert raw_csv.scan_table(spark, root, "categories", day).count() == n
+    with pytest.raises(raw_csv.SourceMissing):
+        raw_csv.scan_table(spark, root, "categories", dt.date(2025, 4, 20))
+
+
+def test_a_run_in_both_layouts_is_read_whole(spark, root):
+    one = spark.createDataFrame([(1, "a")], "category_id int, category_name string")
+    sink.land_csv(one, root, "categories", FIRST)
+    write_text(root, "categories", "categories_20250406.csv", ["category_id,category_name", "2,b"])
+    assert {r["category_id"] for r in raw_csv.scan_table(spark, root, "categories", FIRST).collect()} == {1, 2}
+
+
+def test_cleaning_an_absent_run_keeps_what_is_published(spark, root):
+    small_raw_run(f"{root}/raw", "20250406")
+    job = CleanJob(f"{root}/raw", f"{root}/clean", FIRST, AS_OF)
+    clean_run(spark, job)
+    with pytest.raises(raw_csv.SourceMissing):
+        clean_run(spark, CleanJob(f"{root}/raw", f"{root}/clean", SECOND, AS_OF))
+    assert spark.read.parquet(f"{root}/clean/processed_orders").count() == 1
+    os.remove(f"{root}/raw/customers/customers_20250406.csv")
+    with pytest.raises(raw_csv.SourceMissing):
+        clean_run(spark, job)
+    assert spark.read.parquet(f"{root}/clean/processed_customers").count() == 1
+
+
+class _Refuses:
+    """A file system whose n-th rename raises."""
+
+    def __init__(self, fs, at):
+        self.fs, self.left = fs, at
+
+    def __getattr__(self, name):
+        return getattr(self.fs, name)
+
+    def rename(self, source, target):
+        self.left -= 1
+        if self.left == 0:
+            raise OSError("the store said no")
+        return self.fs.rename(source, target)
+
+
+@pytest.mark.parametrize("at", [1, 2, 3, 4])
+def test_a_raising_rename_leaves_every_old_folder(spark, root, monkeypatch, at):
+    for name in ("a", "b"):
+        sink.publish(spark, sink.write_parquet(spark.range(3), f"{root}/stage/{name}"), f"{root}/out/{name}")
+    moves = [(sink.write_parquet(spark.range(7), f"{root}/stage/{name}"), f"{root}/out/{name}") for name in ("a", "b")]
+    real, made = sink.hadoop_path, []
+
+    def first_refuses(spark, path):
+        fs, jpath = real(spark, path)
+        made.append(path)
+        return (_Refuses(fs, at) if len(made) == 1 else fs), jpath
+
+    monkeypatch.setattr(sink, "hadoop_path", first_refuses)
+    with pytest.raises(OSError, match="said no"):
+        sink.publish_all(spark, moves)
+    monkeypatch.undo()
+    assert [spark.read.parquet(f"{root}/out/{name}").count() for name in ("a", "b")] == [3, 3]
+    assert sorted(os.listdir(f"{root}/out")) == ["a", "b"]
+    sink.publish_all(spark, moves)
+    assert [spark.read.parquet(f"{root}/out/{name}").count() for name in ("a", "b")] == [7, 7]
+
+
+def test_a_run_landed_again_is_loaded_once(spark, root):
+    target = f"{root}/loaded"
+    for rows in ([(1, "a"), (2, "b")], [(1, "a"), (2, "c"), (3, "d")]):
+        orders = spark.createDataFrame(rows, "order_id long, payment_method string").selectExpr(
+            "order_id", "1L AS customer_id", "date'2025-04-01' AS order_date", "payment_method", "'completed' AS order_status",
+            "timestamp_ntz'2025-04-01 09:30:00' AS created_at", "timestamp_ntz'2025-04-01 09:30:00' AS updated_at")
+        sink.land_csv(orders, f"{root}/raw", "orders", FIRST)
+        load_new_rows(spark, f"{root}/raw", "orders", target)
+    found = spark.read.parquet(f"{target}/orders").select("order_id", "payment_method").collect()
+    assert sorted(map(tuple, found)) == [(1, "a"), (2, "c"), (3, "d")]

@@ -1,85 +1,60 @@
-"""Hot keys: found, spread or collapsed, and never a different result."""
+"""Hot keys and null keys, through the same code as every query."""
 
 import pytest
 from conftest import hand_made, rows_of
 from pyspark.sql import functions as F
 
-from bazaarlake.operators import joins
-from bazaarlake.operators.joins import hot_keys, parse_bytes, skew_join
+from bazaarlake.operators import quality
 from bazaarlake.operators.prefix import running_total_before
 from bazaarlake.operators.ranking import full_rank_within, rank_within
-from bazaarlake.plans import analytics
-
-
-@pytest.fixture(scope="module")
-def facts(spark):
-    """40,000 rows, a third on key 7, some of them full copies, a few null keys."""
-    return spark.range(40_000).select(
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 1000 == 1, None).otherwise(F.col("id") % 9000).alias("k"),
-        (F.col("id") % 11).cast("int").alias("v"),
-        (F.col("id") % 4).alias("g"))
-
-
-@pytest.fixture(scope="module")
-def dims(spark):
-    return spark.range(0, 8000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("d"))
+from bazaarlake.plans import analytics, sql_questions
+from bazaarlake.session import DEFAULTS
+from bazaarlake.sources.catalog import as_views
 
 
 def counted(df):
     return {tuple(r)[:-1]: r["n"] for r in df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def test_hot_key_is_found(facts):
-    found = hot_keys(facts, "k")
-    assert set(found) == {7}
-    assert abs(found[7] - 1 / 3) < 0.01
-
-
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_spread_join_equals_plain_join(facts, dims, conf, how):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    spread = skew_join(facts, dims, "k", how, check_bytes=0)
-    plain = facts.join(dims, "k", how)
-    assert spread.columns == plain.columns
-    assert counted(spread) == counted(plain)
-
-
-def test_spread_join_is_salted_and_balanced(facts, dims, conf):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__coalescePartitions__enabled="false",
-         spark__sql__shuffle__partitions="32", spark__sql__adaptive__skewJoin__enabled="false")
-
-    def largest(df):
-        return max(r["n"] for r in df.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect())
-
-    spread = skew_join(facts, dims, "k", check_bytes=0)
-    assert "_salt" in spread._jdf.queryExecution().optimizedPlan().toString()
-    assert largest(spread) < largest(facts.join(dims, "k")) / 3
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """Order 1, product 3 and customer 1 hold a third of their tables; some keys are null."""
+    n = range(3000)
+    items = [(i, None if i % 97 == 0 else 1 if i % 3 == 0 else i % 400, None if i % 89 == 0 else 3 if i % 3 < 2 else 1 + i % 3,
+              1 + i % 5, f"{i % 97}.25") for i in n]
+    orders = [(i, None if i % 41 == 0 else 1 if i % 3 == 0 else i % 50, f"2025-0{1 + i % 3}-11", ["UPI", "Card"][i % 2],
+               "pending" if i % 7 == 0 else "completed") for i in range(400)]
+    customers = [(i, f"F{i}", "L", "C") for i in range(50)]
+    return hand_made(spark, items=items, orders=orders, customers=customers)
 
 
-def test_right_side_with_several_rows_per_hot_key(facts, dims, conf):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    twice = dims.unionByName(dims.withColumn("d", F.col("d") + 1))
-    assert counted(skew_join(facts, twice, "k", check_bytes=0)) == counted(facts.join(twice, "k"))
+@pytest.mark.parametrize("name", list(analytics.QUESTIONS))
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_questions_with_hot_and_null_keys_equal_the_sql_text(spark, skewed, conf, name, broadcast):
+    conf(spark__sql__autoBroadcastJoinThreshold=broadcast)
+    as_views(skewed)
+    plain = rows_of(spark.sql(sql_questions.QUESTIONS[name]))
+    assert rows_of(analytics.QUESTIONS[name](skewed)) == plain and plain
 
 
-def test_other_join_kinds_are_refused(facts, dims):
-    with pytest.raises(ValueError):
-        skew_join(facts, dims, "k", "full")
+def test_a_hot_order_is_split_at_run_time(spark, conf):
+    """The session's settings make the join split a key that is most of its side."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__shuffle__partitions="16",
+         spark__sql__adaptive__advisoryPartitionSizeInBytes="64k", spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64k",
+         spark__sql__adaptive__skewJoin__skewedPartitionFactor="2", **{k.replace(".", "__"): v for k, v in DEFAULTS.items()})
+    lines = spark.range(0, 200_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("order_id"), "id")
+    joined = lines.join(spark.range(5000).withColumnRenamed("id", "order_id"), "order_id").groupBy("order_id").count()
+    joined.collect()
+    assert "skewed" in joined._jdf.queryExecution().executedPlan().toString() or "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("question", list(analytics.QUESTIONS.values()))
-def test_questions_with_a_hot_order_product_and_customer(spark, monkeypatch, question):
-    """Order 1, product 3 and customer 1 hold a third of their tables; both ways agree."""
-    n = range(3000)
-    items = [(i, 1 if i % 3 == 0 else i % 400, 3 if i % 3 < 2 else 1 + i % 3, 1 + i % 5, f"{i % 97}.25") for i in n]
-    orders = [(i, 1 if i % 3 == 0 else i % 50, f"2025-0{1 + i % 3}-11", ["UPI", "Card"][i % 2],
-               "pending" if i % 7 == 0 else "completed") for i in range(400)]
-    customers = [(i, f"F{i}", "L", "C") for i in range(50)]
-    tables = hand_made(spark, items=items, orders=orders, customers=customers)
-    plain = rows_of(question(tables))
-    monkeypatch.setattr(joins, "SKEW_CHECK_BYTES", 0)
-    assert 1 in joins.hot_keys(tables.order_items, "order_id")
-    assert rows_of(question(tables)) == plain and plain
+def test_null_keys_are_unknown_products_and_orders_without_verdict(skewed):
+    judged = quality.judge_items(skewed.order_items, skewed.products, quality.judge_orders(skewed.orders, __import__("datetime").date(2026, 1, 1)))
+    for row in judged.where("product_id is null").collect():
+        assert "invalid_fk" in row["reasons"]
+    for row in judged.where("order_id is null").collect():
+        assert "removed_order" in row["reasons"]
+    assert judged.count() == skewed.order_items.count()
 
 
 def test_running_total_equals_plain_window(spark):
@@ -92,17 +67,12 @@ def test_running_total_equals_plain_window(spark):
     assert total == expected
 
 
-@pytest.mark.parametrize("cuts", [4, 1000])
-def test_full_rank_equals_window_rank(spark, cuts):
-    """Uneven groups, ties, and one measure that holds half of a group."""
+@pytest.mark.parametrize("kind", ["bigint", "double", "decimal(18,2)"])
+def test_full_rank_equals_window_rank(spark, kind):
+    """Uneven groups, ties, one measure that holds half of a group, null groups and measures, both signs."""
     df = spark.range(6000).select(
-        "id", F.when(F.col("id") < 5000, 1).otherwise(F.col("id") % 3).cast("int").alias("g"),
-        F.when(F.col("id") % 2 == 0, 50).otherwise((F.col("id") * 7919) % 997).alias("m"))
-    got = full_rank_within(df, "g", "m", "r", cuts=cuts, check_bytes=0).select("id", "g", "m", "r")
-    want = rank_within(df, "g", "m", "r").select("id", "g", "m", "r")
-    assert counted(got) == counted(want)
-
-
-@pytest.mark.parametrize("text,size", [("10485760b", 10485760), ("10MB", 10 << 20), ("1g", 1 << 30), ("-1", -1), ("5", 5)])
-def test_size_settings_are_read(text, size):
-    assert parse_bytes(text) == size
+        "id", F.when(F.col("id") % 11 == 0, None).when(F.col("id") < 5000, 1).otherwise(F.col("id") % 3).cast("int").alias("g"),
+        F.when(F.col("id") % 13 == 0, None).when(F.col("id") % 2 == 0, 50).otherwise((F.col("id") * 7919) % 997 - 300).cast(kind).alias("m"))
+    got = full_rank_within(df, "g", "m", "r")
+    assert got.columns == ["id", "g", "m", "r"]
+    assert counted(got) == counted(rank_within(df, "g", "m", "r"))
