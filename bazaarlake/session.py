@@ -7,11 +7,14 @@ where the session has none of its own.
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bazaarlake.sources.files import hadoop_path
+
 PARTITION_BYTES = 128 * 1024 * 1024
 
 # Skewed joins are split even when that costs the next aggregate one more exchange;
@@ -102,16 +105,30 @@ def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int =
     return current
 
 
+_own_folders: dict[str, tempfile.TemporaryDirectory] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it."""
+    """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
+
+    A local master without that setting gets one temporary folder for the application, removed
+    when the program ends.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="bazaarlake-")
+    if re.match(r"local(\[|$)", spark.sparkContext.master):
+        app = spark.sparkContext.applicationId
+        if app not in _own_folders:
+            _own_folders[app] = tempfile.TemporaryDirectory(prefix="bazaarlake-", ignore_cleanup_errors=True)
+        return _own_folders[app].name
     raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder of its own for one run."""
-    return f"{shared_folder(spark)}/bazaarlake/{purpose}-{uuid.uuid4().hex}"
+    """A fresh folder of its own for the scratch data of one run, removed when the driver ends."""
+    base = f"{shared_folder(spark)}/bazaarlake/{purpose}-{uuid.uuid4().hex}"
+    fs, path = hadoop_path(spark, base)
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return f"{base}/data"
