@@ -11,10 +11,10 @@ positions differ by no more than the band allows at the wanted similarity, the l
 the order of both texts; its length over all shingles of the two, shared ones counted once.  It is the
 Jaccard similarity of the shingles for texts whose common parts are in the same order, and never more.
 
-Exact copies are one node.  Under each key, members are compared with a few leaders, picked by a hash
-that differs from key to key, and small keys are compared within; pairs that are in one class already
-are left out.  Keys whose members are still in several classes go on with other leaders until a whole
-pass over all keys finds no new link.  So a group of n near copies costs about n comparisons, not n^2.
+Exact copies are one node.  Under each key, members are first compared with the smallest node.  Where
+they are then in several classes, small keys are compared within, and in large ones a member of each
+class with a few leaders; members and leaders are others at each pass, until a pass over all keys finds
+no new link.  So a group of n near copies costs about n comparisons, not n^2.
 Classes are the connected components of the links, found by min-label steps over written tables.
 
 At similarity 0.8 a pair shares a key with probability 1 - (1 - 0.8^6)^32 = 0.99994.
@@ -198,6 +198,19 @@ def components(links: DataFrame) -> DataFrame:
         edges = written(small.unionByName(least.select("a", F.col("least").alias("b"))).distinct(), "near-links")
 
 
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """The labels after more links: only links between classes are followed, with a node for each class."""
+    if labels is None:
+        return components(links)
+    of = lambda s: labels.select(F.col("node").alias(s), F.col("label").alias(f"label_{s}"))
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(
+        F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+    top = components(between).select(F.col("node").alias("label"), F.col("label").alias("top"))
+    new = links.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node", "left_anti")
+    every = labels.unionByName(new.withColumn("label", F.col("node")))
+    return written(every.join(top, "label", "left").select("node", F.coalesce("top", "label").alias("label")), "near-labels")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """The pairs a, b whose texts align well enough."""
 
@@ -215,9 +228,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFram
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "body_a", "body_b").mapInArrow(align, "a long, b long")
 
 
-def _leaders(members: DataFrame, most: int, turn: int) -> DataFrame:
-    """A few members of each bucket, others at each turn; the limit is applied in every task before the shuffle."""
-    picked = Window.partitionBy("bucket").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+def _leaders(members: DataFrame, most: int, turn: int, *within: str) -> DataFrame:
+    """A few members of each bucket (and class), others at each turn; the limit is applied in every task before the shuffle."""
+    picked = Window.partitionBy("bucket", *within).orderBy(F.xxhash64("node", F.lit(turn), F.lit(len(within))), "node")
     return members.withColumn("n", F.row_number().over(picked)).where(F.col("n") <= most).drop("n")
 
 
@@ -251,13 +264,13 @@ def near_links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_c
     while True:
         if labels is None:
             current = members.withColumn("label", F.col("node"))
-            pairs = _joined_pairs(current, _leaders(current, 1, turn))
+            pairs = _joined_pairs(current, current.groupBy("bucket").agg(F.min("node").alias("node")).withColumn("label", F.col("node")))
         else:
             current = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             mixed = current.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
             current = written(current.join(mixed.select("bucket"), "bucket"), "near-mixed")
             small, large = current.where(F.col("size") <= SMALL_KEY), current.where(F.col("size") > SMALL_KEY)
-            pairs = _joined_pairs(large, _leaders(large, LEADERS, turn))
+            pairs = _joined_pairs(_leaders(large, 1, turn, "label"), _leaders(large, LEADERS, turn))
             if turn == 1:  # small keys: every pair, once; at most SMALL_KEY^2 / 2 for each
                 pairs = pairs.unionByName(_joined_pairs(small, small))
         pairs = pairs.distinct()
@@ -272,7 +285,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_c
             links = links.unionByName(more)
         grown = not new.isEmpty()
         if grown or labels is None:
-            labels = components(links)
+            labels = merged(labels, new)
         if turn and not grown:
             return links, labels
         turn += 1
