@@ -5,8 +5,10 @@ Near lines are found by a segment-partition edit join.  A line of length L is cu
 segments; two lines within so many edits share one of them unchanged.  Every distinct line enters an
 index with its own segments, keyed by (length, segment number, segment), and looks up, for each length
 from L - edits to L, the substrings that could be the segments of a line of that length (the
-multi-match-aware start positions).  Found pairs are verified by a banded bit-parallel edit distance:
-for each number of errors a bit set of the diagonals within reach, moved one character at a time.
+multi-match-aware start positions).  A pair under a key goes on only if the counts of eight letters differ
+by no more than the edits can change.  Found pairs are verified by a banded bit-parallel edit distance: for
+each number of errors a bit set of the diagonals within reach, moved one character at a time; before it, a
+cheap test that enough pieces of the one line occur near their place in the other.
 
 A line is removed where the same or a near line comes earlier, in the order of (document id, text hash,
 line number).  That needs no closure: a line near an earlier one is removed wherever it occurs, and of
@@ -33,6 +35,10 @@ MIN_CHARS = 20
 #: Candidate lines up to which their hashes are sent to all tasks (12 bytes each); beyond, a shuffled join.
 BROADCAST_LINES = 500_000
 _ID = "decimal(38,0)"
+#: Letters whose counts are compared; any do, frequent ones tell most.
+LETTERS = "etaoinrs"
+#: Pieces of the test before the edit distance.
+PIECES = 8
 
 
 def text_key(text: Column) -> Column:
@@ -56,31 +62,66 @@ def _place() -> Column:
     return (id_part * F.lit(str(1 << 62)).cast("decimal(19,0)") + low.cast("decimal(19,0)")).cast(_ID)
 
 
-def _segment(length: Column, number: int, edits: int) -> tuple[Column, Column]:
+def _segment(length: Column, number: Column, edits: int) -> tuple[Column, Column]:
     """Start (from 0) and length of a segment: all equal, the last ones longer by one where it does not divide."""
-    short, longer = F.floor(length / (edits + 1)).cast("int"), (length % (edits + 1)).cast("int")
-    extra = F.greatest(F.lit(number) - (F.lit(edits + 1) - longer), F.lit(0))
-    size = short + F.when(F.lit(number) >= F.lit(edits + 1) - longer, 1).otherwise(0)
-    return short * number + extra, size
-
-
-def segment_keys(line: Column, edits: int) -> tuple[list[Column], list[Column]]:
-    """Hashes of a line's own segments, and of the substrings that may be segments of lines as long or shorter."""
-    length = F.length(line)
-    key = lambda n, number, start, size: F.xxhash64(n, F.lit(number), F.substring(line, start + 1, size))
-    own, sought = [], []
-    for number in range(edits + 1):
-        own.append(key(length, number, *_segment(length, number, edits)))
-    for shorter in range(edits + 1):
-        other = length - shorter
-        for number in range(edits + 1):
-            start, size = _segment(other, number, edits)
-            lowest = max(-number, shorter - (edits - number))
-            highest = min(number, shorter + (edits - number))
-            for shift in range(lowest, highest + 1):
-                at = start + shift
-                sought.append(F.when((at >= 0) & (at + size <= length), key(other, number, at, size)))
-    return own, sought
+    short, longer = F.call_function("div", length, F.lit(edits + 1)).cast("int"), length % (edits + 1)
+    first_longer = F.lit(edits + 1) - longer
+    extra = F.greatest(number - first_longer, F.lit(0))
+    return short * number + extra, short + F.when(number >= first_longer, 1).otherwise(0)
+
+
+def letter_counts(line: Column) -> Column:
+    """Counts of the letters modulo 256, a byte each."""
+    counts = F.lit(0).cast("long")
+    for i, letter in enumerate(LETTERS):
+        count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        counts = counts.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(255)), 8 * i))
+    return counts
+
+
+def count_distance(a: Column, b: Column) -> Column:
+    """At most the number of letters that tell two lines apart: an edit changes it by two at most."""
+    total = F.lit(0).cast("long")
+    for i in range(len(LETTERS)):
+        of = lambda x: F.shiftrightunsigned(x, 8 * i).bitwiseAND(F.lit(255))  # noqa: E731, B023
+        apart = F.abs(of(a) - of(b))
+        total = total + F.least(apart, F.lit(256) - apart)
+    return total
+
+
+def pieces_near(a: Column, b: Column, edits: int) -> Column:
+    """Do all but so many pieces of a occur in b, shifted by no more?  Each edit spoils one piece at most."""
+    found = F.lit(0)
+    for number in range(PIECES):
+        start, size = _segment(F.length(a), F.lit(number), PIECES - 1)
+        low = F.greatest(start - edits, F.lit(0))
+        there = F.substring(b, low + 1, start + size + edits - low)
+        found = found + F.when(there.contains(F.substring(a, start + 1, size)), 1).otherwise(0)
+    return found >= PIECES - edits
+
+
+def segment_keys(line: Column, length: Column, edits: int) -> tuple[Column, Column]:
+    """Hashes of a line's own segments, and of the substrings that may be segments of lines as long or shorter (or null).
+
+    One small expression over a constant list of places: written out for each place it makes a method too large for
+    the JVM to compile.
+    """
+    def key(x: Column) -> Column:
+        other = length - x["shorter"]
+        start, size = _segment(other, x["number"], edits)
+        at = start + x["shift"]
+        found = F.xxhash64(other, x["number"], F.substring(line, at + 1, size))
+        return F.when((at >= 0) & (at + size <= length), found)
+
+    def places(rows: list[tuple[int, int, int]]) -> Column:
+        return F.array(*(F.struct(F.lit(a).alias("shorter"), F.lit(b).alias("number"), F.lit(c).alias("shift")) for a, b, c in rows))
+
+    own = [(0, number, 0) for number in range(edits + 1)]
+    sought = [
+        (shorter, number, shift)
+        for shorter in range(edits + 1) for number in range(edits + 1)
+        for shift in range(max(-number, shorter - (edits - number)), min(number, shorter + (edits - number)) + 1)]
+    return F.transform(places(own), key), F.transform(places(sought), key)
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
@@ -123,13 +164,16 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Pairs of different lines within so many edits: columns h_a, m_a, h_b, m_b, each pair once."""
-    own, sought = segment_keys(F.col("line"), edits)
-    distinct = _lines(docs, id_col, text_col, min_chars).select(
-        "h", "m", F.array(*own).alias("own"), F.array_compact(F.array(*sought)).alias("sought"),
-    ).groupBy("h", "m").agg(F.first("own").alias("own"), F.first("sought").alias("sought"))
-    index = distinct.select(F.explode("own").alias("segment"), F.col("h").alias("h_a"))
-    probes = distinct.select(F.explode("sought").alias("segment"), F.col("h").alias("h_b"))
-    met = index.join(probes, "segment").where("h_a != h_b")
+    own, sought = segment_keys(F.col("line"), F.col("length"), edits)
+    lines = _lines(docs, id_col, text_col, min_chars).withColumn("length", F.length("line")).select(
+        "h", "m", letter_counts(F.col("line")).alias("letters"), F.concat(own, sought).alias("keys"))
+    # Both sides take the same columns, so that the lines are read and grouped once for the two.
+    distinct = lines.groupBy("h", "m").agg(F.first("letters").alias("letters"), F.first("keys").alias("keys"))
+    keys = lambda start, n: F.explode(F.slice("keys", start, n)).alias("segment")
+    index = distinct.select(keys(1, edits + 1), F.col("h").alias("h_a"), F.col("letters").alias("letters_a"))
+    probes = distinct.select(keys(edits + 2, 1 << 20), F.col("h").alias("h_b"), F.col("letters").alias("letters_b"))
+    close = count_distance(F.col("letters_a"), F.col("letters_b")) <= 2 * edits
+    met = index.join(probes.where("segment is not null"), "segment").where((F.col("h_a") != F.col("h_b")) & close)
     pairs = written(met.select(F.least("h_a", "h_b").alias("h_a"), F.greatest("h_a", "h_b").alias("h_b")).distinct(), "line-pairs")
 
     wanted = written(pairs.select(F.explode(F.array("h_a", "h_b")).alias("h")).distinct(), "line-hashes")
@@ -139,7 +183,8 @@ def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     .groupBy("h", "m").agg(F.first("line").alias("line")), "line-texts")
     side = lambda s: texts.select(F.col("h").alias(f"h_{s}"), F.col("m").alias(f"m_{s}"), F.col("line").alias(f"line_{s}"))
     both = pairs.join(side("a"), "h_a").join(side("b"), "h_b")
-    return both.where(within_edits(F.col("line_a"), F.col("line_b"), edits)).select("h_a", "m_a", "h_b", "m_b")
+    near = pieces_near(F.col("line_a"), F.col("line_b"), edits) & within_edits(F.col("line_a"), F.col("line_b"), edits)
+    return both.where(near).select("h_a", "m_a", "h_b", "m_b")
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS,
