@@ -12,9 +12,12 @@ the order of both texts; its length over all shingles of the two, shared ones co
 Jaccard similarity of the shingles for texts whose common parts are in the same order, and never more.
 
 Exact copies are one node.  Under each key, members are first compared with the smallest node.  Where
-they are then in several classes, small keys are compared within, and in large ones a member of each
-class with a few leaders; members and leaders are others at each pass, until a pass over all keys finds
-no new link.  So a group of n near copies costs about n comparisons, not n^2.
+they are then in several classes, a member of each class is compared with a few leaders; members and
+leaders are others at each pass, as long as that finds links.  At the end every pair of members of a key
+that is still in two classes is tested, whatever the size of the key, so a pair is lost only if it shares
+no key.  A group of n near copies costs about n comparisons; n texts that share keys but are no near copies
+cost n^2, in blocks: the pairs are told apart by their numbers of shingles and by parity bit maps, which
+lose none, and those left are aligned with the shingles of many texts at hand.
 Classes are the connected components of the links, found by min-label steps over written tables.
 
 At similarity 0.8 a pair shares a key with probability 1 - (1 - 0.8^6)^32 = 0.99994.
@@ -33,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.common import free_name, written
@@ -43,9 +46,14 @@ SIMILARITY = 0.8
 BANDS = 32
 ROWS = 2
 MINIMA = 3
-#: Keys of at most so many members are compared within at once.
-SMALL_KEY = 24
 LEADERS = 4
+#: Passes with leaders go on while one comparison in so many finds a link.
+LEADERS_PAY = 10
+#: Members of a key that meet those of another block of it in one group of the join of all pairs.
+BLOCK_MEMBERS = 1024
+#: Pairs aligned in one group, about.
+PAIRS_AT_ONCE = 4000
+PARITY_BITS = 256
 DOCS_AT_ONCE = 256
 CELLS_AT_ONCE = 1 << 18
 
@@ -152,6 +160,20 @@ def alignment_similarity(a: np.ndarray, b: np.ndarray, similarity: float = SIMIL
     return shared / (total - shared)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """A bit map: the parity of the number of shingles that fall on each bit.  Two maps differ in no more bits
+    than there are shingles in one of the texts only."""
+    odd = np.bincount((shingles % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
+def may_align(n_a: Column, bits_a: Column, n_b: Column, bits_b: Column, similarity: float) -> Column:
+    """False only for texts below the similarity: by their numbers of shingles and by the bits that differ."""
+    differ = sum((F.bit_count(bits_a[i].bitwiseXOR(bits_b[i])) for i in range(PARITY_BITS // 64)), F.lit(0))
+    return (F.least(n_a, n_b) >= F.greatest(n_a, n_b) * similarity - 1e-6) & (
+        differ <= (n_a + n_b) * ((1 - similarity) / (1 + similarity)) + 1e-6)
+
+
 def _text_key() -> list:
     return [F.xxhash64("body").alias("t"), F.hash("body").alias("u")]
 
@@ -161,19 +183,28 @@ def _bodies(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def nodes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per distinct text: node, t, u (hashes of the text), keys (empty for a text without words)."""
+    """A row per distinct text: node, t, u (hashes of the text), keys (empty for a text without words), shingles (their
+    number), bits (their parities)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first in range(0, batch.num_rows, DOCS_AT_ONCE):
                 rows = batch.slice(first, DOCS_AT_ONCE)
-                keys = []
+                keys, numbers, bits = [], [], []
                 for words in word_hashes(rows.column(2)):
-                    keys.append(key_hashes(labelled_shingles(words)).view(np.int64) if len(words) else np.empty(0, np.int64))
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(keys, pa.list_(pa.int64()))], names=["t", "u", "keys"])
+                    shingles = labelled_shingles(words)
+                    keys.append(key_hashes(shingles).view(np.int64) if len(words) else np.empty(0, np.int64))
+                    numbers.append(len(shingles))
+                    bits.append(parities(shingles))
+                longs = pa.list_(pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), rows.column(1), pa.array(keys, longs), pa.array(numbers, pa.int32()), pa.array(bits, longs)],
+                    names=["t", "u", "keys", "shingles", "bits"])
 
-    sketched = _bodies(docs, id_col, text_col).select(*_text_key(), "body").mapInArrow(sketch, "t long, u int, keys array<long>")
-    return sketched.groupBy("t", "u").agg(F.first("keys").alias("keys")).select(F.monotonically_increasing_id().alias("node"), "t", "u", "keys")
+    sketched = _bodies(docs, id_col, text_col).select(*_text_key(), "body").mapInArrow(
+        sketch, "t long, u int, keys array<long>, shingles int, bits array<long>")
+    of_text = [F.first(c).alias(c) for c in ("keys", "shingles", "bits")]
+    return sketched.groupBy("t", "u").agg(*of_text).select(F.monotonically_increasing_id().alias("node"), "t", "u", "keys", "shingles", "bits")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -241,6 +272,56 @@ def _joined_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
 
+def _all_pairs(current: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Every pair of members of one bucket that are in different classes and may be similar.
+
+    The members outside the bucket's largest class meet all members.  Both are dealt to blocks of the bucket, and a
+    group of the join is a block of either, so no bucket makes a large group.
+    """
+    sizes = current.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket").agg(
+        F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("label", F.struct("n", "label")).alias("main"))
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK_MEMBERS)).cast("int")
+    dealt = current.select("bucket", "node", "label").join(nodes.select("node", "shingles", "bits"), "node").join(sizes, "bucket").select(
+        "bucket", "node", "label", "shingles", "bits", (F.col("label") == F.col("main")).alias("in_main"),
+        blocks(F.col("all") - F.col("most")).alias("lefts"), blocks(F.col("all")).alias("rights"))
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = dealt.where(~F.col("in_main")).withColumn("left", block("lefts")).withColumn("right", every("rights")).drop("lefts", "rights", "in_main")
+    right = dealt.withColumn("right", block("rights")).withColumn("left", every("lefts")).select(
+        "bucket", "left", "right", F.col("node").alias("other"), F.col("label").alias("other_label"),
+        F.col("shingles").alias("other_shingles"), F.col("bits").alias("other_bits"), "in_main")
+    apart = (F.col("label") != F.col("other_label")) & (F.col("in_main") | (F.col("node") < F.col("other")))
+    may = may_align(F.col("shingles"), F.col("bits"), F.col("other_shingles"), F.col("other_bits"), similarity)
+    return left.join(right, ["bucket", "left", "right"]).where(apart & may).select(
+        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+
+
+def _verified_in_groups(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """As `_verified`, for many pairs of few texts: a text comes once to each group of pairs, not with every pair."""
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, DOCS_AT_ONCE):
+                rows = batch.slice(first, DOCS_AT_ONCE)
+                own = [labelled_shingles(w).view(np.int64) for w in word_hashes(rows.column(1))]
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(own, pa.list_(pa.int64()))], names=["node", "own"])
+
+    def align(these: pa.Table, those: pa.Table) -> pa.Table:
+        own = those.column("own").combine_chunks()
+        flat, ends = own.values.to_numpy().view(np.uint64), own.offsets.to_numpy()
+        of = {node: flat[x:y] for node, x, y in zip(those.column("node").to_pylist(), ends, ends[1:])}
+        a, b = these.column("a").to_pylist(), these.column("b").to_pylist()
+        near = [alignment_similarity(of[x], of[y], similarity) >= similarity - 1e-9 for x, y in zip(a, b)]
+        return these.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    sides = max(1, round((2 * pairs.count() / PAIRS_AT_ONCE) ** 0.5))
+    side = lambda c: F.pmod(F.xxhash64(c), F.lit(sides)).cast("int")
+    dealt = pairs.select("a", "b", side("a").alias("left"), side("b").alias("right"))
+    wanted = dealt.select(F.col("left").alias("of_left"), F.col("right").alias("of_right"), F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = texts.join(wanted.select("node").distinct(), "node", "left_semi").select("node", "body").mapInArrow(shingle, "node long, own array<long>")
+    return dealt.groupBy("left", "right").cogroup(wanted.join(held, "node").groupBy("of_left", "of_right")).applyInArrow(align, "a long, b long")
+
+
 BROADCAST_NODES = 500_000
 
 
@@ -261,6 +342,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_c
     tested: list[DataFrame] = []
     labels = None
     turn = 0
+    last = False
     while True:
         if labels is None:
             current = members.withColumn("label", F.col("node"))
@@ -269,41 +351,44 @@ def near_links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_c
             current = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             mixed = current.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
             current = written(current.join(mixed.select("bucket"), "bucket"), "near-mixed")
-            small, large = current.where(F.col("size") <= SMALL_KEY), current.where(F.col("size") > SMALL_KEY)
-            pairs = _joined_pairs(_leaders(large, 1, turn, "label"), _leaders(large, LEADERS, turn))
-            if turn == 1:  # small keys: every pair, once; at most SMALL_KEY^2 / 2 for each
-                pairs = pairs.unionByName(_joined_pairs(small, small))
+            pairs = _all_pairs(current, nodes, similarity) if last else _joined_pairs(
+                _leaders(current, 1, turn, "label"), _leaders(current, LEADERS, turn))
         pairs = pairs.distinct()
         for earlier in tested:
             pairs = pairs.join(earlier, ["a", "b"], "left_anti")
         pairs = written(pairs, "near-pairs")
-        new = written(_verified(pairs, texts, similarity), "near-found")
+        new = written((_verified_in_groups if last else _verified)(pairs, texts, similarity), "near-found")
         tested.append(pairs)
         found.append(new)
         links = found[0]
         for more in found[1:]:
             links = links.unionByName(more)
-        grown = not new.isEmpty()
-        if grown or labels is None:
+        n_new = new.count()
+        if n_new or labels is None:
             labels = merged(labels, new)
-        if turn and not grown:
+        if last:
             return links, labels
+        last = turn > 0 and n_new * LEADERS_PAY <= pairs.count()
         turn += 1
 
 
 def classed(docs: DataFrame, class_col: str = "class_id", id_col: str = "doc_id", text_col: str = "text",
             similarity: float = SIMILARITY) -> DataFrame:
-    """Columns id_col, class_col (the smallest id of its class), links (near links of its text), t, u: a row per document."""
+    """Columns id_col, class_col (the smallest id of its class), found_links, t, u: a row per document.
+
+    found_links are the links of its text that were met on the way to the classes, not all near copies of it: pairs
+    already in one class are not compared.
+    """
     nodes = written(nodes_of(docs, id_col, text_col), "near-nodes")
     links, labels = near_links(docs, nodes, id_col, text_col, similarity)
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("found_links"))
     rows = _bodies(docs, id_col, text_col).select("id", *_text_key())
     least = rows.groupBy("t", "u").agg(F.min("id").alias("least"))
     texts = (nodes.select("node", "t", "u").join(labels, "node", "left").join(degree, "node", "left")
              .join(least, ["t", "u"]).withColumn("label", F.coalesce("label", "node")))
     of_class = texts.groupBy("label").agg(F.min("least").alias("class"))
-    of_text = texts.join(of_class, "label").select("t", "u", "class", F.coalesce("links", F.lit(0)).alias("links"))
-    return rows.join(of_text, ["t", "u"]).select(F.col("id").alias(id_col), F.col("class").alias(class_col), "links", "t", "u")
+    of_text = texts.join(of_class, "label").select("t", "u", "class", F.coalesce("found_links", F.lit(0)).alias("found_links"))
+    return rows.join(of_text, ["t", "u"]).select(F.col("id").alias(id_col), F.col("class").alias(class_col), "found_links", "t", "u")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

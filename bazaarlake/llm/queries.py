@@ -72,7 +72,7 @@ def op7_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_minhash.classed(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "links")
+    return order_minhash.classed(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "found_links")
 
 
 def op9_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

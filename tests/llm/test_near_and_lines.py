@@ -144,6 +144,36 @@ def test_many_near_copies_of_one_text_are_one_class(spark):
     assert {r["class_id"] for r in order_minhash.classed(df).collect()} == {0}
 
 
+def test_every_pair_of_a_large_key_is_tested(spark):
+    """Many different texts under one key, near copies only in pairs: leaders would meet few of those."""
+    r = random.Random(5)
+    texts = []
+    for i in range(300):
+        words = [f"w{r.randint(0, 10 ** 6)}" for _ in range(60)]
+        texts.append(" ".join(words))
+        if i % 3 == 0:
+            texts.append(" ".join(words[:-1] + ["end"]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    nodes = order_minhash.written(order_minhash.nodes_of(df).withColumn("keys", F.array(F.lit(7).cast("long"))), "test-nodes")
+    links, labels = order_minhash.near_links(df, nodes)
+    assert links.distinct().count() == 100
+    assert labels.groupBy("label").count().where("count = 2").count() == 100
+
+
+def test_bit_maps_lose_no_similar_pair(spark):
+    r = random.Random(13)
+    rows = []
+    for _ in range(300):
+        a = [r.randint(0, 2 ** 63) for _ in range(r.randint(1, 400))]
+        b = [x if r.random() > 0.12 else r.randint(0, 2 ** 63) for x in a]
+        a, b = (np.unique(np.array(x, np.uint64)) for x in (a, b))
+        shared = len(np.intersect1d(a, b))
+        rows.append((len(a), order_minhash.parities(a).tolist(), len(b), order_minhash.parities(b).tolist(), shared / (len(a) + len(b) - shared)))
+    df = spark.createDataFrame(rows, "n_a int, x array<long>, n_b int, y array<long>, exact double")
+    out = df.select("exact", order_minhash.may_align(*map(F.col, ("n_a", "x", "n_b", "y")), 0.8).alias("may")).collect()
+    assert all(x["may"] for x in out if x["exact"] >= 0.8) and any(x["exact"] >= 0.8 for x in out) and not all(x["may"] for x in out)
+
+
 def test_alignment_is_the_jaccard_of_texts_in_order_and_sees_the_order():
     r = random.Random(11)
     code = lambda words: order_minhash.labelled_shingles(np.array([hash(w) & (2 ** 64 - 1) for w in words], np.uint64))
