@@ -231,6 +231,17 @@ def test_forest_reaches_the_recall_and_scores_exactly(spark):
     assert total == 20 * (ids % 20 == 0).sum() and hits / total >= 0.9
 
 
+@pytest.mark.parametrize("rows,candidates", [(4000, 1700), (4000, 50), (6000, 50)])
+def test_forest_takes_candidates_until_the_recall_holds(spark, rows, candidates):
+    """A target that is just met at level 1 (48 * rows / 128 matches), and ones that level 2 meets."""
+    vectors = np.random.default_rng(6).normal(size=(rows, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    want = exact_neighbours(list(range(rows)), vectors, lambda i: i % 40 == 0, 20)
+    got = neighbours.nearest(df, F.col("vec_id") % 40 == 0, k=20, candidates=candidates).collect()
+    hits = sum(any(r["vec_id"] == v for v, _ in want[r["query_id"]]) for r in got)
+    assert hits >= 0.9 * 20 * len(want)
+
+
 def test_forest_of_odd_rows(spark):
     rng = np.random.default_rng(4)
     vectors = rng.normal(size=(40, 6)) * rng.uniform(0.2, 5, (40, 1))  # norms differ: the largest inner product is not the nearest angle
