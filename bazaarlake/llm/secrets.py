@@ -6,8 +6,8 @@ secret.  A long unbroken token is reported when the log-likelihood ratio of the
 its pairs of characters, is above a threshold, and it overlaps nothing the patterns found.
 
 Everything is built-in Spark functions: the scan is one projection without a shuffle, the model a table
-of 128 x 128 ratios in the plan.  Training looks at about `sample_docs` documents, picked by a hash of
-their place in the scan, and brings at most 2 x 128 x 128 counts to the driver.
+of 128 x 128 ratios in the plan.  Training counts all documents: words first, so that a word's pairs are
+formed once however often it occurs; it brings at most 2 x 128 x 128 counts to the driver.
 
 Positions are code points, from 0, the end exclusive.  Defined cases: a null text is an empty one; very
 long texts are scanned whole; without labelled samples all ratios are 0 and nothing is added; rows with
@@ -33,7 +33,6 @@ ASSIGN_VALUE_CHARS = 8
 
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 ORDINARY_WORD = r"[A-Za-z0-9+/_=-]{6,}"
-SAMPLE_DOCS = 20_000
 THRESHOLD = 12.0
 SMOOTHING = 0.1
 CODES = 128
@@ -66,25 +65,24 @@ def base_spans(text: Column) -> Column:
 
 
 def _pair_counts(words: DataFrame) -> DataFrame:
-    """Rows random, a, b, n from rows random, word."""
+    """Rows random, a, b, n from rows random, word, n."""
     place = F.explode(F.sequence(F.lit(1), F.length("word") - 1)).alias("i")
-    pairs = words.where(F.length("word") > 1).select("random", "word", place).select(
-        "random", F.ascii(F.expr("substring(word, i, 1)")).alias("a"), F.ascii(F.expr("substring(word, i + 1, 1)")).alias("b"))
-    return pairs.groupBy("random", "a", "b").agg(F.count("*").alias("n"))
+    pairs = words.where(F.length("word") > 1).select("random", "word", "n", place).select(
+        "random", "n", F.ascii(F.expr("substring(word, i, 1)")).alias("a"), F.ascii(F.expr("substring(word, i + 1, 1)")).alias("b"))
+    return pairs.groupBy("random", "a", "b").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> list[float]:
+def fit(docs: DataFrame, text_col: str = "text") -> list[float]:
     """The log-likelihood ratio of each pair of character codes, at a * CODES + b."""
-    every = max(1, docs.count() // sample_docs)
-    picked = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.monotonically_increasing_id().alias("place")).where(
-        F.pmod(F.xxhash64("place"), F.lit(every)) == 0).select("text")
+    texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     secrets = F.concat(
         F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda x: F.length(x) >= ASSIGN_VALUE_CHARS),
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
-    marked = picked.select(secrets.alias("secrets"), "text")
+    marked = texts.select(secrets.alias("secrets"), "text")
     random = F.size("secrets") > 0
     ordinary = F.filter(F.regexp_extract_all("text", F.lit(ORDINARY_WORD), F.lit(0)), lambda x: ~x.rlike(TOKEN) | x.rlike("^[A-Za-z]+$"))
     words = marked.select(random.alias("random"), F.explode(F.when(random, F.col("secrets")).otherwise(ordinary)).alias("word"))
+    words = words.groupBy("random", "word").agg(F.count("*").alias("n"))
     counts = {True: {}, False: {}}
     for row in _pair_counts(words).collect():
         counts[row["random"]][row["a"], row["b"]] = row["n"]

@@ -49,6 +49,13 @@ def test_random_tokens_are_added_and_words_are_not(spark):
     assert all(set(map(tuple, r["base"])) <= set(map(tuple, r["spans"])) for r in rows)
 
 
+def test_markov_counts_are_those_of_all_documents_in_any_layout(spark):
+    words = F.concat_ws(" ", *(F.translate(F.substring(F.md5((F.col("id") * 3 + i).cast("string")), 1, 9), "0123456789", "ghijklmnop") for i in range(3)))
+    docs = spark.range(45_000).select(F.when(F.col("id") == 777, F.concat(F.lit("token = "), F.md5(F.lit("x")))).otherwise(words).alias("text"))
+    ratios = secrets.fit(docs.repartition(3))
+    assert any(ratios) and ratios == secrets.fit(docs.repartition(7)) == secrets.fit(docs.coalesce(1))
+
+
 def test_scan_query_masking_and_odd_rows(spark, edge, none, given):
     texts = dict(given.select("doc_id", "text").collect())
     for r in QUERIES["op1_markov_secrets"](spark, SF).collect():
