@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import byte_bpe, language, line_dedup, neighbours, order_minhash, packing, quality, secrets, sharding, toxicity
+from bazaarlake.llm import byte_bpe, divergence, language, line_dedup, neighbours, order_minhash, packing, quality, secrets, sharding, toxicity
 from bazaarlake.llm.common import fold, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -90,6 +90,10 @@ def op10_segment_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"))
 
 
+def op13_packed_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.Audit(table(spark, sf_dir, "documents")).report()
+
+
 QUERIES = {
     "op1_markov_secrets": op1_markov_secrets,
     "op2_adaptive_quality": op2_adaptive_quality,
@@ -101,6 +105,35 @@ QUERIES = {
     "op8_order_minhash": op8_order_minhash,
     "op9_hash_prefix_forest": op9_hash_prefix_forest,
     "op10_segment_line_dedup": op10_segment_line_dedup,
+    "op13_packed_divergence": op13_packed_divergence,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_DIVERGENCE_SQL = r"""
+    WITH docs AS (
+      SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+    words AS (SELECT d, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+    kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT d) >= 10),
+    seen AS (SELECT w.lang, source, term, count(*) AS n FROM words w JOIN kept USING (lang, term) GROUP BY ALL),
+    vocabulary AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+    groups AS (
+      SELECT g.lang, g.source, coalesce(v, 0)::HUGEINT AS v, coalesce(total, 0) AS lang_total, coalesce((SELECT sum(n) FROM seen s WHERE s.lang = g.lang AND s.source = g.source), 0) AS total
+      FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN vocabulary USING (lang)),
+    shares AS (
+      SELECT g.lang, g.source, k.term, coalesce(s.n, 0) AS n, (1 + 1000000000::HUGEINT * (coalesce(s.n, 0) + 2) // (g.total + 2 * g.v))::BIGINT AS p,
+             (1 + 1000000000::HUGEINT * (k.n + 2) // (g.lang_total + 2 * g.v))::BIGINT AS q
+      FROM groups g JOIN kept k USING (lang) LEFT JOIN seen s USING (lang, source, term)),
+    found AS (
+      SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(x.f), 0)::BIGINT AS value
+      FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN (SELECT s.lang, s.source, t.source AS item, ((s.p - t.p) * (s.p - t.p)) // (s.p + t.p) AS f
+                 FROM shares s JOIN shares t ON s.lang = t.lang AND s.term = t.term AND s.source <> t.source) x
+        ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+      GROUP BY ALL
+      UNION ALL
+      SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q)
+    SELECT lang, source, part, item, value, rank::INT AS rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+    WHERE part = 'pair' OR rank <= 10"""
+
+ORACLE_SQL: dict[str, str] = {"op13_packed_divergence": _DIVERGENCE_SQL}
