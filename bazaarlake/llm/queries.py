@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import byte_bpe, divergence, language, line_dedup, neighbours, order_minhash, packing, quality, secrets, sharding, toxicity
+from bazaarlake.llm import byte_bpe, divergence, language, lexical, line_dedup, neighbours, order_minhash, packing, quality, secrets, sharding, toxicity
 from bazaarlake.llm.common import fold, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -90,6 +90,10 @@ def op10_segment_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"))
 
 
+def op12_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
+
+
 def op13_packed_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.Audit(table(spark, sf_dir, "documents")).report()
 
@@ -105,9 +109,32 @@ QUERIES = {
     "op8_order_minhash": op8_order_minhash,
     "op9_hash_prefix_forest": op9_hash_prefix_forest,
     "op10_segment_line_dedup": op10_segment_line_dedup,
+    "op12_nra_search": op12_nra_search,
     "op13_packed_divergence": op13_packed_divergence,
 }
 
+_SEARCH_SQL = r"""
+    WITH docs AS (
+      SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+    corpus AS (SELECT count(*) AS n, sum(len(terms)) AS l FROM docs WHERE len(terms) > 0),
+    sought AS (
+      SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+    asked AS (SELECT item_id, term, count(*) AS repeats FROM sought GROUP BY ALL),
+    postings AS (
+      SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(terms) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+    weights AS (
+      SELECT term, floor(1000 * ln((2 * any_value(n) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM postings, corpus GROUP BY term),
+    impacts AS (
+      SELECT d, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + ((25 * len(terms) * n) // l)::BIGINT))) AS impact
+      FROM postings JOIN weights USING (term) JOIN docs USING (d), corpus),
+    scores AS (SELECT item_id, d, sum(repeats * impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY ALL)
+    SELECT item_id, rank::INT AS rank, doc_id, score
+    FROM (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+          FROM scores JOIN docs USING (d) WHERE score > 0)
+    WHERE rank <= 20"""
+
 _DIVERGENCE_SQL = r"""
     WITH docs AS (
       SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
@@ -136,4 +163,4 @@ _DIVERGENCE_SQL = r"""
     FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
     WHERE part = 'pair' OR rank <= 10"""
 
-ORACLE_SQL: dict[str, str] = {"op13_packed_divergence": _DIVERGENCE_SQL}
+ORACLE_SQL: dict[str, str] = {"op12_nra_search": _SEARCH_SQL, "op13_packed_divergence": _DIVERGENCE_SQL}
