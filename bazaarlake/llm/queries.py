@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlake.llm import byte_bpe, divergence, language, lexical, line_dedup, neighbours, order_minhash, packing, quality, secrets, sharding, toxicity
+from bazaarlake.llm import byte_bpe, divergence, language, lexical, line_crf, line_dedup, neighbours, order_minhash, packing, quality, secrets, sharding, toxicity
 from bazaarlake.llm.common import fold, table
 
 RANK_FILE = "byte_bpe_multi_50k.tiktoken"
@@ -90,6 +90,13 @@ def op10_segment_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.array_join(F.col("removed").cast("array<string>"), ","), F.lit("")).alias("removed"))
 
 
+def op11_line_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    field = line_crf.fit(docs, labels.where(fold("doc_id", 5) != 0))
+    return line_crf.scored(docs.select("doc_id", "text"), field, "score").select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op12_nra_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=20)
 
@@ -109,6 +116,7 @@ QUERIES = {
     "op8_order_minhash": op8_order_minhash,
     "op9_hash_prefix_forest": op9_hash_prefix_forest,
     "op10_segment_line_dedup": op10_segment_line_dedup,
+    "op11_line_crf_quality": op11_line_crf_quality,
     "op12_nra_search": op12_nra_search,
     "op13_packed_divergence": op13_packed_divergence,
 }
