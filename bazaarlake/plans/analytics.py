@@ -2,7 +2,8 @@
 
 Distinct orders are counted on rows that are already one per order and group, so no
 query needs Spark's distinct aggregation over item lines; where lines are not joined to
-orders, they are summed per product before anything else.
+orders, they are summed per product before anything else.  Tables that hold several runs are
+scoped to the published one first, since equal ids of two runs would multiply in every join.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ def completed_order_totals(tables: RetailTables, *order_columns: str) -> DataFra
 
 def revenue_by_category(tables: RetailTables) -> DataFrame:
     """Orders, units and revenue per category, completed orders only, best first."""
+    tables = tables.asked()
     lines = tables.order_items.select("product_id", *_LINE)
     placed = lines.join(tables.products.select("product_id", "category_id"), "product_id")
     per_order = totals_per_order(
@@ -55,6 +57,7 @@ def revenue_by_category(tables: RetailTables) -> DataFrame:
 
 def spend_by_customer(tables: RetailTables) -> DataFrame:
     """Orders and spend of every customer with a completed order."""
+    tables = tables.asked()
     spend = completed_order_totals(tables, "customer_id").groupBy("customer_id").agg(
         F.count("order_id").alias("orders"), F.sum(REVENUE).alias(REVENUE)
     )
@@ -80,6 +83,7 @@ def top_customers(tables: RetailTables, k: int = 10) -> DataFrame:
 
 def monthly_trend(tables: RetailTables) -> DataFrame:
     """Orders, different customers and revenue per month, completed orders only."""
+    tables = tables.asked()
     month = scalars.order_month(F.col("order_date"))
     per_order = completed_order_totals(tables, "order_date", "customer_id").select(
         month.alias("order_month"), "order_id", "customer_id", REVENUE
@@ -100,6 +104,7 @@ def monthly_trend(tables: RetailTables) -> DataFrame:
 
 def payment_split(tables: RetailTables) -> DataFrame:
     """Orders, their share in percent, and revenue per payment method, completed orders only."""
+    tables = tables.asked()
     per_method = completed_order_totals(tables, "payment_method").groupBy("payment_method").agg(
         F.count("order_id").alias("total_orders"), _money(REVENUE, "total_revenue_inr")
     )
@@ -126,6 +131,7 @@ def product_sales(tables: RetailTables) -> DataFrame:
 
 def top_product_per_category(tables: RetailTables) -> DataFrame:
     """The product with most units in each category; ties are all kept."""
+    tables = tables.asked()
     ranked = rank_within(product_sales(tables), "category_id", "total_units_sold", "rank_in_category")
     return (
         ranked.where("rank_in_category = 1")

@@ -16,20 +16,23 @@ from bazaarlake import fixed_values as fixed
 from bazaarlake import schemas
 from bazaarlake.functions import draws, scalars
 from bazaarlake.functions.typing import MALFORMED, apply_types
-from bazaarlake.operators import quality, ranking, totals, versions
+from bazaarlake.operators import distinct, quality, ranking, totals, versions
 from bazaarlake.plans import analytics, sql_questions
-from bazaarlake.plans.clean_zone import CleanJob, clean_run
+from bazaarlake.plans.clean_zone import CleanJob, clean_run, read_published
+from bazaarlake.plans.kept_answers import KeptAnswers
 from bazaarlake.plans.make_run import row_counts
 from bazaarlake.session import prepare, run_folder
 from bazaarlake.sinks import files as sink
-from bazaarlake.sources import catalog, raw_csv, warehouse
+from bazaarlake.sinks import commits
+from bazaarlake.sources import catalog, drift, raw_csv, warehouse
 from bazaarlake.sources.warehouse import AS_OF, ITEM_KEY
 from bazaarlake.streaming.increments import load_new_files
+from bazaarlake.streaming.ledger import FileLedger
 from bazaarlake.synth import catalogue
 from bazaarlake.synth.generate import Maker, Sizes, size_columns
 from bazaarlake.tables import RetailTables
 
-FIRST_RUN, SECOND_RUN = dt.date(2025, 4, 6), dt.date(2025, 4, 13)
+FIRST_RUN, SECOND_RUN, THIRD_RUN = dt.date(2025, 4, 6), dt.date(2025, 4, 13), dt.date(2025, 4, 20)
 RUN_SPLIT = dt.date(1998, 6, 30)
 MAKE_AS_OF, MAKE_SEED = dt.date(2025, 4, 15), 1
 
@@ -74,6 +77,17 @@ def clean_for_order_joins(spark: SparkSession, sf_dir: str) -> RetailTables:
     )
 
 
+_built: dict[tuple[str, str, str], object] = {}
+
+
+def built(spark: SparkSession, sf_dir: str, make):
+    """What several queries start from is made once for an application, in its scratch folder."""
+    key = (spark.sparkContext.applicationId, make.__name__, sf_dir)
+    if key not in _built:
+        _built[key] = make(spark, sf_dir)
+    return _built[key]
+
+
 # Sources and sinks -----------------------------------------------------------
 
 def _raw_orders(spark, sf_dir) -> DataFrame:
@@ -127,6 +141,23 @@ def _cleaned(spark, sf_dir) -> str:
     return f"{root}/clean"
 
 
+def _published_twice(spark, sf_dir) -> str:
+    """Two runs with equal ids below one root, the older published once more after the newer: the clean folder.
+
+    In the older run every order is completed and each line has one unit more.
+    """
+    root = run_folder(spark, "two-runs")
+    tables = warehouse.landable_tables(prepare(spark), sf_dir)
+    older = tables.having(orders=tables.orders.withColumn("order_status", F.lit(fixed.COMPLETED)),
+                          order_items=tables.order_items.withColumn("quantity", F.col("quantity") + 1))
+    for day, run in ((FIRST_RUN, older), (SECOND_RUN, tables)):
+        for name, df in run.items():
+            sink.land_csv(df, f"{root}/raw", name, day)
+    for day in (FIRST_RUN, SECOND_RUN, FIRST_RUN):
+        clean_run(spark, CleanJob(f"{root}/raw", f"{root}/clean", day, AS_OF, by_commit=day == SECOND_RUN))
+    return f"{root}/clean"
+
+
 def _lines_of(items: DataFrame) -> DataFrame:
     return items.withColumn("line_no", (F.col("order_item_id") % warehouse.LINES_PER_ORDER).cast("int")).withColumn(
         "product_id", F.col("product_id").cast("bigint"))
@@ -153,9 +184,9 @@ def discover_clean_schema(spark, sf_dir):
         for name in schemas.TABLES})
 
 
-def _asked_in_sql(spark, sf_dir, question: str) -> DataFrame:
+def _asked_in_sql(spark, sf_dir, question: str, publish=_cleaned) -> DataFrame:
     """Publish, register by name, ask in SQL text."""
-    root = _cleaned(spark, sf_dir)
+    root = built(spark, sf_dir, publish) if publish is _published_twice else publish(spark, sf_dir)
     database = f"retail_{root.split('-')[-1].split('/')[0]}"
     catalog.ensure_database(spark, database, f"{root}/_database")
     catalog.register_clean(spark, database, root)
@@ -183,6 +214,68 @@ def sql_top_product(spark, sf_dir):
     return _asked_in_sql(spark, sf_dir, "top_product_per_category")
 
 
+def sql_revenue_by_category_two_runs(spark, sf_dir):
+    return _asked_in_sql(spark, sf_dir, "revenue_by_category", _published_twice)
+
+
+def sql_top_customers_two_runs(spark, sf_dir):
+    return _asked_in_sql(spark, sf_dir, "top_customers", _published_twice)
+
+
+def sql_monthly_trend_two_runs(spark, sf_dir):
+    return _asked_in_sql(spark, sf_dir, "monthly_trend", _published_twice)
+
+
+def sql_payment_split_two_runs(spark, sf_dir):
+    return _asked_in_sql(spark, sf_dir, "payment_split", _published_twice)
+
+
+def sql_top_product_two_runs(spark, sf_dir):
+    return _asked_in_sql(spark, sf_dir, "top_product_per_category", _published_twice)
+
+
+def named_tables_two_runs(spark, sf_dir):
+    """The DataFrame question on tables taken by name, with two runs published."""
+    root = built(spark, sf_dir, _published_twice)
+    database = f"retail_{root.split('-')[-1].split('/')[0]}"
+    catalog.ensure_database(spark, database, f"{root}/_database")
+    catalog.register_clean(spark, database, root)
+    return portable(analytics.payment_split(catalog.clean_tables(spark, database)))
+
+
+def raw_by_name(spark, sf_dir):
+    """A run as a dated file, one as a dated folder; both by name, with the run as a column."""
+    first, second = _two_runs(spark, sf_dir)
+    root = run_folder(spark, "raw-names")
+    full = lambda df: df.withColumn("updated_at", F.col("created_at"))
+    sink.write_dated_csv(full(first), root, "orders", FIRST_RUN)
+    sink.land_csv(full(second), root, "orders", SECOND_RUN)
+    for name, df in warehouse.landable_tables(prepare(spark), sf_dir).items():
+        if name in ("categories", "products"):
+            sink.land_csv(df, root, name, FIRST_RUN)
+    database = f"raw_{root.split('-')[-1].split('/')[0]}"
+    catalog.ensure_database(spark, database, f"{root}/_database")
+    catalog.register_raw(spark, database, root, ["categories", "products", "orders"])
+    return portable(spark.sql(f"""
+        SELECT run_date, count(*) AS rows, sum(CAST(order_id AS BIGINT)) AS id_sum FROM {database}.orders
+        WHERE run_date IN (DATE '{FIRST_RUN}', DATE '{SECOND_RUN}') GROUP BY run_date"""))
+
+
+def schema_drift(spark, sf_dir):
+    """Three runs of orders: as they are, with a lost, a new and a wider column, and as at first again."""
+    orders = _raw_orders(spark, sf_dir)
+    root = run_folder(spark, "drift")
+    sink.write_dated_csv(orders, root, "orders", FIRST_RUN)
+    other = orders.drop("payment_method").withColumns({
+        "customer_id": F.col("customer_id") + F.lit(5_000_000_000), "gift": (F.col("order_id") % 2 == 0)})
+    sink.land_csv(other, root, "orders", SECOND_RUN)
+    sink.write_dated_csv(orders, root, "orders", THIRD_RUN)
+    found = drift.run_columns(spark, f"{root}/orders")
+    changed = drift.changes(found).select(raw_csv.RUN_DATE, "column_name", "change", F.coalesce("found_type", F.lit("")).alias("found_type"))
+    cells = found.select(raw_csv.RUN_DATE, "column_name", "cells", "merged_type")
+    return portable(changed.join(cells, [raw_csv.RUN_DATE, "column_name"], "left").fillna({"cells": 0, "merged_type": ""}))
+
+
 def dim_categories(spark, sf_dir):
     """The literal categories with the parts that fall to each by key."""
     part = warehouse.read(spark, sf_dir, "part")
@@ -284,6 +377,18 @@ def publish_run(spark, sf_dir):
     return portable(spark.read.parquet(target).select(*ORDER_COLUMNS))
 
 
+def publish_by_commit(spark, sf_dir):
+    """Publish a run by a commit, then its replacement; a third version is written but never committed."""
+    first, second = _two_runs(spark, sf_dir)
+    root = run_folder(spark, "commit")
+    for version, df in (("a", first), ("b", second), ("c", first)):
+        place = f"{commits.VERSIONS}/{version}/orders"
+        sink.write_parquet(df, f"{root}/{place}")
+        if version != "c":
+            commits.commit(spark, root, commits.RUN, FIRST_RUN.isoformat(), {"orders": place}, commits.snapshot(spark, root).number)
+    return portable(read_published(spark, root, "orders").select(*ORDER_COLUMNS))
+
+
 def run_summary(spark, sf_dir):
     rate = f"CASE table_name WHEN 'order_items' THEN {fixed.DEFECT_RATE_PERCENT} ELSE 0 END"
     return row_counts(raw(spark, sf_dir)).withColumn("expected_dirty", F.expr(f"row_count * {rate} div 100"))
@@ -425,6 +530,36 @@ def incremental_stream(spark, sf_dir):
     return portable(spark.read.parquet(target).select(*ORDER_COLUMNS, "run_date"))
 
 
+def _late(df: DataFrame) -> DataFrame:
+    return df.where("order_id % 7 = 0")
+
+
+def _ledger_loads(spark, sf_dir) -> tuple[FileLedger, list[dict]]:
+    """The first run without some orders; the second with these, late; nothing; the first landed anew."""
+    first, second = _two_runs(spark, sf_dir)
+    root = run_folder(spark, "ledger")
+    ledger = FileLedger(spark, f"{root}/raw/orders", first.schema, f"{root}/loaded/orders")
+    reports = []
+    for df, day in ((first.where("order_id % 7 <> 0"), FIRST_RUN), (second.unionByName(_late(first)), SECOND_RUN), (None, None),
+                    (first.where("order_id % 7 <> 0"), FIRST_RUN)):
+        if df is not None:
+            sink.write_dated_csv(df, f"{root}/raw", "orders", day)
+        reports += ledger.load()
+    return ledger, reports
+
+
+def incremental_ledger(spark, sf_dir):
+    """Each row once: late rows of an older date, and a run that was landed again."""
+    return portable(built(spark, sf_dir, _ledger_loads)[0].rows().select(*ORDER_COLUMNS, "run_date"))
+
+
+def ledger_loads(spark, sf_dir):
+    """Rows, late rows and the mark after each load that found something."""
+    reports = built(spark, sf_dir, _ledger_loads)[1]
+    rows = [(r["load"], r["rows"], r["late_rows"], r["mark"]) for r in reports]
+    return portable(spark.createDataFrame(rows, "load int, rows long, late_rows long, mark timestamp_ntz"))
+
+
 # Joins, aggregates, scalars --------------------------------------------------------
 
 def join_items_orders(spark, sf_dir):
@@ -463,6 +598,26 @@ def multi_distinct(spark, sf_dir):
         F.count_distinct("order_id").alias("total_orders"), F.count_distinct("customer_id").alias("unique_customers"))
 
 
+def multi_distinct_bitmaps(spark, sf_dir):
+    """As multi_distinct, from bitmaps."""
+    kept = distinct.bitmaps(warehouse.orders(spark, sf_dir), ["order_status"], "order_id", "customer_id")
+    return distinct.counts(kept, ["order_status"], total_orders="order_id", unique_customers="customer_id")
+
+
+def distinct_by_month(spark, sf_dir):
+    """Orders and customers per run and month, per month and in all, from one stored set of bitmaps."""
+    first, second = _two_runs(spark, sf_dir)
+    dated = lambda df, day: df.select(F.lit(str(day)).alias("run_date"), scalars.order_month(F.col("order_date")).alias("order_month"), "order_id", "customer_id")
+    both = dated(first, FIRST_RUN).unionByName(dated(second, SECOND_RUN))
+    folder = sink.write_parquet(distinct.bitmaps(both, ["run_date", "order_month"], "order_id", "customer_id"), run_folder(spark, "bitmaps"))
+    kept = spark.read.parquet(folder)
+    names = {"total_orders": "order_id", "unique_customers": "customer_id"}
+    whole = distinct.counts(kept, ["run_date", "order_month"], **names)
+    for keys in (["run_date"], ["order_month"], []):
+        whole = whole.unionByName(distinct.counts(kept, keys, **names), allowMissingColumns=True)
+    return whole.fillna("all", ["run_date", "order_month"])
+
+
 def decimal_revenue(spark, sf_dir):
     """Exact revenue by product status: known products and the unknown one."""
     items = warehouse.order_items(spark, sf_dir)
@@ -636,11 +791,50 @@ def q5_top_product(spark, sf_dir):
     return portable(analytics.top_product_per_category(clean(spark, sf_dir)))
 
 
+def _kept(spark, sf_dir) -> KeptAnswers:
+    """Orders dealt to two runs by their date; the first run is taken up wrongly, then again as it is."""
+    root = run_folder(spark, "answers")
+    tables = RetailTables(**{name: spark.read.parquet(sink.write_parquet(df, f"{root}/clean/{name}")) for name, df in clean(spark, sf_dir).items()})
+    early = tables.orders.where(F.col("order_date") <= scalars.as_day(RUN_SPLIT))
+    late = tables.orders.where(~(F.col("order_date") <= scalars.as_day(RUN_SPLIT)))
+    of = lambda orders: tables.having(orders=orders, order_items=tables.order_items.join(orders.select("order_id"), "order_id", "left_semi"))
+    answers = KeptAnswers(spark, f"{root}/kept")
+    wrong = of(early)
+    answers.refresh(FIRST_RUN, wrong.having(order_items=wrong.order_items.withColumn("quantity", F.col("quantity") + 5)))
+    answers.refresh(SECOND_RUN, of(late))
+    answers.refresh(FIRST_RUN, of(early))
+    return answers
+
+
+def kept_revenue_by_category(spark, sf_dir):
+    return portable(built(spark, sf_dir, _kept).revenue_by_category())
+
+
+def kept_top_customers(spark, sf_dir):
+    return portable(built(spark, sf_dir, _kept).top_customers())
+
+
+def kept_monthly_trend(spark, sf_dir):
+    return portable(built(spark, sf_dir, _kept).monthly_trend())
+
+
+def kept_payment_split(spark, sf_dir):
+    return portable(built(spark, sf_dir, _kept).payment_split())
+
+
+def kept_top_product(spark, sf_dir):
+    return portable(built(spark, sf_dir, _kept).top_product_per_category())
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         q1_revenue_by_category, q2_top_customers, q3_monthly_trend, q4_payment_split, q5_top_product,
         sql_revenue_by_category, sql_top_customers, sql_monthly_trend, sql_payment_split, sql_top_product,
+        sql_revenue_by_category_two_runs, sql_top_customers_two_runs, sql_monthly_trend_two_runs, sql_payment_split_two_runs,
+        sql_top_product_two_runs, named_tables_two_runs, publish_by_commit, raw_by_name, schema_drift,
+        kept_revenue_by_category, kept_top_customers, kept_monthly_trend, kept_payment_split, kept_top_product,
+        incremental_ledger, ledger_loads, multi_distinct_bitmaps, distinct_by_month,
         clean_job_items, clean_job_orders, clean_job_quarantine,
         scan_raw_csv, discover_raw_schema, discover_clean_schema, dim_categories, dim_products,
         raw_run_date, scan_one_run, source_guard,

@@ -11,7 +11,6 @@ import datetime as dt
 from pyspark.sql import SparkSession, functions as F
 
 from bazaarlake import fixed_values as fixed
-from bazaarlake.operators.versions import one_run
 from bazaarlake.plans.analytics import QUESTIONS
 from bazaarlake.plans.clean_zone import CleanJob, clean_run
 from bazaarlake.plans.make_run import make_run
@@ -24,7 +23,7 @@ from bazaarlake.tables import RetailTables
 
 def run_scope(tables: RetailTables, run_date: dt.date) -> RetailTables:
     """All five tables limited to one run, before any join can multiply rows."""
-    return tables.having(**{name: one_run(df, run_date) for name, df in tables.items()})
+    return tables.of_run(run_date)
 
 
 def ask(spark: SparkSession, database: str, run_date: dt.date, results_root: str) -> list[str]:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -51,6 +53,16 @@ def write_result(df: DataFrame, path: str) -> str:
     return path
 
 
+#: Independent writes that run at the same time: a few, so that small jobs do not wait for one another.
+WRITERS = 4
+
+
+def side_by_side(*writes: Callable[[], object]) -> list:
+    """Run independent jobs at the same time; the results in order.  The first failure is raised after all have ended."""
+    with ThreadPoolExecutor(WRITERS) as pool:
+        return [job.result() for job in [pool.submit(write) for write in writes]]
+
+
 def publish_all(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
     """Move finished stage folders to their places, all or none.
 

@@ -389,6 +389,35 @@ STATEMENTS = {
         SELECT 'removed_order', count(*) FROM mwhy WHERE r3 UNION ALL
         SELECT 'bad_items', count(*) FROM mwhy WHERE r1 OR r2 OR r3""",
 }
+_ARRIVED = "(run_date = '2025-04-06' AND order_id % 7 <> 0)"
+_MARK_1 = f"(SELECT max(created_at) FROM split WHERE {_ARRIVED})"
+_MARK_2 = "(SELECT max(created_at) FROM split)"
+STATEMENTS["incremental_ledger"] = f"""
+    SELECT {_ORDER}, CASE WHEN {_ARRIVED} THEN '2025-04-06' ELSE '2025-04-13' END AS run_date FROM split"""
+STATEMENTS["ledger_loads"] = f"""
+    SELECT CAST(load AS INTEGER) AS load, rows, late_rows, strftime(mark, '%Y-%m-%d %H:%M:%S') AS mark FROM (
+      SELECT 1 AS load, count(*) AS rows, CAST(0 AS BIGINT) AS late_rows, max(created_at) AS mark FROM split WHERE {_ARRIVED} UNION ALL
+      SELECT 2, count(*), count(*) FILTER (created_at < {_MARK_1}), {_MARK_2} FROM split WHERE NOT {_ARRIVED} UNION ALL
+      SELECT 3, count(*), count(*) FILTER (created_at < {_MARK_2}), {_MARK_2} FROM split WHERE {_ARRIVED})"""
+STATEMENTS["distinct_by_month"] = """
+    SELECT coalesce(run_date, 'all') AS run_date, coalesce(order_month, 'all') AS order_month,
+           count(DISTINCT order_id) AS total_orders, count(DISTINCT customer_id) AS unique_customers
+    FROM (SELECT *, strftime(order_date, '%Y-%m') AS order_month FROM split)
+    GROUP BY CUBE (run_date, order_month)"""
+_DRIFT = {"order_id": "int", "customer_id": "int", "order_date": "date", "payment_method": "string", "order_status": "string", "created_at": "timestamp"}
+_LONG = {"customer_id": "bigint"}
+_RUNS = {
+    "2025-04-06": [(c, "first", k, k) for c, k in _DRIFT.items()],
+    "2025-04-13": [(c, "widened" if c in _LONG else "lost" if c == "payment_method" else "same" if c in ("order_id", "order_date") else "moved",
+                    "" if c == "payment_method" else _LONG.get(c, k), "" if c == "payment_method" else _LONG.get(c, k)) for c, k in _DRIFT.items()]
+    + [("gift", "added", "boolean", "boolean")],
+    "2025-04-20": [(c, "narrowed" if c in _LONG else "added" if c == "payment_method" else "same" if c in ("order_id", "order_date") else "moved",
+                    k, _LONG.get(c, k)) for c, k in _DRIFT.items()] + [("gift", "lost", "", "")],
+}
+STATEMENTS["schema_drift"] = "SELECT v.*, CASE found_type WHEN '' THEN 0 ELSE (SELECT count(*) FROM ord0) END AS cells FROM (VALUES " + ", ".join(
+    f"('{run}', '{c}', '{change}', '{found}', '{merged}')" for run, rows in _RUNS.items() for c, change, found, merged in rows
+) + ") AS v(run_date, column_name, change, found_type, merged_type)"
+
 # What discovery must say: position, column, found type, declared type.
 _TEXT, _DAY, _STAMP = "string", "date", "timestamp_ntz"
 _DECLARED = {
@@ -422,6 +451,12 @@ for _job, _same in (
     ("clean_job_items", "processed_order_items"), ("clean_job_orders", "processed_orders"), ("clean_job_quarantine", "quarantine"),
     ("sql_revenue_by_category", "q1_revenue_by_category"), ("sql_top_customers", "q2_top_customers"),
     ("sql_monthly_trend", "q3_monthly_trend"), ("sql_payment_split", "q4_payment_split"), ("sql_top_product", "q5_top_product"),
+    ("sql_revenue_by_category_two_runs", "q1_revenue_by_category"), ("sql_top_customers_two_runs", "q2_top_customers"),
+    ("sql_monthly_trend_two_runs", "q3_monthly_trend"), ("sql_payment_split_two_runs", "q4_payment_split"),
+    ("sql_top_product_two_runs", "q5_top_product"), ("named_tables_two_runs", "q4_payment_split"),
+    ("kept_revenue_by_category", "q1_revenue_by_category"), ("kept_top_customers", "q2_top_customers"),
+    ("kept_monthly_trend", "q3_monthly_trend"), ("kept_payment_split", "q4_payment_split"), ("kept_top_product", "q5_top_product"),
+    ("publish_by_commit", "publish_run"), ("raw_by_name", "raw_run_date"), ("multi_distinct_bitmaps", "multi_distinct"),
 ):
     STATEMENTS[_job] = STATEMENTS[_same]
 STATEMENTS["write_result_csv"] = STATEMENTS["q1_revenue_by_category"]
