@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from bazaarlake.session import run_folder
@@ -52,5 +52,44 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % F.lit(folds)
 
 
+def smallest_hashes(df: DataFrame, id_col: str, wanted: int, group_col: str, sizes: dict) -> DataFrame:
+    """Of each group the `wanted` rows of the smallest hashes of their id; sizes: rows of each group.
+
+    Rows beyond twice the share that is wanted are left out before the window, so that one task never gets much more
+    than 2 * wanted rows of a group, however many tasks and rows there are.
+    """
+    space = 1 << 40
+    hashed = F.pmod(F.xxhash64(id_col), F.lit(space))
+    limit = F.lit(0)
+    for value, size in sizes.items():
+        limit = F.when(F.col(group_col) == F.lit(value), F.lit(min(space, 2 * wanted * space // max(size, 1)))).otherwise(limit)
+    name, place = free_name(df, "__hash"), free_name(df, "__place")
+    order = Window.partitionBy(group_col).orderBy(name, id_col)
+    return (df.withColumn(name, hashed).where(F.col(name) < limit).withColumn(place, F.row_number().over(order))
+            .where(F.col(place) <= wanted).drop(name, place))
+
+
+#: Bits of a filter: its table has at most BITS / 64 rows of two numbers, 2 MB, whatever it is made from.
+FILTER_BITS = 1 << 23
+
+
+def bit_filter(hashes: DataFrame, hash_col: str) -> DataFrame:
+    """A bit for each hash that occurs, modulo FILTER_BITS: columns word, bits."""
+    place = F.pmod(F.col(hash_col), F.lit(FILTER_BITS))
+    return hashes.select(F.shiftright(place, 6).alias("word"), (place % 64).cast("int").alias("bit")).groupBy("word").agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit"))).alias("bits"))
+
+
+def maybe_in(df: DataFrame, hash_col: str, bits: DataFrame) -> DataFrame:
+    """The rows whose hash may be among those of the filter; none that is is lost.  An exact join should follow.
+
+    The filter is sent to all tasks: its size has a bound.
+    """
+    place = F.pmod(F.col(hash_col), F.lit(FILTER_BITS))
+    named = bits.select(F.col("word").alias("__word"), F.col("bits").alias("__bits"))
+    there = F.call_function("shiftrightunsigned", F.col("__bits"), (place % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return df.join(F.broadcast(named), (F.shiftright(place, 6) == F.col("__word")) & there, "left_semi")
+
+
 def groups_for(rows: int, rows_per_group: int) -> int:
     return max(1, math.ceil(rows / rows_per_group))

@@ -29,11 +29,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import terms as packed
-from bazaarlake.llm.common import free_name
+from bazaarlake.llm.common import smallest_hashes
 
 PER_CLASS = 3000
 SAMPLE_LINES = 200
@@ -310,9 +310,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marked = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     total, positive = marked.agg(F.count("*"), F.sum("label")).first()
     share = min(max(positive / total if total else 0.5, 1e-6), 1 - 1e-6)
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    # Cut to the limit in every task before the shuffle; 2 * per_class rows of two numbers are sent to the tasks.
-    sample = marked.withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_class).drop("n")
+    # 2 * per_class rows of two numbers are sent to the tasks.
+    sample = smallest_hashes(marked, "id", per_class, "label", {1: positive or 0, 0: total - (positive or 0)})
 
     def bins_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in packed.slices(batches, 1, SLICE_BYTES, SLICE_DOCS):
