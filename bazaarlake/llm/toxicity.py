@@ -8,12 +8,15 @@ stays on a term that tells one group from another, and a neutral mention does no
 
 Fitting works on hashed features of the sample alone, at most `per_class` documents of each label
 (those with the smallest hash of their id); the share of toxic documents among all labelled ones sets
-the intercept.  Scoring runs over all documents in Arrow batches.
+the intercept.  Features are counted and chosen in Spark; to the driver go a bit for each sampled document and
+chosen feature, and at most `swaps_per_doc` swaps of each document (those met first).  Scoring runs over all
+documents in Arrow batches.
 
 Defined cases: a null or empty text, or one without known features, gets the intercept's score; rows
 with equal ids or repeated whole are scored alike; labels that are null or have no document are not
 used; where a label is missing from the sample all scores are the share of toxic labels (0.5 of none);
-an empty table gives no rows.  Only id and text of the documents are read, whatever else they hold.
+an empty table gives no rows; a very long text is read whole, for fitting and for scoring.  Only id and text of
+the documents are read, whatever else they hold.
 """
 
 from __future__ import annotations
@@ -29,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from bazaarlake.llm.common import smallest_hashes, written
+
 # Groups of identity terms that can stand for one another.
 IDENTITY_TERMS = (
     ("women", "men", "girls", "boys"),
@@ -44,12 +49,12 @@ IDENTITY_TERMS = (
     ("femmes", "hommes"), ("musulmans", "chrétiens", "juifs"), ("étrangers", "immigrés"),
     ("mujeres", "hombres"), ("musulmanes", "cristianos", "judíos"), ("extranjeros", "inmigrantes"),
 )
-_OTHERS = {t: tuple(o for o in kind if o != t) for kind in IDENTITY_TERMS for t in kind}
 
 PER_CLASS = 4000
 MAX_FEATURES = 20_000
 MIN_DOCS = 3
 FAIRNESS = 10.0
+SWAPS_PER_DOC = 32
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -64,11 +69,27 @@ def features(words: set[str]) -> set[int]:
     return {f for w in words for f in word_features(w)}
 
 
-def swapped(words: set[str]) -> Iterator[set[str]]:
-    """The words with each identity term replaced by another of its kind, once for each such term."""
-    for term in sorted(words & _OTHERS.keys()):
-        for other in _OTHERS[term]:
-            yield (words - {term}) | {other}
+def others_of(identity_terms) -> dict[str, tuple[str, ...]]:
+    """For each term the others of its group."""
+    return {t: tuple(o for o in kind if o != t) for kind in identity_terms for t in kind}
+
+
+def swaps(text: str, others: dict[str, tuple[str, ...]], most: int) -> Iterator[tuple[set[int], set[int]]]:
+    """Features that the text loses and wins where a term of one of its sentences stands for another of its kind."""
+    text, found = text.lower(), 0
+    own = None
+    for sentence in re.split(r"[.!?\n]+", text):
+        said = set(_WORD.findall(sentence))
+        for term in sorted(said & others.keys()):
+            if own is None:
+                words = set(_WORD.findall(text))
+                own = features(words)
+            for other in others[term]:
+                if found == most:
+                    return
+                found += 1
+                now = features((words - {term}) | {other} if other not in words else words - {term})
+                yield own - now, now - own
 
 
 @dataclass
@@ -98,59 +119,68 @@ class ToxicityModel:
         return score
 
 
-def _featured(labelled: DataFrame) -> DataFrame:
-    """Rows label, feats (distinct hashed features), lost and won (features that a swap takes away and brings)."""
+def _features(labelled: DataFrame) -> DataFrame:
+    """Rows label, feats (distinct hashed features) of rows label, body."""
 
     def map_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            feats = [sorted(features(set(_WORD.findall((text or "").lower())))) for text in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(feats, pa.list_(pa.int64()))], names=["label", "feats"])
+
+    return labelled.mapInArrow(map_features, "label int, feats array<long>")
+
+
+def chosen_features(featured: DataFrame, labels: tuple[int, int]) -> np.ndarray:
+    """The features that tell the labels apart best, in rising order; labels: sampled documents in all, toxic ones."""
+    n, toxic = labels
+    share = toxic / n
+    counted = featured.select("label", F.explode("feats").alias("feature")).groupBy("feature").agg(
+        F.count("*").alias("docs"), F.sum("label").alias("toxic")).where(F.col("docs") >= MIN_DOCS)
+    z = F.abs(F.col("toxic") - F.col("docs") * share) / F.sqrt(F.col("docs") * (share * (1 - share)) + 1e-9)
+    best = counted.orderBy(F.desc(z), "feature").limit(MAX_FEATURES)
+    return np.sort(np.array([r[0] for r in best.select("feature").collect()], np.int64))  # at most MAX_FEATURES numbers
+
+
+def _in_columns(labelled: DataFrame, columns: np.ndarray, others: dict, swaps_per_doc: int) -> DataFrame:
+    """Rows label, bits (a bit for each column), lost and won (column numbers for each swap, ended by -1)."""
+    shared = labelled.sparkSession.sparkContext.broadcast((columns, others))
+
+    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns, others = shared.value
+        number = {f: i for i, f in enumerate(columns.tolist())}
+        of = lambda feats: sorted(number[f] for f in feats if f in number)
         for batch in batches:
             out = ([], [], [])
             for text in batch.column(1).to_pylist():
-                words = set(_WORD.findall((text or "").lower()))
-                own, lost, won = features(words), [], []
-                for sentence in re.split(r"[.!?\n]+", (text or "").lower()):
-                    said = set(_WORD.findall(sentence))
-                    for other in swapped(said):
-                        now = features((words - said) | other)
-                        lost.append(sorted(own - now))
-                        won.append(sorted(now - own))
-                out[0].append(sorted(own))
-                out[1].append(lost)
-                out[2].append(won)
-            many, lists = pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(out[0], many), pa.array(out[1], lists), pa.array(out[2], lists)],
-                names=["label", "feats", "lost", "won"])
-
-    return labelled.mapInArrow(map_features, "label int, feats array<long>, lost array<array<long>>, won array<array<long>>")
-
-
-def _columns(rows: list[list[int]], columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and column numbers of the features that are among the sorted columns."""
-    flat = np.fromiter((f for r in rows for f in r), np.int64)
-    of_row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    at = np.minimum(np.searchsorted(columns, flat), max(len(columns) - 1, 0))
-    known = columns[at] == flat if len(columns) else np.zeros(len(flat), bool)
-    return of_row[known], at[known]
-
-
-def fit_weights(feats: list[np.ndarray], labels: np.ndarray, lost: list[list[int]], won: list[list[int]], fairness: float = FAIRNESS,
-                l1: float = 2e-4, l2: float = 1e-4, steps: int = 300) -> tuple[np.ndarray, np.ndarray, float]:
-    """Features, their weights and the intercept, by accelerated proximal gradient steps."""
-    flat = np.concatenate(feats) if feats else np.empty(0, np.int64)
-    of_row = np.repeat(np.arange(len(feats)), [len(f) for f in feats])
-    columns, inverse = np.unique(flat, return_inverse=True)
-    docs, toxic = np.bincount(inverse), np.bincount(inverse, weights=labels[of_row])
+                bits = np.zeros(len(columns), bool)
+                bits[of(features(set(_WORD.findall((text or "").lower()))))] = True
+                lost, won = [], []
+                for gone, come in swaps(text or "", others, swaps_per_doc):
+                    lost += [*of(gone), -1]
+                    won += [*of(come), -1]
+                for column, value in zip(out, (np.packbits(bits), np.array(lost, "<i4"), np.array(won, "<i4"))):
+                    column.append(value.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.binary()) for c in out)], names=["label", "bits", "lost", "won"])
+
+    return labelled.mapInArrow(mapped, "label int, bits binary, lost binary, won binary")
+
+
+def _swap_cells(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Swap and column numbers."""
+    flat = np.frombuffer(raw, "<i4").astype(np.int64)
+    swap, here = np.cumsum(flat < 0), flat >= 0
+    return swap[here], flat[here]
+
+
+def fit_weights(rows: np.ndarray, cols: np.ndarray, k: int, labels: np.ndarray, lost: tuple, won: tuple, m: int, fairness: float = FAIRNESS,
+                l1: float = 2e-4, l2: float = 1e-4, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Weights of k columns and the intercept, by accelerated proximal gradient steps.
+
+    rows and cols say which documents have which features; lost and won, which of m swaps takes away and brings which.
+    """
     share = labels.mean()
-    z = np.abs(toxic - docs * share) / np.sqrt(docs * share * (1 - share) + 1e-9)
-    usable = np.flatnonzero(docs >= MIN_DOCS)
-    kept = np.sort(usable[np.argsort(-z[usable], kind="stable")[:MAX_FEATURES]])
-    number = np.full(len(columns), -1)
-    number[kept] = np.arange(len(kept))
-    chosen = number[inverse] >= 0
-    rows, cols, columns = of_row[chosen], number[inverse][chosen], columns[kept]
-    lost_rows, lost_cols = _columns(lost, columns)
-    won_rows, won_cols = _columns(won, columns)
-    n, k, m = len(feats), len(columns), len(lost)
+    (lost_rows, lost_cols), (won_rows, won_cols) = lost, won
+    n = len(labels)
 
     def times(rows, cols, w, size):
         return np.bincount(rows, weights=w[cols], minlength=size)
@@ -179,32 +209,37 @@ def fit_weights(feats: list[np.ndarray], labels: np.ndarray, lost: list[list[int
         t_next = (1 + math.sqrt(1 + 4 * t * t)) / 2
         ahead, bias_ahead = moved + (t - 1) / t_next * (moved - w), bias_moved + (t - 1) / t_next * (bias_moved - bias)
         w, bias, t = moved, bias_moved, t_next
-    used = w != 0
-    return columns[used], w[used], bias
+    return w, bias
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-        per_class: int = PER_CLASS, fairness: float = FAIRNESS) -> ToxicityModel:
-    """From the labelled documents given; the caller leaves out those that it holds back."""
+        per_class: int = PER_CLASS, fairness: float = FAIRNESS, identity_terms=IDENTITY_TERMS, swaps_per_doc: int = SWAPS_PER_DOC) -> ToxicityModel:
+    """From the labelled documents given; the caller leaves out those that it holds back.
+
+    identity_terms: groups of words that may stand for one another, in lower case.
+    """
     marked = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     total, positive = marked.agg(F.count("*"), F.sum("label")).first()
-    share = positive / total if total else 0.5
-    sample = None
-    for value in (0, 1):
-        some = marked.where(F.col("label") == value).orderBy(F.xxhash64("id"), "id").limit(per_class)
-        sample = some if sample is None else sample.unionByName(some)
-    # At most 2 * per_class rows of two numbers each.
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body")).join(F.broadcast(sample), "id").select("label", "body")
-    rows = [(r[0], np.asarray(r[1], np.int64), r[2], r[3]) for r in _featured(texts).toLocalIterator()]
-    y = np.array([r[0] for r in rows], np.float64)
-    if not rows or y.min() == y.max():
-        share = min(max(share, 1e-6), 1 - 1e-6)
+    share = min(max(positive / total if total else 0.5, 1e-6), 1 - 1e-6)
+    sample = smallest_hashes(marked, "id", per_class, "label", {1: positive or 0, 0: total - (positive or 0)})
+    # At most 2 * per_class rows of two numbers each are sent to the tasks.
+    texts = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body")).join(F.broadcast(sample), "id").select("label", "body"), "toxicity-sample")
+    n, toxic = texts.agg(F.count("*"), F.sum("label")).first()
+    if not n or toxic in (0, n):
         return ToxicityModel({}, math.log(share / (1 - share)))
-    lost, won = [x for r in rows for x in r[2]], [x for r in rows for x in r[3]]
-    found, weights, bias = fit_weights([r[1] for r in rows], y, lost, won, fairness)
-    share = min(max(share, 1e-6), 1 - 1e-6)
+    columns = chosen_features(_features(texts), (n, toxic))
+    found = _in_columns(texts, columns, others_of(identity_terms), swaps_per_doc).toArrow()
+    y = found.column("label").to_numpy().astype(np.float64)
+    bits = np.frombuffer(b"".join(found.column("bits").to_pylist()), np.uint8).reshape(n, -1)
+    cells = [np.flatnonzero(np.unpackbits(row, count=len(columns))) for row in bits]
+    rows, cols = np.repeat(np.arange(n), [len(c) for c in cells]), np.concatenate(cells)
+    lost, won = (_swap_cells(b"".join(found.column(name).to_pylist())) for name in ("lost", "won"))
+    m = sum(raw.count(b"\xff\xff\xff\xff") for raw in found.column("lost").to_pylist())
+    del bits, cells, found
+    weights, bias = fit_weights(rows, cols, len(columns), y, lost, won, m, fairness)
     bias += math.log(share / (1 - share)) - math.log(y.mean() / (1 - y.mean()))  # the sample's share is not the corpus's
-    return ToxicityModel(dict(zip(found.tolist(), weights.tolist())), float(bias))
+    used = weights != 0
+    return ToxicityModel(dict(zip(columns[used].tolist(), weights[used].tolist())), float(bias))
 
 
 def scored(docs: DataFrame, model: ToxicityModel, score_col: str, text_col: str = "text") -> DataFrame:
