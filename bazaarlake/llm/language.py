@@ -18,12 +18,12 @@ equal ids or repeated whole get the same answer; an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +35,8 @@ PER_LANG = 600
 EPOCHS = 24
 BATCH = 64
 WINDOWS_AT_ONCE = 32
-_LETTER = re.compile(r"[^\W\d_]")
+_HASHES = 1 << 40
+_LETTER = regex.compile(r"\p{L}")
 
 
 def windows_of(raw: bytes, width: int = WINDOW_BYTES) -> np.ndarray:
@@ -136,9 +137,14 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col:
     windows = docs.where(F.col(lang_col).isNotNull() & body.rlike(r"\p{L}")).select(
         F.col(lang_col).alias("lang"), picked.alias("picked"),
         F.lower(F.substring(body, (F.pmod(picked, room) + 1).cast("int"), F.lit(WINDOW_BYTES))).alias("body"))
-    # Row numbers up to a limit are cut in every task before the shuffle, so a frequent language stays small.
-    order = Window.partitionBy("lang").orderBy("picked", "body")
-    rows = windows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_lang).select("lang", "body").collect()
+    sizes = {r[0]: r[1] for r in windows.groupBy("lang").agg(F.count("*")).collect()}  # a row per language
+    # Of a frequent language only a share, by hash, enters the window, so its task stays small.
+    share = F.lit(0)
+    for lang, size in sizes.items():
+        share = F.when(F.col("lang") == lang, F.lit(min(_HASHES, 2 * per_lang * _HASHES // size))).otherwise(share)
+    some = windows.where(F.pmod(F.col("picked"), F.lit(_HASHES)) < share) if sizes else windows
+    order = Window.partitionBy("lang").orderBy(F.pmod(F.col("picked"), F.lit(_HASHES)), "body")
+    rows = some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_lang).select("lang", "body").collect()
     if not rows:
         return None
     rows.sort()
