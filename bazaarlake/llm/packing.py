@@ -48,7 +48,6 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         self.separator = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
         self.chunks = ChunkEncodings(self._encode)
 
