@@ -7,11 +7,11 @@ or three positions whose pair changed, a path of logarithmic length each.  Piece
 a time: the trees of equally wide pieces are the rows of one array, and each step advances every
 piece that still has a pair.
 
-A chunk that occurs again in the same Python worker is looked up; the cache has a fixed size.
+A piece that occurs again in the same Python worker is looked up; the cache has a fixed size.
 
-Defined cases: a null text is an empty one, it has no ids; very long pieces get a tree of their own
-width; rows with equal ids or repeated whole are encoded alike, one row out for each row in; an
-empty table gives no rows.
+Defined cases: a null text is an empty one, it has no ids; very long texts are encoded whole, very long pieces
+get a tree of their own width; rows with equal ids or repeated whole are encoded alike, one row out for each row
+in; an empty table gives no rows.  Columns besides id and text are not looked at.
 """
 
 from __future__ import annotations
@@ -28,13 +28,19 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.chunks import ChunkEncodings
+from bazaarlake.llm.terms import slices
 
-DOCS_AT_ONCE = 256
+#: Texts encoded together: the more, the fewer pieces are new to a batch.
+DOCS_AT_ONCE, BYTES_AT_ONCE = 1024, 4 << 20
 #: Cells of one array of trees; wider batches are cut.
 CELLS_AT_ONCE = 1 << 19
 _NONE = np.int64(1) << 62
-_SIDE_BY_SIDE = re.compile(r"\s\s")
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+#: White space at an end of a text or side by side, for Arrow's expressions.
+_SPACE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+_ODD_SPACE = f"{_SPACE}{_SPACE}|^{_SPACE}|{_SPACE}$"
+#: Pieces whose ids a worker remembers, and the longest of them; when full it starts anew.
+PIECES_KNOWN, LONGEST_KNOWN = 300_000, 40
 
 
 class ByteBpe:
@@ -42,7 +48,11 @@ class ByteBpe:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, regex.compile(pattern)
-        self.bytes_of = {i: token for token, i in ranks.items()}
+        by_id = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, i in ranks.items():
+            by_id[i] = token
+        self.tokens = pa.array(by_id, pa.large_binary())
+        self.known: dict[str, bytes] = {}
         self.first = np.array([ranks.get(bytes([b]), -1) for b in range(256)], dtype=np.int64)
         # Pairs of tokens that form a token: key left * 2^32 + right, value the formed id, which is its rank.
         keys, formed = [], []
@@ -55,7 +65,6 @@ class ByteBpe:
         order = np.argsort(np.array(keys, dtype=np.int64))
         self.keys = np.append(np.array(keys, dtype=np.int64)[order], np.iinfo(np.int64).max)
         self.formed = np.append(np.array(formed, dtype=np.int64)[order], -1)
-        self.chunks = ChunkEncodings(self._encode_spaced, most=300_000)
 
     def pair_rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = (left << 32) + right
@@ -135,32 +144,85 @@ class ByteBpe:
                     out[i] = ids.astype("<u4").tobytes()
         return out
 
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces, known ones from the cache."""
+        if len(self.known) > PIECES_KNOWN:
+            self.known.clear()
+        found = list(map(self.known.get, pieces))
+        missing = [i for i, x in enumerate(found) if x is None]
+        for i, ids in zip(missing, self.encode_pieces([pieces[i] for i in missing])):
+            found[i] = ids
+            if len(pieces[i]) <= LONGEST_KNOWN:
+                self.known[pieces[i]] = ids
+        return found
+
     def _encode_texts(self, texts: list[str]) -> list[bytes]:
         split = [self.pattern.findall(t) for t in texts]
         distinct = list({p for pieces in split for p in pieces})
-        ids = dict(zip(distinct, self.encode_pieces(distinct)))
+        ids = dict(zip(distinct, self._ids_of(distinct)))
         return [b"".join(map(ids.__getitem__, pieces)) for pieces in split]
 
-    def _encode_spaced(self, chunks: list[str]) -> list[bytes]:
-        return self._encode_texts([" " + c for c in chunks])
+    def _encode_spaced(self, chunks: list[str]) -> pa.Array:
+        """Ids of each chunk with a space before it; the pattern runs once over all chunks side by side.
+
+        No chunk is empty, begins or ends with white space.
+        """
+        pieces = pa.array(self.pattern.findall(" " + " ".join(chunks)) if chunks else [], pa.large_string()).dictionary_encode()
+        codes = pa.array(self._ids_of(pieces.dictionary.to_pylist()), pa.large_binary()).take(pieces.indices)
+        ends = np.concatenate([[0], np.cumsum(pc.utf8_length(pieces.dictionary).take(pieces.indices).to_numpy())])
+        starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1)])
+        at = np.searchsorted(ends, starts)
+        if not (ends[np.minimum(at, len(ends) - 1)] == starts).all():  # the pattern does not start anew at every space
+            return pa.array(self._encode_texts([" " + c for c in chunks]), pa.large_binary())
+        cuts = _ends(codes)[at]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(chunks), [None, pa.py_buffer(cuts.tobytes()), codes.buffers()[2]])
+
+    def _encode_plain(self, texts: pa.Array) -> list[bytes]:
+        """Of texts in which every space stands between two characters that are not white space."""
+        lists = pc.split_pattern(texts, " ")
+        ends = lists.offsets.to_numpy()
+        firsts = self._encode_texts(lists.values.take(pa.array(ends[:-1])).to_pylist())  # the only chunks without a space before them
+        flat = pc.list_slice(lists, 1).flatten().dictionary_encode()
+        codes = self._encode_spaced(flat.dictionary.to_pylist()).take(flat.indices)
+        at = _ends(codes)[ends - ends[0] - np.arange(len(ends))].tolist()
+        data = memoryview(codes.buffers()[2] or b"")
+        return [first + data[a:b] for first, a, b in zip(firsts, at, at[1:])]
+
+    def _encode_spaced_out(self, texts: list[str]) -> list[bytes]:
+        """Of any texts: cut at the single spaces between other characters; what is between them is remembered whole."""
+        parts = [_BETWEEN.split(t) for t in texts]
+        parts = [[first, *(" " + c for c in rest)] for first, *rest in parts]
+        distinct = list(dict.fromkeys(c for chunks in parts for c in chunks))
+        ids = dict(zip(distinct, self._encode_texts(distinct)))
+        return [b"".join(map(ids.__getitem__, chunks)) for chunks in parts]
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids of each text.
 
-        A space between two characters that are not white space always starts a match of the pattern,
-        so such texts are the chunks between spaces; texts with white space side by side go whole.
+        A space between two characters that are not white space always starts a match of the pattern, so a text is cut
+        there into chunks; other white space stays within a chunk.
         """
         texts = pc.fill_null(texts, "")
-        side_by_side = [bool(_SIDE_BY_SIDE.search(t)) for t in texts.to_pylist()]
-        lists = pc.split_pattern(pc.if_else(pa.array(side_by_side), "", texts), " ")
-        offsets = lists.offsets.to_numpy()
-        firsts = lists.values.take(pa.array(offsets[:-1])).to_pylist()  # the only chunk without a space before it
-        firsts = self._encode_texts([t if whole else f for t, f, whole in zip(texts.to_pylist(), firsts, side_by_side)])
-        rest = pc.list_slice(lists, 1)
-        return [a + b for a, b in zip(firsts, self.chunks.of_lists(rest))]
+        odd = pc.match_substring_regex(texts, _ODD_SPACE)
+        plain = iter(self._encode_plain(texts.filter(pc.invert(odd))))
+        others = iter(self._encode_spaced_out(texts.filter(odd).to_pylist()))
+        return [next(others if is_odd else plain) for is_odd in odd.to_pylist()]
+
+    def decode_many(self, ids: list[bytes]) -> list[bytes]:
+        """The bytes that each list of ids stands for."""
+        flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+        found = self.tokens.take(pa.array(flat))
+        at = _ends(found)[np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)])].tolist()
+        data = memoryview(found.buffers()[2] or b"")
+        return [bytes(data[a:b]) for a, b in zip(at, at[1:])]
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return self.decode_many([ids])[0]
+
+
+def _ends(codes: pa.Array) -> np.ndarray:
+    """Where each item of a large binary array begins in its data, and where the last ends."""
+    return np.frombuffer(codes.buffers()[1], np.int64)[codes.offset:codes.offset + len(codes) + 1] if len(codes) else np.zeros(1, np.int64)
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -180,31 +242,42 @@ def _codec(rank_file: bytes, pattern: str) -> ByteBpe:
     return _codecs[key]
 
 
-def encode_documents(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
-    """Columns id_col, ids (binary: little-endian unsigned 32-bit)."""
+def _coded(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str, text_col: str, back: bool) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(rank_file)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared.value, pattern)
-        for batch in batches:
-            for first in range(0, batch.num_rows, DOCS_AT_ONCE):
-                rows = batch.slice(first, DOCS_AT_ONCE)
-                ids = codec.encode(rows.column(1))
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(ids, pa.binary())], names=["id", "ids"])
+        for rows in slices(batches, 1, BYTES_AT_ONCE, DOCS_AT_ONCE):
+            ids = codec.encode(rows.column(1))
+            columns = [rows.column(0), pa.array(ids, pa.binary())]
+            if back:
+                columns.append(pa.array(codec.decode_many(ids), pa.binary()))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "ids", "decoded"][:len(columns)])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body")).mapInArrow(
-        encode, f"id {kind}, ids binary").withColumnRenamed("id", id_col)
+        encode, f"id {kind}, ids binary" + (", decoded binary" if back else "")).withColumnRenamed("id", id_col)
+
+
+def encode_documents(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """Columns id_col, ids (binary: little-endian unsigned 32-bit)."""
+    return _coded(docs, rank_file, pattern, id_col, text_col, back=False)
+
+
+def round_trip_documents(docs: DataFrame, rank_file: bytes, pattern: str, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """As `encode_documents`, and decoded: the bytes that the ids stand for, in the same pass."""
+    return _coded(docs, rank_file, pattern, id_col, text_col, back=True)
 
 
 def decode_documents(encoded: DataFrame, rank_file: bytes, pattern: str, ids_col: str = "ids",
                      bytes_col: str = "decoded") -> DataFrame:
-    """The frame with the bytes that the ids stand for."""
+    """The frame with the bytes that the ids stand for; null ids stand for null."""
     shared = encoded.sparkSession.sparkContext.broadcast(rank_file)
 
     def decode(ids):
         codec = _codec(shared.value, pattern)
-        return pa.array([None if x is None else codec.decode(x) for x in ids.to_pylist()], pa.binary())
+        return pa.array(codec.decode_many(ids.fill_null(b"").to_pylist()), pa.binary(), mask=ids.is_null().to_numpy(zero_copy_only=False))
 
     return encoded.withColumn(bytes_col, F.arrow_udf(decode, "binary")(F.col(ids_col)))

@@ -59,8 +59,7 @@ def op5_contiguous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = vocabulary(RANK_FILE), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode_documents(table(spark, sf_dir, "documents"), ranks, pattern)
-    return byte_bpe.decode_documents(encoded, ranks, pattern).select(
+    return byte_bpe.round_trip_documents(table(spark, sf_dir, "documents"), ranks, pattern).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
