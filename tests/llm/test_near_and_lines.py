@@ -216,8 +216,8 @@ def exact_neighbours(ids, vectors, asks, k):
 
 
 def test_forest_reaches_the_recall_and_scores_exactly(spark):
-    rows = QUERIES["op9_hash_prefix_forest"](spark, "/root/testdata/check_s").toPandas()
-    d = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").toPandas()
+    rows = QUERIES["op9_hash_prefix_forest"](spark, "/root/testdata/sf0.1").toPandas()
+    d = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
     ids, vectors = d.vec_id.to_numpy(), np.stack(d.embedding).astype(np.float64)
     place = {v: i for i, v in enumerate(ids)}
     hits = total = 0

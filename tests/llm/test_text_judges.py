@@ -149,6 +149,31 @@ def test_swaps_take_the_weight_off_identity_terms(spark):
     assert fair("the muslims came scumbag") > 0.5 > fair("the muslims came garden")
 
 
+def test_identity_terms_and_swaps_are_parameters(spark):
+    others = toxicity.others_of((("reds", "blues", "greens"),))
+    text = "Reds win. The reds and blues. Nothing here."
+    found = list(toxicity.swaps(text, others, 100))
+    assert len(found) == 2 + 2 + 2 and len(list(toxicity.swaps(text, others, 3))) == 3
+    own = toxicity.features(set(text.lower().replace(".", "").split()))
+    for lost, won in found:
+        assert lost <= own and not (won & own)
+    r = random.Random(8)
+    docs = [(i, f"{'reds' if (i % 2) == (r.random() < 0.9) else 'blues'} came {'scumbag' if i % 2 and r.random() < 0.8 else 'garden'} f{r.randint(0, 99)}") for i in range(400)]
+    df, labels = spark.createDataFrame(docs, "doc_id long, text string"), labels_of(spark, [(i, 1, i % 2) for i in range(400)])
+    gap = lambda model: abs(model.scorer()("reds came") - model.scorer()("blues came"))
+    assert gap(toxicity.fit(df, labels, identity_terms=(("reds", "blues"),))) < 0.05 < 0.2 < gap(toxicity.fit(df, labels))
+
+
+def test_the_sample_is_the_smallest_hashes(spark):
+    from bazaarlake.llm.common import smallest_hashes
+
+    df = spark.range(5000).selectExpr("id", "CAST(id % 10 = 0 AS INT) AS label")
+    for wanted in (50, 400, 600):
+        got = smallest_hashes(df, "id", wanted, "label", {1: 500, 0: 4500}).groupBy("label").count().collect()
+        assert dict(map(tuple, got)) == {1: min(wanted, 500), 0: wanted}
+    assert smallest_hashes(df.limit(0), "id", 5, "label", {1: 0, 0: 0}).count() == 0
+
+
 def test_toxicity_of_odd_rows(spark, edge, none):
     model = toxicity.fit(edge, labels_of(spark, [(i, 1, i % 2) for i in range(8)] + [(8, None, None), (None, 1, 1), (999, 0, 1)]))
     rows = toxicity.scored(edge, model, "found").collect()
@@ -178,6 +203,14 @@ def test_paired_tables_are_the_convolution():
     assert np.allclose(net.probabilities(windows, net.paired()), plain, atol=1e-4)
 
 
+def test_texts_without_a_letter_have_no_language(spark):
+    texts = ["² ½ ³", "12 34", "_ __", "$$$ !!!", "٣", "ª", "x"]
+    df = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    found = {r["text"]: r["found"] for r in language.identified(df, language.fit(df), "found", "chance").collect()}
+    assert found == {t: "en" if t in ("ª", "x") else "und" for t in texts}
+    assert language.fit(df.where("text not in ('ª', 'x')")) is None
+
+
 def test_language_of_odd_rows(spark, edge, none):
     network = language.fit(edge)
     rows = {r["text"]: r for r in language.identified(edge, network, "found", "chance").collect()}

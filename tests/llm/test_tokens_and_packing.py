@@ -37,6 +37,20 @@ def test_merges_are_those_of_the_library(reference):
         assert codec.decode(ids) == text.encode()
 
 
+def test_texts_with_blank_lines_and_odd_spaces(reference):
+    codec = byte_bpe.ByteBpe(byte_bpe.read_ranks(vocabulary(RANK_FILE)), public_tokenizers.PATTERN)
+    r = random.Random(9)
+    spaces = [" ", " ", " ", "\n", "\n\n", "  ", " \n", "\t ", "\u00a0", "\u2003 ", "\x85", "\x1c ", "\u3000"]
+    words = ["a", "it's", "12", "Éa,", "中文", "...", "'ll", "x😀", "don't!"]
+    texts = ["".join(r.choice(words) + r.choice(spaces) for _ in range(r.randint(0, 25))) + r.choice(["", "end", " "]) for _ in range(800)]
+    codes = codec.encode(pa.array([*texts, None]))
+    assert codes[-1] == b""
+    for text, ids, back in zip(texts, codes, codec.decode_many(codes)):
+        assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text), repr(text)
+        assert back == text.encode()
+    assert codec.encode(pa.array([], pa.string())) == [] and codec.decode_many([]) == []
+
+
 def test_segment_tree_breaks_ties_to_the_left():
     ranks = {bytes([b]): b for b in range(256)} | {b"aa": 256, b"aaa": 257}
     codec = byte_bpe.ByteBpe(ranks, r".+")
@@ -55,8 +69,7 @@ def test_documents_encode_and_decode(spark, edge, none, reference):
 
 def test_word_ids_are_those_of_the_library():
     tokenizer = Tokenizer.from_file(public_tokenizers.path(WORD_TOKENIZER))
-    tokenizer.encode_special_tokens = True
-    texts = strange_texts(600, 2) + ["<|endoftext|> x"]
+    texts = strange_texts(600, 2) + ["<|endoftext|> x", "a <|endoftext|> b", "a<|endoftext|>b <|startoftext|>\n<|endoftext|><|endoftext|> ~", "<|endoftext", "<| endoftext |>"]
     for text, ids in zip(texts, packing.WordTokenizer(vocabulary(WORD_TOKENIZER).decode()).ids(pa.array(texts))):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
