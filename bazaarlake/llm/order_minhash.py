@@ -13,11 +13,12 @@ Jaccard similarity of the shingles for texts whose common parts are in the same
 
 Exact copies are one node.  Under each key, members are first compared with the smallest node.  Where
 they are then in several classes, a member of each class is compared with a few leaders; members and
-leaders are others at each pass, as long as that finds links.  At the end every pair of members of a key
-that is still in two classes is tested, whatever the size of the key, so a pair is lost only if it shares
-no key.  A group of n near copies costs about n comparisons; n texts that share keys but are no near copies
-cost n^2, in blocks: the pairs are told apart by their numbers of shingles and by parity bit maps, which
-lose none, and those left are aligned with the shingles of many texts at hand.
+leaders are others at each pass, as long as that finds links.  At the end the members of all keys that still
+hold several classes are joined on their rarest shingles, which meets every similar pair, so a pair is lost only if it
+shares no key.  A group of n near copies costs about n comparisons; n texts that share passages but are no near
+copies have rarer shingles than those of the passages, and do not meet.  Pairs that meet are told apart by
+their numbers of shingles and by parity bit maps, which lose none, and those left are aligned with the
+shingles of many texts at hand.
 Classes are the connected components of the links, found by min-label steps over written tables.
 
 At similarity 0.8 a pair shares a key with probability 1 - (1 - 0.8^6)^32 = 0.99994.
@@ -30,6 +31,7 @@ taken whole; an empty table gives no rows; other columns stay, whatever their na
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import free_name, written
+from bazaarlake.llm.common import bit_filter, free_name, maybe_in, written
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -49,8 +51,8 @@ MINIMA = 3
 LEADERS = 4
 #: Passes with leaders go on while one comparison in so many finds a link.
 LEADERS_PAY = 10
-#: Members of a key that meet those of another block of it in one group of the join of all pairs.
-BLOCK_MEMBERS = 1024
+#: Slots of the count of shingles: 4 MB, sent to all tasks.
+COUNT_SLOTS = 1 << 20
 #: Pairs aligned in one group, about.
 PAIRS_AT_ONCE = 4000
 PARITY_BITS = 256
@@ -272,27 +274,76 @@ def _joined_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
 
-def _all_pairs(current: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Every pair of members of one bucket that are in different classes and may be similar.
+def _rarity(shingled: DataFrame) -> np.ndarray:
+    """How often the shingles of each of COUNT_SLOTS slots occur: a table of fixed size, whatever the texts."""
 
-    The members outside the bucket's largest class meet all members.  Both are dealt to blocks of the bucket, and a
-    group of the join is a block of either, so no bucket makes a large group.
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots, n = np.unique(_slots(_flat(batch.column(2))[0]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(n)], names=["slot", "n"])
+
+    found = shingled.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(COUNT_SLOTS, np.int64)
+    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32)
+
+
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles % np.uint64(COUNT_SLOTS)).astype(np.int64)
+
+
+def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of a column of lists, and where each list begins and the last ends."""
+    ends = lists.offsets.to_numpy()
+    return lists.values.to_numpy()[ends[0]:ends[-1]].view(np.uint64), ends - ends[0]
+
+
+def _rare_pairs(current: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Every pair of the members that is still in two classes, shares one of its rarest shingles and may be similar.
+
+    In one order of all shingles, two texts of that similarity have a shingle in common among the first
+    n - ceil(similarity * n) + 1 of each.  The order is from rare to frequent, so passages that many texts share come
+    last and bring no pairs together.  Classes meet before members do: a shingle of one class alone makes no pair.
     """
-    sizes = current.groupBy("bucket", "label").agg(F.count("*").alias("n")).groupBy("bucket").agg(
-        F.sum("n").alias("all"), F.max("n").alias("most"), F.max_by("label", F.struct("n", "label")).alias("main"))
-    blocks = lambda n: F.ceil(n / F.lit(BLOCK_MEMBERS)).cast("int")
-    dealt = current.select("bucket", "node", "label").join(nodes.select("node", "shingles", "bits"), "node").join(sizes, "bucket").select(
-        "bucket", "node", "label", "shingles", "bits", (F.col("label") == F.col("main")).alias("in_main"),
-        blocks(F.col("all") - F.col("most")).alias("lefts"), blocks(F.col("all")).alias("rights"))
-    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = dealt.where(~F.col("in_main")).withColumn("left", block("lefts")).withColumn("right", every("rights")).drop("lefts", "rights", "in_main")
-    right = dealt.withColumn("right", block("rights")).withColumn("left", every("lefts")).select(
-        "bucket", "left", "right", F.col("node").alias("other"), F.col("label").alias("other_label"),
-        F.col("shingles").alias("other_shingles"), F.col("bits").alias("other_bits"), "in_main")
-    apart = (F.col("label") != F.col("other_label")) & (F.col("in_main") | (F.col("node") < F.col("other")))
+    members = current.select("node", "label").distinct()
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, DOCS_AT_ONCE):
+                rows = batch.slice(first, DOCS_AT_ONCE)
+                own = [labelled_shingles(w).view(np.int64) for w in word_hashes(rows.column(2))]
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(own, pa.list_(pa.int64()))], names=["node", "label", "own"])
+
+    shingled = written(texts.join(members, "node").select("node", "label", "body").mapInArrow(
+        shingle, "node long, label long, own array<long>"), "near-shingles")
+    shared = shingled.sparkSession.sparkContext.broadcast(_rarity(shingled))
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            flat, ends = _flat(batch.column(2))
+            kept, of, bits = [], [], []
+            for i, (a, b) in enumerate(zip(ends, ends[1:])):
+                own, often = flat[a:b], counts[_slots(flat[a:b])]
+                few = len(own) - math.ceil(similarity * len(own) - 1e-6) + 1
+                first = np.lexsort((own, often))[:few]
+                first = first[often[first] > 1]  # one that occurs once is shared with none
+                kept.append(own[first])
+                of.append(np.full(len(first), i))
+                bits.append(parities(own))
+            of = pa.array(np.concatenate(of) if of else np.empty(0, np.int64))
+            sizes = pa.array(np.diff(ends).astype(np.int32))
+            columns = [batch.column(0), batch.column(1), sizes, pa.array(bits, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(kept).view(np.int64) if kept else np.empty(0, np.int64)), *(c.take(of) for c in columns)],
+                names=["shingle", "node", "label", "shingles", "bits"])
+
+    rows = written(shingled.mapInArrow(rarest, "shingle long, node long, label long, shingles int, bits array<long>"), "near-rare")
+    classes = rows.select("shingle", "label").distinct()
+    meet = classes.join(classes.select("shingle", F.col("label").alias("other_label")), "shingle").where("label < other_label")
+    right = rows.select("shingle", F.col("label").alias("other_label"), F.col("node").alias("other"), F.col("shingles").alias("other_shingles"), F.col("bits").alias("other_bits"))
     may = may_align(F.col("shingles"), F.col("bits"), F.col("other_shingles"), F.col("other_bits"), similarity)
-    return left.join(right, ["bucket", "left", "right"]).where(apart & may).select(
+    return rows.join(meet, ["shingle", "label"]).join(right, ["shingle", "other_label"]).where(may).select(
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
 
@@ -322,9 +373,6 @@ def _verified_in_groups(pairs: DataFrame, texts: DataFrame, similarity: float) -
     return dealt.groupBy("left", "right").cogroup(wanted.join(held, "node").groupBy("of_left", "of_right")).applyInArrow(align, "a long, b long")
 
 
-BROADCAST_NODES = 500_000
-
-
 def near_links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Links a, b between nodes found similar, and labels node, label of the classes that they form."""
@@ -333,9 +381,8 @@ def near_links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_c
     members = written(members.join(shared, "bucket"), "near-members")
 
     wanted = written(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "t", "u"), "near-wanted")
-    if wanted.count() <= BROADCAST_NODES:
-        wanted = F.broadcast(wanted)
-    texts = written(_bodies(docs, id_col, text_col).select(*_text_key(), "body").join(wanted, ["t", "u"])
+    likely = maybe_in(_bodies(docs, id_col, text_col).select(*_text_key(), "body"), "t", bit_filter(wanted, "t"))
+    texts = written(likely.join(wanted, ["t", "u"])
                     .groupBy("node").agg(F.first("body").alias("body")), "near-texts")
 
     found: list[DataFrame] = []
@@ -351,7 +398,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, id_col: str = "doc_id", text_c
             current = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
             mixed = current.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
             current = written(current.join(mixed.select("bucket"), "bucket"), "near-mixed")
-            pairs = _all_pairs(current, nodes, similarity) if last else _joined_pairs(
+            pairs = _rare_pairs(current, texts, similarity) if last else _joined_pairs(
                 _leaders(current, 1, turn, "label"), _leaders(current, LEADERS, turn))
         pairs = pairs.distinct()
         for earlier in tested:
