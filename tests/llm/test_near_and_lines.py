@@ -262,3 +262,38 @@ def test_forest_of_odd_rows(spark):
     few = neighbours.nearest(df.where("vec_id < 3"), F.lit(True), k=20).collect()
     assert len(few) == 6
     assert neighbours.nearest(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_a_family_that_shares_a_passage_makes_few_pairs(spark, monkeypatch):
+    """3,000 texts of two thirds of one passage each; a few are copies of one another beyond it."""
+    r = random.Random(17)
+    passage = [f"p{i}" for i in range(120)]
+    texts = []
+    for i in range(3000):
+        if i % 100 == 1:
+            texts.append(" ".join([*texts[-1].split()[:-1], "end"]))
+        else:
+            texts.append(" ".join(passage + [f"w{r.randint(0, 10 ** 7)}" for _ in range(60)]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    real = order_minhash._rare_pairs
+
+    def counting(*args):
+        pairs = real(*args).distinct()
+        seen.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(order_minhash, "_rare_pairs", counting)
+    got = {x["doc_id"]: x["class_id"] for x in order_minhash.classed(df).collect()}
+    assert got == {i: i - 1 if i % 100 == 1 else i for i in range(3000)}
+    assert sum(seen) < 3000
+
+
+def test_bit_filter_loses_nothing(spark):
+    from bazaarlake.llm.common import bit_filter, maybe_in
+
+    df = spark.range(20_000).selectExpr("id", "xxhash64(id) AS h")
+    some = df.where("id % 50 = 0")
+    kept = maybe_in(df, "h", bit_filter(some, "h"))
+    assert some.join(kept, "id", "left_anti").count() == 0 and kept.count() < 600
+    assert kept.columns == df.columns and maybe_in(df, "h", bit_filter(some.limit(0), "h")).count() == 0
