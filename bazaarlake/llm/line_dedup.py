@@ -5,7 +5,8 @@ Near lines are found by a segment-partition edit join.  A line of length L is cu
 segments; two lines within so many edits share one of them unchanged.  Every distinct line enters an
 index with its own segments, keyed by (length, segment number, segment), and looks up, for each length
 from L - edits to L, the substrings that could be the segments of a line of that length (the
-multi-match-aware start positions).  A pair under a key goes on only if the counts of eight letters differ
+multi-match-aware start positions).  The lines that meet any other under a key are found first; only these are
+read again and joined, and a pair under a key goes on only if the counts of 24 letters differ
 by no more than the edits can change.  Found pairs are verified by a banded bit-parallel edit distance: for
 each number of errors a bit set of the diagonals within reach, moved one character at a time; before it, a
 cheap test that enough pieces of the one line occur near their place in the other.
@@ -19,8 +20,8 @@ is built-in Spark functions.  The number of pairs under one key is the number of
 share a third of their text at the same place and length; copies count once.
 
 Defined cases: a null text has no lines and stays null; a text of which every line goes becomes empty;
-null ids come first; rows repeated whole (equal id and text) are one document and come out alike; an
-empty table gives no rows; other columns stay, whatever their names.
+null ids come first; rows repeated whole (equal id and text) are one document and come out alike; very long texts
+and lines are compared whole; an empty table gives no rows; other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,15 +29,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.common import free_name, written
+from bazaarlake.llm.common import bit_filter, free_name, maybe_in, written
 
 EDITS = 2
 MIN_CHARS = 20
-#: Candidate lines up to which their hashes are sent to all tasks (12 bytes each); beyond, a shuffled join.
-BROADCAST_LINES = 500_000
 _ID = "decimal(38,0)"
-#: Letters whose counts are compared; any do, frequent ones tell most.
-LETTERS = "etaoinrs"
+#: Letters whose counts are compared; any do.
+LETTERS = "etaoinrshldcumfpgwybvkxj"
 #: Pieces of the test before the edit distance.
 PIECES = 8
 
@@ -71,21 +70,25 @@ def _segment(length: Column, number: Column, edits: int) -> tuple[Column, Column
 
 
 def letter_counts(line: Column) -> Column:
-    """Counts of the letters modulo 256, a byte each."""
-    counts = F.lit(0).cast("long")
-    for i, letter in enumerate(LETTERS):
-        count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
-        counts = counts.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(255)), 8 * i))
-    return counts
+    """Counts of the letters modulo 256: an array of numbers of eight bytes, a byte each."""
+    numbers = []
+    for first in range(0, len(LETTERS), 8):
+        counts = F.lit(0).cast("long")
+        for i, letter in enumerate(LETTERS[first:first + 8]):
+            count = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+            counts = counts.bitwiseOR(F.shiftleft(count.cast("long").bitwiseAND(F.lit(255)), 8 * i))
+        numbers.append(counts)
+    return F.array(*numbers)
 
 
 def count_distance(a: Column, b: Column) -> Column:
     """At most the number of letters that tell two lines apart: an edit changes it by two at most."""
     total = F.lit(0).cast("long")
-    for i in range(len(LETTERS)):
-        of = lambda x: F.shiftrightunsigned(x, 8 * i).bitwiseAND(F.lit(255))  # noqa: E731, B023
-        apart = F.abs(of(a) - of(b))
-        total = total + F.least(apart, F.lit(256) - apart)
+    for n in range(0, len(LETTERS), 8):
+        for i in range(len(LETTERS[n:n + 8])):
+            of = lambda x: F.shiftrightunsigned(x[n // 8], 8 * i).bitwiseAND(F.lit(255))  # noqa: E731, B023
+            apart = F.abs(of(a) - of(b))
+            total = total + F.least(apart, F.lit(256) - apart)
     return total
 
 
@@ -100,8 +103,9 @@ def pieces_near(a: Column, b: Column, edits: int) -> Column:
     return found >= PIECES - edits
 
 
-def segment_keys(line: Column, length: Column, edits: int) -> tuple[Column, Column]:
-    """Hashes of a line's own segments, and of the substrings that may be segments of lines as long or shorter (or null).
+def segment_keys(line: Column, length: Column, edits: int) -> tuple[list[int], Column]:
+    """Hashes of the substrings that may be segments of lines as long or shorter (or null), and which of them are
+    the line's own segments.
 
     One small expression over a constant list of places: written out for each place it makes a method too large for
     the JVM to compile.
@@ -113,15 +117,12 @@ def segment_keys(line: Column, length: Column, edits: int) -> tuple[Column, Colu
         found = F.xxhash64(other, x["number"], F.substring(line, at + 1, size))
         return F.when((at >= 0) & (at + size <= length), found)
 
-    def places(rows: list[tuple[int, int, int]]) -> Column:
-        return F.array(*(F.struct(F.lit(a).alias("shorter"), F.lit(b).alias("number"), F.lit(c).alias("shift")) for a, b, c in rows))
-
-    own = [(0, number, 0) for number in range(edits + 1)]
     sought = [
         (shorter, number, shift)
         for shorter in range(edits + 1) for number in range(edits + 1)
         for shift in range(max(-number, shorter - (edits - number)), min(number, shorter + (edits - number)) + 1)]
-    return F.transform(places(own), key), F.transform(places(sought), key)
+    places = F.array(*(F.struct(F.lit(a).alias("shorter"), F.lit(b).alias("number"), F.lit(c).alias("shift")) for a, b, c in sought))
+    return [sought.index((0, number, 0)) for number in range(edits + 1)], F.transform(places, key)
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
@@ -164,23 +165,29 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Pairs of different lines within so many edits: columns h_a, m_a, h_b, m_b, each pair once."""
-    own, sought = segment_keys(F.col("line"), F.col("length"), edits)
-    lines = _lines(docs, id_col, text_col, min_chars).withColumn("length", F.length("line")).select(
-        "h", "m", letter_counts(F.col("line")).alias("letters"), F.concat(own, sought).alias("keys"))
+    own, keys = segment_keys(F.col("line"), F.length("line"), edits)
+    lines = _lines(docs, id_col, text_col, min_chars).select("h", "m", keys.alias("keys"))
     # Both sides take the same columns, so that the lines are read and grouped once for the two.
-    distinct = lines.groupBy("h", "m").agg(F.first("letters").alias("letters"), F.first("keys").alias("keys"))
-    keys = lambda start, n: F.explode(F.slice("keys", start, n)).alias("segment")
-    index = distinct.select(keys(1, edits + 1), F.col("h").alias("h_a"), F.col("letters").alias("letters_a"))
-    probes = distinct.select(keys(edits + 2, 1 << 20), F.col("h").alias("h_b"), F.col("letters").alias("letters_b"))
+    distinct = lines.groupBy("h", "m").agg(F.first("keys").alias("keys"))
+    index = distinct.select(F.explode(F.array(*[F.col("keys")[at] for at in own])).alias("segment"), "h")
+    probes = distinct.select(F.explode("keys").alias("segment"), "h").where("segment is not null")
+    # First which rows meet any other line at all: as many rows at most as there are, whatever shares a segment.
+    met = lambda these, those: written(
+        these.alias("x").join(those.alias("y"), (F.col("x.segment") == F.col("y.segment")) & (F.col("x.h") != F.col("y.h")), "left_semi"), "line-met")
+    index, probes = met(index, probes), met(probes, index)
+
+    # Then those lines alone, with what tells most of them apart.
+    wanted = index.select("h").unionByName(probes.select("h")).distinct()
+    texts = written(maybe_in(_lines(docs, id_col, text_col, min_chars).select("h", "m", "line"), "h", bit_filter(wanted, "h"))
+                    .join(wanted, "h", "left_semi").groupBy("h", "m").agg(F.first("line").alias("line"))
+                    .withColumn("letters", letter_counts(F.col("line"))), "line-texts")
+    counts = texts.select("h", "letters")
+    left = index.join(counts, "h").select("segment", F.col("h").alias("h_a"), F.col("letters").alias("letters_a"))
+    right = probes.join(counts, "h").select("segment", F.col("h").alias("h_b"), F.col("letters").alias("letters_b"))
     close = count_distance(F.col("letters_a"), F.col("letters_b")) <= 2 * edits
-    met = index.join(probes.where("segment is not null"), "segment").where((F.col("h_a") != F.col("h_b")) & close)
-    pairs = written(met.select(F.least("h_a", "h_b").alias("h_a"), F.greatest("h_a", "h_b").alias("h_b")).distinct(), "line-pairs")
-
-    wanted = written(pairs.select(F.explode(F.array("h_a", "h_b")).alias("h")).distinct(), "line-hashes")
-    if wanted.count() <= BROADCAST_LINES:
-        wanted = F.broadcast(wanted)
-    texts = written(_lines(docs, id_col, text_col, min_chars).select("h", "m", "line").join(wanted, "h", "left_semi")
-                    .groupBy("h", "m").agg(F.first("line").alias("line")), "line-texts")
+    both = left.join(right, "segment").where((F.col("h_a") != F.col("h_b")) & close)
+    pairs = written(both.select(F.least("h_a", "h_b").alias("h_a"), F.greatest("h_a", "h_b").alias("h_b")).distinct(), "line-pairs")
+
     side = lambda s: texts.select(F.col("h").alias(f"h_{s}"), F.col("m").alias(f"m_{s}"), F.col("line").alias(f"line_{s}"))
     both = pairs.join(side("a"), "h_a").join(side("b"), "h_b")
     near = pieces_near(F.col("line_a"), F.col("line_b"), edits) & within_edits(F.col("line_a"), F.col("line_b"), edits)
