@@ -165,16 +165,16 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
 
 def near_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
     """Pairs of different lines within so many edits: columns h_a, m_a, h_b, m_b, each pair once."""
-    own, keys = segment_keys(F.col("line"), F.length("line"), edits)
-    lines = _lines(docs, id_col, text_col, min_chars).select("h", "m", keys.alias("keys"))
-    # Both sides take the same columns, so that the lines are read and grouped once for the two.
-    distinct = lines.groupBy("h", "m").agg(F.first("keys").alias("keys"))
+    own, keys = segment_keys(F.col("line"), F.col("length"), edits)
+    # The length is a column of its own: within the keys it would be counted for each of them.
+    lines = _lines(docs, id_col, text_col, min_chars).withColumn("length", F.length("line")).select("h", "m", keys.alias("keys"))
+    distinct = written(lines.groupBy("h", "m").agg(F.first("keys").alias("keys")), "line-keys")
     index = distinct.select(F.explode(F.array(*[F.col("keys")[at] for at in own])).alias("segment"), "h")
     probes = distinct.select(F.explode("keys").alias("segment"), "h").where("segment is not null")
-    # First which rows meet any other line at all: as many rows at most as there are, whatever shares a segment.
-    met = lambda these, those: written(
-        these.alias("x").join(those.alias("y"), (F.col("x.segment") == F.col("y.segment")) & (F.col("x.h") != F.col("y.h")), "left_semi"), "line-met")
-    index, probes = met(index, probes), met(probes, index)
+    # First which segments meet any other line at all: as many rows at most as there are, whatever shares a segment.
+    index = written(index.alias("x").join(probes.alias("y"), (F.col("x.segment") == F.col("y.segment")) & (F.col("x.h") != F.col("y.h")), "left_semi"), "line-index")
+    found = index.select("segment").distinct()
+    probes = written(maybe_in(probes, "segment", bit_filter(found, "segment")).join(found, "segment", "left_semi"), "line-probes")
 
     # Then those lines alone, with what tells most of them apart.
     wanted = index.select("h").unionByName(probes.select("h")).distinct()
