@@ -339,8 +339,10 @@ def _rare_pairs(current: DataFrame, texts: DataFrame, similarity: float) -> Data
                 names=["shingle", "node", "label", "shingles", "bits"])
 
     rows = written(shingled.mapInArrow(rarest, "shingle long, node long, label long, shingles int, bits array<long>"), "near-rare")
-    classes = rows.select("shingle", "label").distinct()
-    meet = classes.join(classes.select("shingle", F.col("label").alias("other_label")), "shingle").where("label < other_label")
+    # Of two classes the one with fewer rows under a shingle looks up the other.
+    classes = rows.groupBy("shingle", "label").agg(F.count("*").alias("n"))
+    meet = classes.join(classes.select("shingle", F.col("label").alias("other_label"), F.col("n").alias("other_n")), "shingle").where(
+        F.struct("n", "label") < F.struct("other_n", "other_label")).select("shingle", "label", "other_label")
     right = rows.select("shingle", F.col("label").alias("other_label"), F.col("node").alias("other"), F.col("shingles").alias("other_shingles"), F.col("bits").alias("other_bits"))
     may = may_align(F.col("shingles"), F.col("bits"), F.col("other_shingles"), F.col("other_bits"), similarity)
     return rows.join(meet, ["shingle", "label"]).join(right, ["shingle", "other_label"]).where(may).select(
