@@ -35,6 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from bazaarlake.llm import terms as packed
 from bazaarlake.llm.common import groups_for, written
@@ -227,11 +228,12 @@ def _searched_block(spark, docs: DataFrame, asked: list[tuple], item_kind: T.Dat
     n_docs, n_terms = _corpus(slices)
     weights = np.array([weight(n_docs, int(n)) for n in in_docs], np.int64)
     shared = spark.sparkContext.broadcast((weights, [{numbers[t]: r for t, r in terms.items()} for _, terms in asked], [i for i, _ in asked]))
+    item_arrow = to_arrow_type(item_kind)
     kinds = f"item {item_kind.simpleString()}, doc long, score long"
 
     def seek(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, wanted, item_ids = shared.value
-        item_ids = pa.array(item_ids)
+        item_ids = pa.array(item_ids, item_arrow)
         for batch in batches:
             for row in range(batch.num_rows):
                 row = batch.slice(row, 1).to_pylist()[0]

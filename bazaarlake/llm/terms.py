@@ -47,7 +47,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, most_bytes: int, most_r
             before = ends[first - 1] if first else 0
             last = int(np.searchsorted(ends, before + most_bytes - held_bytes, "right"))
             last = min(last, first + most_rows - held_rows, batch.num_rows)
-            if last == first and held:  # nothing more fits
+            if last <= first and held:  # nothing more fits
                 yield flushed()
                 held, held_bytes, held_rows = [], 0, 0
                 continue
