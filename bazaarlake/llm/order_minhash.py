@@ -302,8 +302,10 @@ def _rare_pairs(current: DataFrame, texts: DataFrame, similarity: float) -> Data
     """Every pair of the members that is still in two classes, shares one of its rarest shingles and may be similar.
 
     In one order of all shingles, two texts of that similarity have a shingle in common among the first
-    n - ceil(similarity * n) + 1 of each.  The order is from rare to frequent, so passages that many texts share come
-    last and bring no pairs together.  Classes meet before members do: a shingle of one class alone makes no pair.
+    n - ceil(2 * similarity / (1 + similarity) * n) + 1 of the shorter one and the first n - ceil(similarity * n) + 1 of the
+    longer one, and from their first common shingle on each has as many left as the two must share.  The order is from rare
+    to frequent, so passages that many texts share come last: they are among the first of a shorter text only if nearly
+    all of it is such passages.  Classes meet before members do: a shingle of one class alone makes no pair.
     """
     members = current.select("node", "label").distinct()
 
@@ -317,36 +319,48 @@ def _rare_pairs(current: DataFrame, texts: DataFrame, similarity: float) -> Data
     shingled = written(texts.join(members, "node").select("node", "label", "body").mapInArrow(
         shingle, "node long, label long, own array<long>"), "near-shingles")
     shared = shingled.sparkSession.sparkContext.broadcast(_rarity(shingled))
+    of_both = similarity / (1 + similarity)  # what two texts share, of the sum of their numbers of shingles
 
     def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         for batch in batches:
             flat, ends = _flat(batch.column(2))
-            kept, of, bits = [], [], []
+            kept, of, bits, left, short = [], [], [], [], []
             for i, (a, b) in enumerate(zip(ends, ends[1:])):
                 own, often = flat[a:b], counts[_slots(flat[a:b])]
-                few = len(own) - math.ceil(similarity * len(own) - 1e-6) + 1
-                first = np.lexsort((own, often))[:few]
-                first = first[often[first] > 1]  # one that occurs once is shared with none
-                kept.append(own[first])
-                of.append(np.full(len(first), i))
+                n = len(own)
+                first = np.lexsort((own, often))[:n - math.ceil(similarity * n - 1e-6) + 1]
+                rest = n - np.arange(len(first))  # the shingles from this one on
+                meets = often[first] > 1  # one that occurs once is shared with none
+                kept.append(own[first[meets]])
+                of.append(np.full(int(meets.sum()), i))
                 bits.append(parities(own))
-            of = pa.array(np.concatenate(of) if of else np.empty(0, np.int64))
+                left.append(rest[meets])
+                short.append(rest[meets] >= 2 * of_both * n - 1e-6)
+            join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
+            of = pa.array(join(of, np.int64))
             sizes = pa.array(np.diff(ends).astype(np.int32))
             columns = [batch.column(0), batch.column(1), sizes, pa.array(bits, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(kept).view(np.int64) if kept else np.empty(0, np.int64)), *(c.take(of) for c in columns)],
-                names=["shingle", "node", "label", "shingles", "bits"])
-
-    rows = written(shingled.mapInArrow(rarest, "shingle long, node long, label long, shingles int, bits array<long>"), "near-rare")
+                [pa.array(join(kept, np.uint64).view(np.int64)), *(c.take(of) for c in columns),
+                 pa.array(join(left, np.int64).astype(np.int32)), pa.array(join(short, bool))],
+                names=["shingle", "node", "label", "shingles", "bits", "rest", "short"])
+
+    rows = written(shingled.mapInArrow(
+        rarest, "shingle long, node long, label long, shingles int, bits array<long>, rest int, short boolean"), "near-rare")
+    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("label", "node", "shingles", "bits", "rest")]
+    shorter = rows.where("short").select("shingle", *side("a"))
+    longer = rows.select("shingle", *side("b"))
+    meet = shorter.groupBy("shingle", "label_a").agg(F.count("*").alias("n_a")).join(
+        longer.groupBy("shingle", "label_b").agg(F.count("*").alias("n_b")), "shingle").where("label_a != label_b")
+    may = (F.struct("shingles_a", "node_a") < F.struct("shingles_b", "node_b")) & (
+        F.least("rest_a", "rest_b") >= (F.col("shingles_a") + F.col("shingles_b")) * of_both - 1e-6) & may_align(
+        F.col("shingles_a"), F.col("bits_a"), F.col("shingles_b"), F.col("bits_b"), similarity)
     # Of two classes the one with fewer rows under a shingle looks up the other.
-    classes = rows.groupBy("shingle", "label").agg(F.count("*").alias("n"))
-    meet = classes.join(classes.select("shingle", F.col("label").alias("other_label"), F.col("n").alias("other_n")), "shingle").where(
-        F.struct("n", "label") < F.struct("other_n", "other_label")).select("shingle", "label", "other_label")
-    right = rows.select("shingle", F.col("label").alias("other_label"), F.col("node").alias("other"), F.col("shingles").alias("other_shingles"), F.col("bits").alias("other_bits"))
-    may = may_align(F.col("shingles"), F.col("bits"), F.col("other_shingles"), F.col("other_bits"), similarity)
-    return rows.join(meet, ["shingle", "label"]).join(right, ["shingle", "other_label"]).where(may).select(
-        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
+    few_a = shorter.join(meet.where("n_a <= n_b").drop("n_a", "n_b"), ["shingle", "label_a"]).join(longer, ["shingle", "label_b"])
+    few_b = longer.join(meet.where("n_a > n_b").drop("n_a", "n_b"), ["shingle", "label_b"]).join(shorter, ["shingle", "label_a"])
+    pairs = [d.where(may).select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b")) for d in (few_a, few_b)]
+    return pairs[0].unionByName(pairs[1])
 
 
 def _verified_in_groups(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
