@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bazaarlake.functions.scalars import as_day
 from bazaarlake.functions.typing import MALFORMED
 from bazaarlake.operators.joins import with_known_key
+from bazaarlake.operators.pruning import maybe_among
 
 REASONS = "reasons"
 IS_CLEAN = "is_clean"
@@ -38,8 +39,13 @@ def not_in_future(orders: DataFrame, as_of: dt.date) -> DataFrame:
     return orders.where(F.col("order_date") <= as_day(as_of))
 
 
-def with_kept_order(items: DataFrame, kept_orders: DataFrame) -> DataFrame:
-    """Items whose order is kept: a removed order takes its items along."""
+def with_kept_order(items: DataFrame, kept_orders: DataFrame, filter_bits: int | None = None) -> DataFrame:
+    """Items whose order is kept: a removed order takes its items along.
+
+    With ``filter_bits`` a filter of the kept orders, of that size, takes most other items out before the shuffle.
+    """
+    if filter_bits:
+        items = maybe_among(items, "order_id", kept_orders, filter_bits)
     return items.join(kept_orders.select("order_id"), "order_id", "left_semi").select(*items.columns)
 
 

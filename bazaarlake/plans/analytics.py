@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from bazaarlake import fixed_values as fixed
 from bazaarlake.functions import scalars
+from bazaarlake.operators.pruning import maybe_among
 from bazaarlake.operators.ranking import rank_within, top_k
 from bazaarlake.operators.totals import REVENUE, UNITS, share_of_all, totals_by, totals_per_order
 from bazaarlake.tables import RetailTables
@@ -33,10 +34,15 @@ def completed_order_totals(tables: RetailTables, *order_columns: str) -> DataFra
     return totals_per_order(tables.order_items.select(*_LINE), completed(tables.orders, *keys), keys)
 
 
-def revenue_by_category(tables: RetailTables) -> DataFrame:
-    """Orders, units and revenue per category, completed orders only, best first."""
+def revenue_by_category(tables: RetailTables, filter_bits: int | None = None) -> DataFrame:
+    """Orders, units and revenue per category, completed orders only, best first.
+
+    With ``filter_bits`` most lines of other orders are left out before lines and orders are shuffled.
+    """
     tables = tables.asked()
     lines = tables.order_items.select("product_id", *_LINE)
+    if filter_bits:
+        lines = maybe_among(lines, "order_id", completed(tables.orders, "order_id"), filter_bits)
     placed = lines.join(tables.products.select("product_id", "category_id"), "product_id")
     per_order = totals_per_order(
         placed.select("category_id", *_LINE),

@@ -16,7 +16,7 @@ from bazaarlake import fixed_values as fixed
 from bazaarlake import schemas
 from bazaarlake.functions import draws, scalars
 from bazaarlake.functions.typing import MALFORMED, apply_types
-from bazaarlake.operators import distinct, quality, ranking, totals, versions
+from bazaarlake.operators import distinct, prefix, pruning, quality, ranking, totals, versions
 from bazaarlake.plans import analytics, sql_questions
 from bazaarlake.plans.clean_zone import CleanJob, clean_run, read_published
 from bazaarlake.plans.kept_answers import KeptAnswers
@@ -423,6 +423,23 @@ def clean_orphans(spark, sf_dir):
     return quality.with_kept_order(items, orders).select("order_id", "line_no", "product_id", "quantity")
 
 
+def clean_orphans_pruned(spark, sf_dir):
+    """As clean_orphans, with a filter of the kept orders before the shuffle, while it stays within its bound."""
+    items = warehouse.unpriced_items(spark, sf_dir)
+    orders = quality.clean_orders(warehouse.orders(spark, sf_dir), AS_OF)
+    kept = quality.with_kept_order(items, orders, pruning.bits_for(orders.count()))
+    return kept.select("order_id", "line_no", "product_id", "quantity")
+
+
+def units_before_order(spark, sf_dir):
+    """Units of all orders with a smaller id; the given ids have gaps, and are spread further here."""
+    units = warehouse.unpriced_items(spark, sf_dir).groupBy("order_id").agg(F.sum("quantity").alias("units"))
+    far = F.when(F.col("order_id") % 3 == 0, F.col("order_id") * 1_000_003).otherwise(F.col("order_id"))
+    folder = run_folder(prepare(spark), "units")
+    units.withColumn("far_id", far).write.parquet(folder)
+    return prefix.running_total(spark.read.parquet(folder), "units", "far_id", "units_before")
+
+
 def processed_order_items(spark, sf_dir):
     return portable(clean(spark, sf_dir).order_items.select(*ITEM_COLUMNS))
 
@@ -775,6 +792,12 @@ def q1_revenue_by_category(spark, sf_dir):
     return portable(analytics.revenue_by_category(clean_for_category_joins(spark, sf_dir)))
 
 
+def q1_revenue_by_category_pruned(spark, sf_dir):
+    tables = clean_for_category_joins(spark, sf_dir)
+    bits = pruning.bits_for(analytics.completed(tables.orders, "order_id").count())
+    return portable(analytics.revenue_by_category(tables, bits))
+
+
 def q2_top_customers(spark, sf_dir):
     return portable(analytics.top_customers(clean_for_order_joins(spark, sf_dir)))
 
@@ -839,13 +862,14 @@ QUERIES = {
         scan_raw_csv, discover_raw_schema, discover_clean_schema, dim_categories, dim_products,
         raw_run_date, scan_one_run, source_guard,
         write_raw_csv, land_run_overwrite, write_clean_parquet, write_result_csv, publish_run, run_summary,
-        clean_negative_qty, clean_future_date, clean_invalid_fk, reject_invalid_fk, clean_orphans,
+        clean_negative_qty, clean_future_date, clean_invalid_fk, reject_invalid_fk, clean_orphans, clean_orphans_pruned,
         processed_order_items, processed_orders, typed_items, quarantine, quality_report,
         validate_report, dup_keys, latest_per_key, run_scope, union_runs, incremental_batch, incremental_stream,
         join_items_orders, join_items_products, join_products_categories, join_customers_orders, star_join,
         multi_distinct, decimal_revenue, pct_of_total, rank_in_category, full_name, order_month,
         draw_uniform, draw_choice, draw_weighted, draw_basket, draw_basket_weighted,
         gen_sizes, gen_customers, gen_orders, gen_items_truncate, gen_order_items,
+        q1_revenue_by_category_pruned, units_before_order,
         defect_pick, inject_invalid_fk, inject_negative_qty, inject_future_date, gen_run_summary,
     )
 }

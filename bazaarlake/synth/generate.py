@@ -17,7 +17,7 @@ from bazaarlake import fixed_values as fixed
 from bazaarlake.functions import draws, scalars
 from bazaarlake.operators import defects
 from bazaarlake.operators.picks import cutoff_of
-from bazaarlake.operators.prefix import running_total_before
+from bazaarlake.operators.prefix import running_total, running_total_before
 from bazaarlake.synth import catalogue
 from bazaarlake.tables import RetailTables
 
@@ -174,9 +174,12 @@ class Maker:
         sized = self._orders().select(
             F.col("id").alias("order_id"), self.basket_size(F.col("id")).alias("basket_size")
         )
-        numbered = running_total_before(
-            sized, "basket_size", "order_id", 1, self.sizes.orders, "items_before",
-            partitions=self._partitions(self.sizes.target_items))
+        partitions = self._partitions(self.sizes.target_items)
+        if self.order_ids is None:
+            numbered = running_total_before(
+                sized, "basket_size", "order_id", 1, self.sizes.orders, "items_before", partitions=partitions)
+        else:  # ids of a given table may have gaps
+            numbered = running_total(sized, "basket_size", "order_id", "items_before", partitions)
         return numbered.where(F.col("items_before") < self.sizes.target_items)
 
     def order_items(self) -> DataFrame:

@@ -264,6 +264,12 @@ STATEMENTS = {
     "clean_invalid_fk": f"SELECT {_SHORT} FROM it WHERE product_id IN (SELECT product_id FROM prod)",
     "reject_invalid_fk": f"SELECT {_SHORT} FROM it WHERE product_id NOT IN (SELECT product_id FROM prod)",
     "clean_orphans": f"SELECT {_SHORT} FROM it WHERE order_id IN (SELECT order_id FROM ord_ok)",
+    "units_before_order": """
+        SELECT order_id, CAST(units AS BIGINT) AS units, far_id,
+               CAST(coalesce(sum(units) OVER (ORDER BY far_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS units_before
+        FROM (SELECT order_id, sum(quantity) AS units,
+                     CASE WHEN order_id % 3 = 0 THEN CAST(order_id AS BIGINT) * 1000003 ELSE order_id END AS far_id
+              FROM it GROUP BY order_id)""",
     "processed_order_items": f"SELECT {_ITEM} FROM it_ok",
     "processed_orders": f"SELECT {_ORDER} FROM ord_ok",
     "typed_items": """
@@ -457,6 +463,7 @@ for _job, _same in (
     ("kept_revenue_by_category", "q1_revenue_by_category"), ("kept_top_customers", "q2_top_customers"),
     ("kept_monthly_trend", "q3_monthly_trend"), ("kept_payment_split", "q4_payment_split"), ("kept_top_product", "q5_top_product"),
     ("publish_by_commit", "publish_run"), ("raw_by_name", "raw_run_date"), ("multi_distinct_bitmaps", "multi_distinct"),
+    ("clean_orphans_pruned", "clean_orphans"), ("q1_revenue_by_category_pruned", "q1_revenue_by_category"),
 ):
     STATEMENTS[_job] = STATEMENTS[_same]
 STATEMENTS["write_result_csv"] = STATEMENTS["q1_revenue_by_category"]
