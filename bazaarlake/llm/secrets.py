@@ -1,9 +1,12 @@
 """Secret scans: fixed patterns, and character Markov models of random strings against ordinary identifiers.
 
 Two first-order models over ASCII characters are counted from labelled samples: random strings are the
-secrets that the fixed patterns find, ordinary identifiers are the words of documents without such a
-secret.  A long unbroken token is reported when the log-likelihood ratio of the two models, summed over
-its pairs of characters, is above a threshold, and it overlaps nothing the patterns found.
+secrets that the fixed patterns find, ordinary identifiers are all words, long ones too, of documents without such a
+secret, also in capitals, and the short list ORDINARY_SAMPLES of names, paths, dates and separators.  The random model
+is mixed with the uniform one, the ordinary model with the frequencies of single characters, in shares that are fixed
+once characters are seen often, so that more documents do not shift the two against each other.  A long unbroken token is reported when the log-likelihood ratio of the two models,
+summed over its pairs of characters, is above a threshold and, so that long tokens do not pass by their length alone,
+its mean per pair is above another; when it has not the shape of a UUID; and when it overlaps nothing the patterns found.
 
 Everything is built-in Spark functions: the scan is one projection without a shuffle, the model a table
 of 128 x 128 ratios in the plan.  Training counts all documents: words first, so that a word's pairs are
@@ -18,6 +21,8 @@ by `scanned` and `masked`, whatever their names, unless they have the name asked
 from __future__ import annotations
 
 import math
+from collections import Counter
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +38,27 @@ ASSIGN_VALUE_CHARS = 8
 
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 ORDINARY_WORD = r"[A-Za-z0-9+/_=-]{6,}"
-THRESHOLD = 12.0
-SMOOTHING = 0.1
+UUID = r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
+THRESHOLD = 20.0
+MEAN_THRESHOLD = 1.5
+#: Share of the uniform model in the random one, and least share of single characters in the ordinary one.
+UNIFORM_SHARE, SINGLE_SHARE = 0.5, 0.03
+#: Characters seen less often than about this many times lean on the frequencies of single characters.
+SEEN_OFTEN = 200
+#: Share of ORDINARY_SAMPLES in the counts of the ordinary model.
+SAMPLES_SHARE = 0.01
 CODES = 128
+ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+#: Labelled as ordinary: what texts of plain words hold too seldom.
+ORDINARY_SAMPLES = (
+    "getUserAccountById", "parseHttpResponseHeaders", "AbstractConnectionPoolManager", "maxRetryAttemptCount", "setDefaultLocaleProvider",
+    "user_account_created_at", "max_connections_per_host", "DEFAULT_BUFFER_SIZE_BYTES", "HTTP_STATUS_NOT_FOUND", "is_valid_session_identifier",
+    "content-security-policy", "background-color-transition", "application/octet-stream", "well-known/configuration",
+    "/usr/local/share/applications", "src/main/java/org/example/service", "home/user/documents/report_final", "lib/python/site-packages/module/__init__",
+    "2024-01-31/daily-summary-report", "release-2023-11-04", "version_10_2_build_4571", "2020-12-31_23-59-59", "123456789012345678901234567890",
+    "----------------", "================", "________________", "++++++++++++++++", "////////////////", "=-=-=-=-=-=-=-=-",
+    "xxxxxxxxxxxxxxxx", "0000000000000000", "AAAAAAAAAAAAAAAA", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789",
+)
 _SPAN = "array<struct<start: int, kind: int, end: int>>"
 MASK = "[SECRET]"
 
@@ -72,7 +95,7 @@ def _pair_counts(words: DataFrame) -> DataFrame:
     return pairs.groupBy("random", "a", "b").agg(F.sum("n").alias("n"))
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> list[float]:
+def fit(docs: DataFrame, text_col: str = "text", samples: Sequence[str] = ORDINARY_SAMPLES) -> list[float]:
     """The log-likelihood ratio of each pair of character codes, at a * CODES + b."""
     texts = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     secrets = F.concat(
@@ -80,23 +103,47 @@ def fit(docs: DataFrame, text_col: str = "text") -> list[float]:
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
     marked = texts.select(secrets.alias("secrets"), "text")
     random = F.size("secrets") > 0
-    ordinary = F.filter(F.regexp_extract_all("text", F.lit(ORDINARY_WORD), F.lit(0)), lambda x: ~x.rlike(TOKEN) | x.rlike("^[A-Za-z]+$"))
+    ordinary = F.regexp_extract_all("text", F.lit(ORDINARY_WORD), F.lit(0))
     words = marked.select(random.alias("random"), F.explode(F.when(random, F.col("secrets")).otherwise(ordinary)).alias("word"))
     words = words.groupBy("random", "word").agg(F.count("*").alias("n"))
     counts = {True: {}, False: {}}
     for row in _pair_counts(words).collect():
         counts[row["random"]][row["a"], row["b"]] = row["n"]
-    if not counts[True] or not counts[False]:
-        return [0.0] * (CODES * CODES)
-    alphabet = {c for pairs in counts.values() for pair in pairs for c in pair}
+    return log_ratios(counts[True], counts[False], samples)
 
-    def log_chance(pairs: dict) -> dict:
-        after = {a: sum(n for (x, _), n in pairs.items() if x == a) for a in alphabet}
-        return {(a, b): math.log((pairs.get((a, b), 0) + SMOOTHING) / (after[a] + SMOOTHING * len(alphabet))) for a in alphabet for b in alphabet}
 
-    random_chance, ordinary_chance = log_chance(counts[True]), log_chance(counts[False])
-    return [round(random_chance[a, b] - ordinary_chance[a, b], 4) if a in alphabet and b in alphabet else 0.0
-            for a in range(CODES) for b in range(CODES)]
+def log_ratios(random: dict, ordinary: dict, samples: Sequence[str] = ORDINARY_SAMPLES) -> list[float]:
+    """The ratios from the counts {(a, b): n} of both classes; all 0 where one of them has none."""
+    if not random or not ordinary:
+        return [0.0] * (CODES * CODES)
+    known = Counter(ordinary)
+    for (a, b), n in ordinary.items():  # the same words in capitals
+        if chr(a).islower() and chr(b).islower():
+            known[a - 32, b - 32] += n
+    listed = Counter((ord(a), ord(b)) for word in samples for a, b in zip(word, word[1:]))
+    weight = SAMPLES_SHARE / (1 - SAMPLES_SHARE) * sum(known.values()) / max(1, sum(listed.values()))
+    for pair, n in listed.items():
+        known[pair] += n * weight
+    alphabet = sorted({ord(c) for c in ALPHABET} | {c for pair in (*random, *known) for c in pair})
+
+    def chances(pairs: dict, least_share: float, single: dict) -> dict:
+        after = Counter()
+        for (a, _), n in pairs.items():
+            after[a] += n
+        share = {a: max(least_share, SEEN_OFTEN / (SEEN_OFTEN + after[a])) for a in alphabet}
+        return {(a, b): (1 - share[a]) * pairs.get((a, b), 0) / max(after[a], 1) + share[a] * single[b] for a in alphabet for b in alphabet}
+
+    second = Counter()
+    for (_, b), n in known.items():
+        second[b] += n
+    everything = sum(second.values()) + len(alphabet)
+    of_random = chances(random, UNIFORM_SHARE, dict.fromkeys(alphabet, 1 / len(alphabet)))
+    of_ordinary = chances(known, SINGLE_SHARE, {b: (second[b] + 1) / everything for b in alphabet})
+    ratios = [0.0] * (CODES * CODES)
+    for a, b in of_random:
+        if a < CODES and b < CODES:
+            ratios[a * CODES + b] = round(math.log(of_random[a, b] / of_ordinary[a, b]), 4)
+    return ratios
 
 
 def _ratio(token: Column, ratios: list[float]) -> Column:
@@ -107,12 +154,17 @@ def _ratio(token: Column, ratios: list[float]) -> Column:
                        lambda total, i: total + F.element_at(table, code(i) * CODES + code(i + 1) + 1))
 
 
+def looks_random(token: Column, ratios: list[float], threshold: float = THRESHOLD, mean: float = MEAN_THRESHOLD) -> Column:
+    """Is the ratio of the token high, as a sum and for its length, and is it no UUID?"""
+    return ~token.rlike(UUID) & (_ratio(token, ratios) > F.greatest(F.lit(threshold), (F.length(token) - 1) * F.lit(mean)))
+
+
 def markov_spans(text: Column, base: Column, ratios: list[float], threshold: float = THRESHOLD) -> Column:
     """Spans of tokens that look random and overlap no base span."""
     found = _found(text, TOKEN, 3)
     free = lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
     token = lambda x: F.substring(text, x["start"] + 1, x["end"] - x["start"])
-    return F.filter(found, lambda x: free(x) & (_ratio(token(x), ratios) > threshold))
+    return F.filter(found, lambda x: free(x) & looks_random(token(x), ratios, threshold))
 
 
 def scanned(docs: DataFrame, ratios: list[float], base_col: str = "base", spans_col: str = "spans", text_col: str = "text",

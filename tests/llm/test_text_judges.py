@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import uuid
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -49,6 +50,48 @@ def test_random_tokens_are_added_and_words_are_not(spark):
     assert all(set(map(tuple, r["base"])) <= set(map(tuple, r["spans"])) for r in rows)
 
 
+def labelled_strings(each=60):
+    """Random strings of four alphabets, and identifiers of many kinds that are no secrets; from a fixed seed."""
+    r = random.Random(61)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    alphabets = {"base64": letters, "letters": letters[:62], "lower": letters[26:62], "upper": letters[:26] + "234567"}
+    secret = [(kind, "".join(r.choice(of) for _ in range(n))) for kind, of in alphabets.items() for n in (20, 24, 32, 44) for _ in range(each)]
+    words = ("table value result index buffer stream request response account order customer payment method category product price total revenue "
+             "config manager handler factory iterator concurrent hash thread pool kernel driver network socket window render shader texture").split()
+    plain = []
+    for _ in range(each * 4):
+        some = [r.choice(words) for _ in range(r.randint(3, 5))]
+        plain += [("camel", "".join(w.capitalize() for w in some)), ("snake", "_".join(some)), ("constant", "_".join(some).upper()),
+                  ("path", "/".join(some) + f"/{r.randint(1, 99)}"), ("dated", "-".join(some) + f"-{r.randint(1990, 2030)}-{r.randint(10, 12)}"),
+                  ("digits", "".join(r.choice("0123456789") for _ in range(r.randint(20, 30)))), ("rule", r.choice("-=_+/x0A") * r.randint(20, 80)),
+                  ("uuid", str(uuid.UUID(int=r.getrandbits(128)))), ("stamp", f"2024-{r.randint(10, 12)}-{r.randint(10, 28)}_{r.randint(10, 23)}-59-{r.randint(10, 59)}_{r.randint(0, 999):06d}")]
+    plain += [("named", "ConcurrentHashMapIterableIteratorFactory"), ("rule", "-" * 36)]
+    return secret, [(kind, x) for kind, x in plain if len(x) >= 20]
+
+
+def test_random_strings_are_told_from_identifiers(spark):
+    """Trained on the documents of sf0.01, which hold a few secrets; those of sf0.001 hold none."""
+    ratios = secrets.fit(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    secret, plain = labelled_strings()
+    df = spark.createDataFrame([(k, x, True) for k, x in secret] + [(k, x, False) for k, x in plain], "kind string, token string, secret boolean")
+    rows = df.select("kind", "secret", secrets.looks_random(F.col("token"), ratios).cast("int").alias("found")).groupBy("secret", "kind").agg(
+        F.sum("found").alias("found"), F.count("*").alias("n")).collect()
+    found = {s: sum(r["found"] for r in rows if r["secret"] == s) for s in (True, False)}
+    shares = {(r["secret"], r["kind"]): r["found"] / r["n"] for r in rows}
+    print(found, shares)
+    assert found[True] / len(secret) >= 0.97 and found[True] / (found[True] + found[False]) >= 0.97, shares
+    assert not any(shares[False, kind] for kind in ("uuid", "rule", "digits", "named")), shares
+
+
+def test_ratios_do_not_depend_on_the_size(spark):
+    """Once characters are seen far more often than SEEN_OFTEN times."""
+    random_pairs, ordinary = {(97, 49): 5, (49, 97): 3}, {(97, 98): 900, (98, 97): 500, (45, 97): 20}
+    times = lambda c, by: {k: n * by for k, n in c.items()}
+    some, more = (secrets.log_ratios(times(random_pairs, by), times(ordinary, by)) for by in (10**6, 10**9))
+    assert max(abs(a - b) for a, b in zip(some, more)) < 0.01
+    assert secrets.log_ratios({}, ordinary) == secrets.log_ratios(random_pairs, {}) == [0.0] * secrets.CODES ** 2
+
+
 def test_markov_counts_are_those_of_all_documents_in_any_layout(spark):
     words = F.concat_ws(" ", *(F.translate(F.substring(F.md5((F.col("id") * 3 + i).cast("string")), 1, 9), "0123456789", "ghijklmnop") for i in range(3)))
     docs = spark.range(45_000).select(F.when(F.col("id") == 777, F.concat(F.lit("token = "), F.md5(F.lit("x")))).otherwise(words).alias("text"))
