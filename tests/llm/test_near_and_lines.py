@@ -233,7 +233,7 @@ def test_forest_reaches_the_recall_and_scores_exactly(spark):
 
 @pytest.mark.parametrize("rows,candidates", [(4000, 1700), (4000, 50), (6000, 50)])
 def test_forest_takes_candidates_until_the_recall_holds(spark, rows, candidates):
-    """A target that is just met at level 1 (48 * rows / 128 matches), and ones that level 2 meets."""
+    """A target that is just met at level 1 (about TREES * rows / 128 matches), and ones that level 2 meets."""
     vectors = np.random.default_rng(6).normal(size=(rows, 64))
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
     want = exact_neighbours(list(range(rows)), vectors, lambda i: i % 40 == 0, 20)
