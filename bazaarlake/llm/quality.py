@@ -13,7 +13,7 @@ rule (under 20 words, or over 30 % of the words in repeated windows).
 
 Defined cases: a null text has no words and fails the base rule; a null language or source is a
 value like any other; rows with equal ids or repeated whole are measured and judged one by one; an
-empty table gives no rows.  Other columns are not looked at.
+empty table gives no rows; very long texts are measured whole.  Other columns are not looked at.
 """
 
 from __future__ import annotations

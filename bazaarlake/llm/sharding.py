@@ -8,7 +8,8 @@ the target than the largest row.
 
 Defined cases: a null text has no bytes (size is the overhead alone, crc 0); null ids come first;
 rows with equal ids, and rows repeated whole, follow each other in scan order and each gets its own
-slot; an empty table gives no rows.  Columns besides id and text are not looked at.
+slot; an empty table gives no rows; a very long text is one row, which makes its shard longer than the
+others by less than its size.  Columns besides id and text are not looked at.
 """
 
 from __future__ import annotations
