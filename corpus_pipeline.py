@@ -3,6 +3,11 @@
 Each stage takes (spark, docs, sf_dir) and returns a frame; `run` writes it as Parquet in the shared folder and
 reads it again for the next one.  All stages but the last return the columns of `documents`; where a stage changes
 a text, n_chars follows it.
+
+Defined cases: a null text stays null and is packed as an empty one; empty texts and those without a word pass every
+filter; very long texts go through whole and are cut only by the packing, into pieces; rows repeated whole come out of
+line dedup alike, and near dedup keeps one of them if they still hold a word; an empty table gives no rows; other columns
+stay up to the packing, whatever their names.
 """
 
 from __future__ import annotations
