@@ -5,8 +5,8 @@ reads it again for the next one.  All stages but the last return the columns of
 a text, n_chars follows it.
 
 Defined cases: a null text stays null and is packed as an empty one; null and empty texts get the toxicity score of a
-document without features, and all texts without a word pass near dedup; very long texts go through whole and are cut only by the packing, into pieces; rows repeated whole come out of
-line dedup alike, and near dedup keeps one of them if they still hold a word; an empty table gives no rows; other columns
+document without features, and all texts without a word pass near dedup; very long texts go through whole and are cut
+only by the packing, into pieces; rows repeated whole come out of line dedup alike, and near dedup keeps one of them if they still hold a word; an empty table gives no rows; other columns
 stay up to the packing, whatever their names.
 """
 
