@@ -10,7 +10,10 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
+#: Rows of the largest exact set that is sent to all tasks: two longs each.
+MOST_WORDS = 1 << 20
 #: 2^26 bits are at most 1,048,576 rows of two longs: the largest filter that is sent to all tasks.
 MOST_BITS = 1 << 26
 HASHES = 2
@@ -44,3 +47,27 @@ def maybe_among(df: DataFrame, key: str, keys: DataFrame, bits: int, hashes: int
         is_set = F.getbit(F.col("_bits"), (place % 64).cast("int")) == 1
         df = df.join(words, (F.shiftright(place, 6) == F.col("_word")) & is_set, "left_semi")
     return df
+
+
+# Exact sets -------------------------------------------------------------------
+
+def key_words(keys: DataFrame, key: str, most: int = MOST_WORDS) -> DataFrame | None:
+    """The set of whole-number keys as _word, _bits: 64 neighbouring numbers a row; None beyond `most` rows, or for other types.
+
+    Ids that are dense take a bit each, so that a look-up of a fact needs neither a shuffle nor a sort; ids too scattered for
+    the bound are left to a join.  Counts the rows, so a job to call once, on written keys.
+    """
+    if not isinstance(keys.schema[key].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return None
+    number = F.col(key).cast("bigint")
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(number, F.lit(64)).cast("int"))
+    words = keys.where(F.col(key).isNotNull()).groupBy(F.shiftright(number, 6).alias("_word")).agg(F.bit_or(one).alias("_bits"))
+    return words if words.count() <= most else None
+
+
+def among_words(df: DataFrame, key: str, words: DataFrame, flag: str) -> DataFrame:
+    """Add ``flag``: is ``key`` in the set?  Null never is."""
+    number = F.col(key).cast("bigint")
+    is_set = F.getbit(F.col("_bits"), F.pmod(number, F.lit(64)).cast("int")) == 1
+    placed = df.join(F.broadcast(words), F.shiftright(number, 6) == F.col("_word"), "left")
+    return placed.withColumn(flag, F.coalesce(is_set, F.lit(False))).drop("_word", "_bits")

@@ -11,7 +11,7 @@ from bazaarlake import fixed_values as fixed
 from bazaarlake import schemas
 from bazaarlake.sinks import commits
 from bazaarlake.sources.files import exists, hadoop_path
-from bazaarlake.sources.raw_csv import RUN_DATE
+from bazaarlake.sources.raw_csv import CSV_FILES, RUN_DATE
 from bazaarlake.tables import RetailTables
 
 ALL_RUNS = "_all"
@@ -72,7 +72,7 @@ def register_raw(spark: SparkSession, database: str, root: str, tables: list[str
         spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{files}`")
         spark.sql(
             f"CREATE TABLE `{database}`.`{files}` ({_columns(text_columns)}) USING csv "
-            f"OPTIONS (header 'true', escape '\"', recursiveFileLookup 'true', pathGlobFilter '*.csv') "
+            f"OPTIONS (header 'true', escape '\"', recursiveFileLookup 'true', pathGlobFilter '{CSV_FILES}') "
             f"LOCATION '{root}/{table}'"
         )
         spark.catalog.refreshTable(f"{database}.{files}")

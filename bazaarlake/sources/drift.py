@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from bazaarlake.functions.scalars import run_date_of
-from bazaarlake.sources.raw_csv import CSV_FORM, RUN_DATE
+from bazaarlake.sources.raw_csv import CSV_FILES, CSV_FORM, RUN_DATE
 
 #: Types from narrow to wide; a column gets the first that reads all its cells.
 TYPES = ["boolean", "int", "bigint", "double", "date", "timestamp", "string"]
@@ -31,7 +31,7 @@ def _reads(cell: Column, kind: str) -> Column:
 
 
 def _files(spark: SparkSession):
-    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
+    return spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", CSV_FILES)
 
 
 def _headers(spark: SparkSession, folder: str) -> DataFrame:

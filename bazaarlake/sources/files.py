@@ -15,14 +15,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
-def has_file(spark: SparkSession, path: str, suffix: str = ".csv") -> bool:
-    """Is there a file with this suffix anywhere below?  Stops at the first."""
+def has_file(spark: SparkSession, path: str, suffixes: tuple[str, ...] = (".csv", ".csv.gz")) -> bool:
+    """Is there a file with one of these suffixes anywhere below?  Stops at the first."""
     fs, jpath = hadoop_path(spark, path)
     if not fs.exists(jpath):
         return False
     files = fs.listFiles(jpath, True)  # a file is its own listing
     while files.hasNext():
         status = files.next()
-        if status.getPath().getName().endswith(suffix) and status.getLen() > 0:
+        if status.getPath().getName().endswith(suffixes) and status.getLen() > 0:
             return True
     return False

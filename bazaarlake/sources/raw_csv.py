@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from bazaarlake import schemas
 from bazaarlake.functions.scalars import run_date_of
 from bazaarlake.functions.typing import apply_types
+from bazaarlake.session import input_bytes
 from bazaarlake.sources.files import exists, hadoop_path, has_file
 from bazaarlake.tables import RetailTables
 
@@ -48,13 +49,17 @@ def require_source(
 
 # Quotes inside quoted cells are doubled, as CSV writers other than Spark's do by default.
 CSV_FORM = {"header": "true", "quote": '"', "escape": '"'}
+#: Raw files, as text or compressed: a landed run is.
+CSV_FILES = "*.{csv,csv.gz}"
+#: Bytes of text in a byte of a compressed raw file, roughly.
+GZIP_SHARE = 6
 
 
 def csv_options() -> dict[str, str]:
     return {
         **CSV_FORM,
         "recursiveFileLookup": "true",
-        "pathGlobFilter": "*.csv",
+        "pathGlobFilter": CSV_FILES,
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": schemas.CORRUPT_COLUMN,
         # Whether a line counts as malformed must not depend on the columns a query asks for.
@@ -79,6 +84,11 @@ def scan_text(spark: SparkSession, folder: str, schema: T.StructType, run_date:
     return found.select("*", run_date_of(F.col("_metadata.file_path")).alias(RUN_DATE))
 
 
+def text_bytes(df: DataFrame) -> int:
+    """Size of the raw text that is read, also where its files are compressed."""
+    return input_bytes(df) * (GZIP_SHARE if any(name.endswith(".gz") for name in df.inputFiles()) else 1)
+
+
 def scan_table(spark: SparkSession, root: str, table: str, run_date: dt.date | None = None) -> DataFrame:
     """One raw table, typed, with run_date and a mark on malformed rows."""
     text = scan_text(spark, f"{root}/{table}", schemas.RAW[table], run_date)

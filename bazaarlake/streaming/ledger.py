@@ -23,7 +23,7 @@ from bazaarlake.functions.typing import apply_types
 from bazaarlake.sinks import commits
 from bazaarlake.sinks.files import drop_stage
 from bazaarlake.sources.files import exists
-from bazaarlake.sources.raw_csv import RUN_DATE, csv_options
+from bazaarlake.sources.raw_csv import CSV_FILES, RUN_DATE, csv_options
 
 FILE, LOADED_BY = "source_file", "loaded_by"
 #: Files of one commit; a load goes on until every file present is loaded.
@@ -77,7 +77,7 @@ class FileLedger:
 
     def _listing(self) -> DataFrame:
         """The files that are there; only the listing is read."""
-        files = self.spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true").load(self.folder)
+        files = self.spark.read.format("binaryFile").option("pathGlobFilter", CSV_FILES).option("recursiveFileLookup", "true").load(self.folder)
         return files.select(_plain(F.col("path")).alias(FILE), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
     def load(self) -> list[dict]:
