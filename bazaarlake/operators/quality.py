@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from bazaarlake.functions.scalars import as_day
 from bazaarlake.functions.typing import MALFORMED
 from bazaarlake.operators.joins import with_known_key
-from bazaarlake.operators.pruning import among_words, maybe_among
+from bazaarlake.operators.pruning import among_words, key_words, maybe_among
 
 REASONS = "reasons"
 IS_CLEAN = "is_clean"
@@ -49,6 +49,17 @@ def with_kept_order(items: DataFrame, kept_orders: DataFrame, filter_bits: int |
     return items.join(kept_orders.select("order_id"), "order_id", "left_semi").select(*items.columns)
 
 
+def with_key_among(items: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Items whose key is among written keys: by their exact set, without a shuffle of items, while it keeps its bound.
+
+    Counts the set, so for a job; a query that only makes a plan takes the joins.
+    """
+    words = key_words(keys, key)
+    if words is None:
+        return items.join(keys.select(key), key, "left_semi").select(*items.columns)
+    return among_words(items, key, words, "_among").where("_among").select(*items.columns)
+
+
 # The clean tables alone ---------------------------------------------------
 
 def well_formed(df: DataFrame) -> DataFrame:

@@ -27,13 +27,18 @@ from bazaarlake.tables import RetailTables
 _PERSON = ["customer_id", "first_name", "last_name", "city"]
 
 
-def partials(tables: RetailTables) -> dict[str, DataFrame]:
-    """What one run adds to each answer; `tables` hold that run alone."""
+def order_totals(tables: RetailTables) -> DataFrame:
+    """The completed orders of one run with their revenue: what four of the partials start from."""
+    return completed_order_totals(tables, "order_date", "customer_id", "payment_method").select(
+        "order_id", "customer_id", "payment_method", scalars.order_month(F.col("order_date")).alias("order_month"), REVENUE)
+
+
+def partials(tables: RetailTables, orders: DataFrame | None = None) -> dict[str, DataFrame]:
+    """What one run adds to each answer; `tables` hold that run alone, `orders` its ``order_totals`` if they are written."""
+    orders = order_totals(tables) if orders is None else orders
     counted, money = F.count("order_id").alias("orders"), F.sum(REVENUE).alias(REVENUE)
     lines = tables.order_items.select("order_id", "product_id", "quantity", "final_price").join(tables.products.select("product_id", "category_id"), "product_id")
     in_category = totals_per_order(lines, completed(tables.orders, "order_id"), ["category_name", "order_id"], names=(tables.categories, "category_id"))
-    orders = completed_order_totals(tables, "order_date", "customer_id", "payment_method").withColumn(
-        "order_month", scalars.order_month(F.col("order_date")))
     people = tables.customers.select(*_PERSON).distinct()
     products = tables.products.select("product_id", "product_name", "category_id").join(tables.categories, "category_id")
     return {
@@ -57,15 +62,19 @@ class KeptAnswers:
     def refresh(self, run_date: dt.date, tables: RetailTables) -> None:
         """Take up a run, in place of what it said before."""
         seen = commits.snapshot(self.spark, self.root).number
-        version = f"{commits.VERSIONS}/{uuid.uuid4().hex}"
+        mark = uuid.uuid4().hex
+        version, stage = f"{commits.VERSIONS}/{mark}", f"{self.root}/_stage/{mark}"
         done = False
         try:
-            parts = partials(tables)
+            # Written once: items and orders meet for it once, not for each partial.
+            order_totals(tables).write.parquet(stage)
+            parts = partials(tables, self.spark.read.parquet(stage))
             folders = {name: f"{version}/{name}" for name in parts}
             side_by_side(*[partial(df.write.parquet, f"{self.root}/{folders[name]}") for name, df in parts.items()])
             commits.commit(self.spark, self.root, commits.RUN, run_date.isoformat(), folders, seen)
             done = True
         finally:
+            drop_stage(self.spark, stage)
             if not done:
                 drop_stage(self.spark, f"{self.root}/{version}")
 

@@ -4,10 +4,12 @@ import glob
 
 import pytest
 from conftest import AS_OF, hand_made, rows_of
+from pyspark.sql import functions as F
 
 from bazaarlake import schemas
 from bazaarlake.operators import pruning, quality
 from bazaarlake.plans.clean_zone import CleanJob, clean_run
+from bazaarlake.plans.kept_answers import KeptAnswers, order_totals, partials
 from bazaarlake.plans.registry import FIRST_RUN
 from bazaarlake.sinks import files as sink
 from bazaarlake.sources import catalog, drift, raw_csv, warehouse
@@ -91,3 +93,30 @@ def test_the_clean_job_shuffles_no_items(spark, tmp_path, conf, monkeypatch):
     report = clean_run(spark, CleanJob(f"{root}/raw", f"{root}/clean", FIRST_RUN, warehouse.AS_OF))
     assert report["order_items"]["clean_rows"] > 0
     assert "SortMergeJoin" not in plans[0] and "ShuffledHashJoin" not in plans[0]
+
+
+def test_items_and_orders_of_a_kept_run_meet_once_for_four_partials(spark, tmp_path):
+    tables = hand_made(spark)
+    tables = tables.having(**{
+        name: (df.write.parquet(f"{tmp_path}/{name}"), spark.read.parquet(f"{tmp_path}/{name}"))[1] for name, df in tables.items()})
+    order_totals(tables).write.parquet(f"{tmp_path}/totals")
+    parts, plain = partials(tables, spark.read.parquet(f"{tmp_path}/totals")), partials(tables)
+    read = {name for name, df in parts.items() if any("/order_items/" in file for file in df.inputFiles())}
+    assert read == {"categories", "products"}
+    for name in parts:
+        assert sorted(map(str, rows_of(parts[name]))) == sorted(map(str, rows_of(plain[name])))
+
+
+def test_a_kept_run_leaves_no_scratch_folder(spark, tmp_path):
+    KeptAnswers(spark, str(tmp_path)).refresh(FIRST_RUN, hand_made(spark))
+    assert not glob.glob(f"{tmp_path}/_stage/*")
+
+
+def test_items_by_key_are_the_same_with_and_without_a_set(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    tables = hand_made(spark)
+    by_set = quality.with_key_among(tables.order_items, tables.products, "product_id")
+    assert "SortMergeJoin" not in plan_of(by_set)
+    by_join = quality.with_key_among(tables.order_items, tables.products.withColumn("product_id", F.col("product_id").cast("string")), "product_id")
+    assert "SortMergeJoin" in plan_of(by_join)
+    assert sorted(map(str, rows_of(by_set))) == sorted(map(str, rows_of(by_join))) and by_set.count() == 7
