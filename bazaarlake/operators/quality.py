@@ -18,6 +18,7 @@ INVALID_FK = "invalid_fk"
 NEGATIVE_QTY = "negative_qty"
 FUTURE_DATE = "future_date"
 REMOVED_ORDER = "removed_order"
+ITEM_REASONS = [MALFORMED, INVALID_FK, NEGATIVE_QTY, REMOVED_ORDER]
 
 
 # One rule each ------------------------------------------------------------
@@ -145,6 +146,17 @@ def kept(judged: DataFrame) -> DataFrame:
     return judged.where(IS_CLEAN).drop(IS_CLEAN, REASONS)
 
 
+def summary(judged: DataFrame, reasons: Sequence[str], rows: str, bad: str) -> DataFrame:
+    """measure, value: all rows, bad rows, and rows per reason that occurs, in one pass over the judged rows."""
+    of_reason = [F.count_if(F.array_contains(REASONS, reason)) for reason in reasons]
+    names = [rows, bad, *reasons]
+    counts = [F.count(F.lit(1)), F.count_if(~F.col(IS_CLEAN)), *of_reason]
+    cells = ", ".join(f"'{name}', c{i}" for i, name in enumerate(names))
+    counted = judged.agg(*[count.alias(f"c{i}") for i, count in enumerate(counts)])
+    return counted.selectExpr(f"stack({len(names)}, {cells}) AS (measure, value)").where(
+        F.col("measure").isin(rows, bad) | (F.col("value") > 0))
+
+
 def reason_counts(judged: DataFrame) -> DataFrame:
     """Rows per reason; a row with two reasons counts under both."""
     return (

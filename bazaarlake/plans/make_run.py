@@ -20,11 +20,11 @@ from bazaarlake.tables import RetailTables
 ITEM_BYTES = 128
 
 
-def row_counts(tables: RetailTables) -> DataFrame:
+def row_counts(tables: RetailTables, names: list[str] = schemas.TABLES) -> DataFrame:
     """table_name, row_count: one row per table."""
     parts = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
-        for name, df in tables.items()
+        for name, df in tables.items() if name in names
     ]
     whole = parts[0]
     for part in parts[1:]:
