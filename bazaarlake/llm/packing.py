@@ -19,6 +19,7 @@ id and text are not looked at.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -30,12 +31,17 @@ from pyspark.sql import functions as F
 
 from bazaarlake.llm.chunks import ChunkEncodings
 from bazaarlake.llm.common import groups_for, written
+from bazaarlake.llm.terms import slices
 
 CAPACITY = 2048
 END_ID = 0
 GROUP_ROWS = 20_000
-DOCS_AT_ONCE = 1024
+DOCS_AT_ONCE, BYTES_AT_ONCE = 1024, 4 << 20
 WORDS_AT_ONCE = 64
+#: Texts of that many chunks that are encoded together: an encoding holds some 100 bytes a token besides its ids.
+GROUPS_AT_ONCE = 128
+#: Chunks that a worker keeps the ids of, some 150 bytes each.
+KNOWN_CHUNKS = 350_000
 
 PIECES = "doc long, scanned long, piece int, start long, length long, ids_crc32 long"
 
@@ -49,11 +55,17 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.separator = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
-        self.chunks = ChunkEncodings(self._encode)
+        self.chunks = ChunkEncodings(self._encode, KNOWN_CHUNKS)
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         """Some chunks at a time as one text with separators, which costs half of one by one."""
         groups = [chunks[i:i + WORDS_AT_ONCE] for i in range(0, len(chunks), WORDS_AT_ONCE)]
+        out: list[bytes] = []
+        for first in range(0, len(groups), GROUPS_AT_ONCE):
+            out += self._encode_groups(groups[first:first + GROUPS_AT_ONCE])
+        return out
+
+    def _encode_groups(self, groups: list[list[str]]) -> list[bytes]:
         out: list[bytes] = []
         found = self.tokenizer.encode_batch_fast([f" {self.SEPARATOR} ".join(g) for g in groups], add_special_tokens=False)
         for group, encoding in zip(groups, found):
@@ -77,6 +89,8 @@ _tokenizers: dict[int, WordTokenizer] = {}
 
 def _tokenizer(definition: str) -> WordTokenizer:
     """One per Python worker, so that words stay known from task to task."""
+    # A task has one core: threads of its own only hold memory.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     key = zlib.crc32(definition.encode())
     if key not in _tokenizers:
         _tokenizers.clear()
@@ -92,21 +106,19 @@ def tokenized_pieces(docs: DataFrame, definition: str, capacity: int = CAPACITY,
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(shared.value)
-        for batch in batches:
-            for first in range(0, batch.num_rows, DOCS_AT_ONCE):
-                rows = batch.slice(first, DOCS_AT_ONCE)
-                out = ([], [], [], [], [], [])
-                ids_of = tokenizer.ids(rows.column(2))
-                for doc, scanned, ids in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), ids_of):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[at:at + 4 * capacity]
-                        for column, value in zip(out, (doc, scanned, piece, at // 4, len(part) // 4, zlib.crc32(part))):
-                            column.append(value)
-                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(out, kinds)],
-                    names=["doc", "scanned", "piece", "start", "length", "ids_crc32"])
+        for rows in slices(batches, 2, BYTES_AT_ONCE, DOCS_AT_ONCE):
+            out = ([], [], [], [], [], [])
+            ids_of = tokenizer.ids(rows.column(2))
+            for doc, scanned, ids in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), ids_of):
+                ids += end
+                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    part = ids[at:at + 4 * capacity]
+                    for column, value in zip(out, (doc, scanned, piece, at // 4, len(part) // 4, zlib.crc32(part))):
+                        column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(out, kinds)],
+                names=["doc", "scanned", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(
         F.col(id_col).cast("long").alias("doc"), F.monotonically_increasing_id().alias("scanned"), F.col(text_col).alias("body"),

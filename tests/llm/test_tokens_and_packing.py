@@ -154,3 +154,20 @@ def test_shards_of_odd_rows(spark, edge, none):
     one_id = spark.createDataFrame([(7, "same")] * 50, "doc_id long, text string")
     assert sorted(r["shard"] for r in sharding.shard_contiguous(one_id, 5).collect()) == sorted(list(range(5)) * 10)
     assert sharding.shard_contiguous(none, 3).count() == 0
+
+
+def test_a_tokenizer_encodes_and_keeps_bounded_numbers_of_chunks():
+    made = packing.WordTokenizer(vocabulary(WORD_TOKENIZER).decode())
+    whole, sizes = made.tokenizer, []
+
+    class Counting:
+        def encode_batch_fast(self, texts, add_special_tokens):
+            sizes.append(len(texts))
+            return whole.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    made.tokenizer = Counting()
+    chunks = [f"w{i}" for i in range(400_000)]
+    found = [made.chunks.of(chunks[i:i + 50_000]) for i in range(0, len(chunks), 50_000)]
+    assert max(sizes) <= 128  # encodings of many more would be held at once
+    assert len(made.chunks.known) <= 350_000 + 50_000
+    assert b"".join(found[0][:500]) == np.asarray(whole.encode(" ".join(chunks[:500]), add_special_tokens=False).ids, "<u4").tobytes()
