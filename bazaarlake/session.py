@@ -19,7 +19,8 @@ PARTITION_BYTES = 128 * 1024 * 1024
 
 # Skewed joins are split even when that costs the next aggregate one more exchange;
 # a shuffled join whose build partitions turn out small hashes instead of sorting; a
-# partitioned write keeps its few files open instead of sorting.
+# partitioned write keeps its few files open instead of sorting; a task reads at most 16 MB, since a MB of packed
+# Parquet is up to 100,000 rows and a partial aggregate of them holds a hundred times their bytes.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -27,6 +28,7 @@ DEFAULTS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.maxConcurrentOutputFileWriters": "8",
+    "spark.sql.files.maxPartitionBytes": "16m",
 }
 
 # Spark's own values: a session that still shows one of these was not tuned.
@@ -34,6 +36,7 @@ _BUILT_IN = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0b",
     "spark.sql.maxConcurrentOutputFileWriters": "0",
+    "spark.sql.files.maxPartitionBytes": "134217728b",
 }
 
 

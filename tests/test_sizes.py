@@ -2,13 +2,14 @@
 
 import glob
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import AS_OF, hand_made, rows_of
 from pyspark.sql import functions as F
 
-from bazaarlake import schemas
+from bazaarlake import schemas, session
 from bazaarlake.operators import pruning, quality
-from bazaarlake.plans import registry
+from bazaarlake.plans import clean_zone, registry
 from bazaarlake.plans.clean_zone import CleanJob, clean_run
 from bazaarlake.plans.kept_answers import KeptAnswers, order_totals, partials
 from bazaarlake.plans.registry import FIRST_RUN
@@ -134,3 +135,17 @@ def test_a_summary_has_no_row_for_a_reason_that_does_not_occur(spark):
     judged = quality.judge_items(tables.order_items, tables.products, quality.judge_orders(tables.orders, AS_OF))
     found = {row.measure: row.value for row in quality.summary(judged, quality.ITEM_REASONS, "items", "bad").collect()}
     assert found == {"items": 8, "bad": 3, "invalid_fk": 1, "negative_qty": 1, "removed_order": 1}
+
+
+def test_a_clean_table_is_read_in_small_parts(spark, tmp_path, monkeypatch):
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == session.DEFAULTS["spark.sql.files.maxPartitionBytes"] == "16m"
+    root = str(tmp_path)
+    for name, df in warehouse.landable_tables(spark, "/root/testdata/sf0.01").items():
+        sink.land_csv(df.coalesce(1), f"{root}/raw", name, FIRST_RUN)
+    assert clean_zone.CLEAN_FORM["parquet.block.size"] == str(16 << 20)
+    monkeypatch.setitem(clean_zone.CLEAN_FORM, "parquet.block.size", str(128 << 10))
+    report = clean_run(spark, CleanJob(f"{root}/raw", f"{root}/clean", FIRST_RUN, warehouse.AS_OF))
+    files = glob.glob(f"{root}/clean/processed_order_items/run_date=*/*.parquet")
+    found = [pq.ParquetFile(name).metadata for name in files]
+    assert sum(m.num_rows for m in found) == report["order_items"]["clean_rows"]
+    assert len(found) == 1 and found[0].num_row_groups > 1
