@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.llm.common import smallest_hashes, written
+from bazaarlake.llm.terms import slices
 
 # Groups of identity terms that can stand for one another.
 IDENTITY_TERMS = (
@@ -55,6 +56,10 @@ MAX_FEATURES = 20_000
 MIN_DOCS = 3
 FAIRNESS = 10.0
 SWAPS_PER_DOC = 32
+#: Texts whose features are held at once: thousands of numbers each, and a whole sample may lie in one batch.
+DOCS_AT_ONCE, BYTES_AT_ONCE = 256, 1 << 20
+#: Words that a scorer keeps the features of.
+KNOWN_WORDS = 150_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -109,7 +114,7 @@ class ToxicityModel:
                 own = known.get(word)
                 if own is None:
                     own = known[word] = tuple(f for f in word_features(word) if f in weights)
-                    if len(known) > 500_000:
+                    if len(known) > KNOWN_WORDS:
                         known.clear()
                 if own:
                     present.update(own)
@@ -123,7 +128,7 @@ def _features(labelled: DataFrame) -> DataFrame:
     """Rows label, feats (distinct hashed features) of rows label, body."""
 
     def map_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1, BYTES_AT_ONCE, DOCS_AT_ONCE):
             feats = [sorted(features(set(_WORD.findall((text or "").lower())))) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(feats, pa.list_(pa.int64()))], names=["label", "feats"])
 
@@ -149,7 +154,7 @@ def _in_columns(labelled: DataFrame, columns: np.ndarray, others: dict, swaps_pe
         columns, others = shared.value
         number = {f: i for i, f in enumerate(columns.tolist())}
         of = lambda feats: sorted(number[f] for f in feats if f in number)
-        for batch in batches:
+        for batch in slices(batches, 1, BYTES_AT_ONCE, DOCS_AT_ONCE):
             out = ([], [], [])
             for text in batch.column(1).to_pylist():
                 bits = np.zeros(len(columns), bool)

@@ -6,6 +6,7 @@ import re
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import language, quality, secrets, toxicity
@@ -217,6 +218,19 @@ def test_the_sample_is_the_smallest_hashes(spark):
     assert smallest_hashes(df.limit(0), "id", 5, "label", {1: 0, 0: 0}).count() == 0
 
 
+def test_toxicity_holds_the_features_of_few_texts_at_once(spark):
+    class Seen:
+        """Takes the function that the frame would run on its batches."""
+
+        def mapInArrow(self, function, schema):
+            return function
+
+    rows = pa.RecordBatch.from_arrays([pa.array([0, 1] * 500, pa.int32()), pa.array([f"w{i} said so" for i in range(1000)])], names=["label", "body"])
+    out = list(toxicity._features(Seen())(iter([rows])))
+    assert [x.num_rows for x in out] == [256, 256, 256, 232]
+    assert out[1].column(1)[0].as_py() == sorted(toxicity.features({"w256", "said", "so"}))
+
+
 def test_toxicity_of_odd_rows(spark, edge, none):
     model = toxicity.fit(edge, labels_of(spark, [(i, 1, i % 2) for i in range(8)] + [(8, None, None), (None, 1, 1), (999, 0, 1)]))
     rows = toxicity.scored(edge, model, "found").collect()
