@@ -51,7 +51,7 @@ MINIMA = 3
 LEADERS = 4
 #: Passes with leaders go on while one comparison in so many finds a link.
 LEADERS_PAY = 10
-#: Slots of the count of shingles: 4 MB, sent to all tasks.
+#: Slots of the count of shingles: 1 MB, sent to all tasks.
 COUNT_SLOTS = 1 << 20
 #: Pairs aligned in one group, about.
 PAIRS_AT_ONCE = 4000
@@ -209,26 +209,32 @@ def nodes_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return sketched.groupBy("t", "u").agg(*of_text).select(F.monotonically_increasing_id().alias("node"), "t", "u", "keys", "shingles", "bits")
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node of the edges a > b either has one smaller neighbour and no larger one, or no smaller one."""
+    ends = edges.select(F.explode(F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("end")).select("end.*")
+    counted = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return counted.where("up > 0 and up + down > 1").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """Columns node, label (the smallest node of its component) for every node of the links a, b.
 
     Large-star and small-star steps: every node's larger neighbours, then its smaller ones, are linked to
-    its smallest neighbour, until nothing changes.
+    its smallest neighbour, until all are linked to the smallest node itself.  That is tested before each step, in one
+    aggregate: a step is several shuffles, and each of them is a plan, a thread and broadcasts in the driver.
     """
     edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "near-links")
-    seen = None
-    while True:
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
-        seen = now
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("least"))
         small = large.join(least, "a").where("b != least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         edges = written(small.unionByName(least.select("a", F.col("least").alias("b"))).distinct(), "near-links")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())
 
 
 def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -275,17 +281,24 @@ def _joined_pairs(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def _rarity(shingled: DataFrame) -> np.ndarray:
-    """How often the shingles of each of COUNT_SLOTS slots occur: a table of fixed size, whatever the texts."""
+    """How often the shingles of each of COUNT_SLOTS slots occur, in eighths of a doubling; 0 where that is once at most.
+
+    A table of fixed size, whatever the texts: five bytes a slot come to the driver, one goes to the tasks.  The order of the
+    shingles needs no more, it only has to be the same everywhere.
+    """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             slots, n = np.unique(_slots(_flat(batch.column(2))[0]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(n)], names=["slot", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(slots.astype(np.int32)), pa.array(n)], names=["slot", "n"])
 
-    found = shingled.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(COUNT_SLOTS, np.int64)
-    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    return np.minimum(counts, np.iinfo(np.int32).max).astype(np.int32)
+    eighths = F.least(F.ceil(F.log2("n") * 8), F.lit(127 + 128)) - 128
+    found = shingled.mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).where("n > 1").select(
+        "slot", eighths.cast("tinyint").alias("often")).toArrow()
+    often = np.zeros(COUNT_SLOTS, np.uint8)
+    for batch in found.to_batches():
+        often[batch.column("slot").to_numpy()] = batch.column("often").to_numpy().astype(np.int16) + 128
+    return often
 
 
 def _slots(shingles: np.ndarray) -> np.ndarray:
@@ -331,7 +344,7 @@ def _rare_pairs(current: DataFrame, texts: DataFrame, similarity: float) -> Data
                 n = len(own)
                 first = np.lexsort((own, often))[:n - math.ceil(similarity * n - 1e-6) + 1]
                 rest = n - np.arange(len(first))  # the shingles from this one on
-                meets = often[first] > 1  # one that occurs once is shared with none
+                meets = often[first] > 0  # one that occurs once is shared with none
                 kept.append(own[first[meets]])
                 of.append(np.full(int(meets.sum()), i))
                 bits.append(parities(own))

@@ -297,3 +297,30 @@ def test_bit_filter_loses_nothing(spark):
     kept = maybe_in(df, "h", bit_filter(some, "h"))
     assert some.join(kept, "id", "left_anti").count() == 0 and kept.count() < 600
     assert kept.columns == df.columns and maybe_in(df, "h", bit_filter(some.limit(0), "h")).count() == 0
+
+
+def test_classes_that_are_found_already_take_no_further_step(spark, monkeypatch):
+    writes = []
+
+    def counted(df, purpose):
+        writes.append(purpose)
+        return written(df, purpose)
+
+    written = order_minhash.written
+    monkeypatch.setattr(order_minhash, "written", counted)
+    of = lambda links: {r["node"]: r["label"] for r in order_minhash.components(
+        spark.createDataFrame(links, "a long, b long")).collect()}
+    assert of([(1, 5), (1, 9), (7, 3), (1, 5)]) == {1: 1, 5: 1, 9: 1, 3: 3, 7: 3}
+    assert len(writes) == 1  # stars as they come
+    assert of([]) == {}
+    chain = [(n, n + 1) for n in range(40)] + [(101, 100), (102, 101), (100, 102)] + [(200, 202), (201, 202)]
+    assert of(chain) == {n: 0 for n in range(41)} | {n: 100 for n in (100, 101, 102)} | {n: 200 for n in (200, 201, 202)}
+
+
+def test_counts_of_shingles_keep_their_order_in_a_byte(spark):
+    often = {1: 1, 2: 2, 3: 3, 4: 5, 5: 40, 6: 4000}
+    rows = [(0, 0, [slot] * n) for slot, n in often.items()] + [(0, 0, [2 * order_minhash.COUNT_SLOTS + 7]), (0, 0, [])]
+    found = order_minhash._rarity(spark.createDataFrame(rows, "node long, label long, own array<long>"))
+    assert found.dtype == np.uint8 and len(found) == order_minhash.COUNT_SLOTS
+    assert found[1] == found[7] == found[8] == 0
+    assert all(found[k] < found[k + 1] for k in range(1, 6))
