@@ -6,13 +6,16 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
+from bazaarlake import schemas
 from bazaarlake.functions.scalars import stamp_text
 from bazaarlake.sources.files import hadoop_path
 from bazaarlake.sources.raw_csv import CSV_FORM, RUN_DATE
+from bazaarlake.tables import RetailTables
 
 
 def _as_csv_text(df: DataFrame) -> DataFrame:
@@ -31,8 +34,9 @@ def write_dated_csv(df: DataFrame, root: str, table: str, run_date: dt.date) ->
     return path
 
 
-#: Text that is written once and read once or twice: the fastest level takes most of its size away.
-PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+#: Text that is written once and read once or twice: the fastest level takes most of its size away.  A compressed file is
+#: read by one task, so its lines have a bound (about 16 MB): the tasks of a cleaning are many and alike, however few wrote it.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": "500000"}
 
 
 def land_csv(df: DataFrame, root: str, table: str, run_date: dt.date) -> str:
@@ -67,6 +71,18 @@ def side_by_side(*writes: Callable[[], object]) -> list:
         return [job.result() for job in [pool.submit(write) for write in writes]]
 
 
+def land_all(root: str, *runs: tuple[dt.date, RetailTables]) -> None:
+    """Land all tables of one run or several: tables side by side, the runs of one table one after the other.
+
+    The largest table comes first, so that the others fill the cores that its last tasks leave.
+    """
+    def land(name: str) -> None:
+        for day, tables in runs:
+            land_csv(getattr(tables, name), root, name, day)
+
+    side_by_side(*[partial(land, name) for name in reversed(schemas.TABLES)])
+
+
 def publish_all(spark: SparkSession, moves: list[tuple[str, str]]) -> None:
     """Move finished stage folders to their places, all or none.
 

@@ -149,3 +149,19 @@ def test_a_clean_table_is_read_in_small_parts(spark, tmp_path, monkeypatch):
     found = [pq.ParquetFile(name).metadata for name in files]
     assert sum(m.num_rows for m in found) == report["order_items"]["clean_rows"]
     assert len(found) == 1 and found[0].num_row_groups > 1
+
+
+def test_a_landed_file_has_a_bound_whatever_wrote_it(spark, tmp_path):
+    rows = 500_001
+    folder = sink.land_csv(spark.range(rows).toDF("order_id").coalesce(1), str(tmp_path), "orders", FIRST_RUN)
+    assert len(glob.glob(f"{folder}/run_date=*/part-*")) == 2
+    assert spark.read.option("header", True).csv(folder).agg(F.count_distinct("order_id")).first()[0] == rows
+
+
+def test_runs_that_are_landed_together_stay_apart(spark, tmp_path):
+    tables = warehouse.landable_tables(spark, SF)
+    one = tables.having(orders=tables.orders.limit(7))
+    sink.land_all(str(tmp_path), (FIRST_RUN, tables), (registry.SECOND_RUN, one))
+    for day, run in ((FIRST_RUN, tables), (registry.SECOND_RUN, one)):
+        landed = raw_csv.scan_run(spark, str(tmp_path), day)
+        assert {name: df.count() for name, df in landed.items()} == {name: df.count() for name, df in run.items()}
