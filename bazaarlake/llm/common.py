@@ -8,7 +8,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from bazaarlake.session import run_folder
+from bazaarlake.session import input_bytes, run_folder
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -35,11 +35,40 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return name
 
 
+#: Arrow batches between the JVM and Python: what Spark has by itself, and what a session gets that still has it.
+BATCHES = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"),
+    "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4194304b"),
+}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of whole texts take a few MB: 10,000 texts are tens of MB in the JVM, beside its heap, and again in Python."""
+    for key, (untouched, small) in BATCHES.items():
+        if spark.conf.get(key) == untouched:
+            spark.conf.set(key, small)
+
+
+#: A small table is written in at most a file for so many bytes that its plan reads, or so many files a core.
+BYTES_PER_FILE, FILES_PER_CORE = 2 << 20, 4
+
+
+def in_few_files(df: DataFrame) -> DataFrame:
+    """The frame in fewer partitions, if its plan reads less than 2 MB for each partition of a shuffle.
+
+    Hadoop starts processes for each file that it makes in a folder of the file system (chmod), and each of them holds, for a
+    moment, the memory of the executor.  Partitions that are merged are computed one after the other, as before.
+    """
+    spark = df.sparkSession
+    most = max(FILES_PER_CORE * spark.sparkContext.defaultParallelism, math.ceil(input_bytes(df) / BYTES_PER_FILE))
+    return df.coalesce(most) if most < parts(spark) else df
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The frame as Parquet in the shared folder, so that what built it is not run again."""
     spark = df.sparkSession
     folder = run_folder(spark, purpose)
-    df.write.parquet(folder)
+    in_few_files(df).write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 

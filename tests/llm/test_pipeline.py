@@ -1,8 +1,11 @@
 """The stages on given documents and on a small fixture with known results."""
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
+from bazaarlake.llm.common import FILES_PER_CORE, in_few_files, written
 from bazaarlake.llm.packing import CAPACITY
+from pyspark.sql import functions as F
 
 from .conftest import EDGE_TEXTS, SF
 from .test_near_and_lines import plain_classes, plain_removed
@@ -78,3 +81,34 @@ def test_stages_take_odd_rows_and_nothing(spark, edge, none, number):
 
 def test_run_gives_the_last_stage(spark, after):
     assert corpus_pipeline.run(spark, SF).count() == after[5].count()
+
+
+def test_small_tables_are_written_in_few_files(spark, conf):
+    conf(spark__sql__shuffle__partitions="200", spark__sql__adaptive__coalescePartitions__enabled="false")
+    counted = lambda rows: spark.range(rows).groupBy((F.col("id") % 1000).alias("k")).agg(F.count("*").alias("n"))
+    out = written(counted(10_000), "test-few-files")
+    assert len(out.inputFiles()) <= FILES_PER_CORE * spark.sparkContext.defaultParallelism
+    assert sorted(map(tuple, out.collect())) == [(k, 10) for k in range(1000)]
+    large = counted(200 * (2 << 20) // 8)
+    assert in_few_files(large) is large
+
+
+def test_stages_take_small_arrow_batches(spark, conf, given):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    def met(docs):
+        rows = docs.repartition(1).mapInArrow(sizes, "rows long, bytes long").collect()
+        return sum(r["rows"] for r in rows), max(r["rows"] for r in rows), max(r["bytes"] for r in rows)
+
+    records, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf(**{records.replace(".", "__"): "10000", size.replace(".", "__"): "67108864b"})
+    corpus_pipeline.drop_toxic(spark, given, SF)
+    assert met(spark.range(5000).select(F.col("id").cast("string").alias("text")))[:2] == (5000, 1000)
+    long = spark.range(600).select(F.repeat(F.lit("text "), 10_000).alias("text"))
+    rows, _, most = met(long)
+    assert rows == 600 and most <= 8 << 20
+    conf(**{records.replace(".", "__"): "2000"})  # what a session has set stays
+    corpus_pipeline.drop_toxic(spark, given, SF)
+    assert spark.conf.get(records) == "2000"
